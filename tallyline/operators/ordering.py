@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from tallyline.session import stash
 
+# Stored tables up to this many rows are ordered by a plain window in one task.
+ONE_TASK_ROWS = 200_000
+
 # monotonically_increasing_id() = partition index << 33 | position in the partition
 _POSITION_BITS = 33
 
@@ -39,6 +42,11 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], added: Sequ
     return df.join(side, _match(df, side, keys)).select(*df.columns, *added)
 
 
+def fits_one_task(stored: DataFrame, limit: int = ONE_TASK_ROWS) -> bool:
+    """Whether a stored (not merely planned) table is small enough for a plain window."""
+    return stored.limit(limit + 1).count() <= limit
+
+
 def number_rows(
     df: DataFrame,
     name: str,
@@ -46,12 +54,18 @@ def number_rows(
     within: Sequence[str] = (),
     total: str | None = None,
     keep_block: bool = False,
+    single: bool = False,
 ) -> DataFrame:
     """Add 1-based row numbers ``name`` in ``order``, restarting for each ``within`` group.
 
     ``order`` must end in columns that make rows unique. ``total`` names an optional column
-    with the number of rows of the group.
+    with the number of rows of the group. ``single`` states that the caller measured the
+    table with :func:`fits_one_task`.
     """
+    if single:
+        whole = Window.partitionBy(*within)
+        numbered = df.withColumn(name, F.row_number().over(whole.orderBy(*order)).cast("bigint"))
+        return numbered.withColumn(total, F.count("*").over(whole)) if total else numbered
     keys = [*_ascending(within), *order]
     placed = stash(
         df.repartitionByRange(*keys)
@@ -90,6 +104,7 @@ def rank_rows(
     tiebreak: Sequence[str],
     descending: bool = True,
     within: Sequence[str] = (),
+    single: bool = False,
 ) -> DataFrame:
     """RANK: one plus the number of rows of the group that sort strictly before.
 
@@ -97,6 +112,9 @@ def rank_rows(
     per (value, range): a value held by many rows meets one small row per range it spans.
     """
     first = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
+    if single:
+        window = Window.partitionBy(*within).orderBy(first)
+        return df.withColumn(name, F.rank().over(window).cast("bigint"))
     numbered = number_rows(
         df, "_n", [first, *_ascending(tiebreak)], within=within, keep_block=True
     )
@@ -120,12 +138,11 @@ def tile(position: Column, rows: Column, tiles: int) -> Column:
 
 
 def tile_rows(
-    df: DataFrame, name: str, tiles: int, order: Sequence[Column], keep: bool = False
+    df: DataFrame, name: str, tiles: int, order: Sequence[Column], single: bool = False
 ) -> DataFrame:
     """NTILE(``tiles``) over the whole table in ``order`` (which ends in a unique key)."""
-    numbered = number_rows(df, "_n", order, total="_of")
-    tiled = numbered.withColumn(name, tile(F.col("_n"), F.col("_of"), tiles))
-    return tiled if keep else tiled.drop("_n", "_of")
+    numbered = number_rows(df, "_n", order, total="_of", single=single)
+    return numbered.withColumn(name, tile(F.col("_n"), F.col("_of"), tiles)).drop("_n", "_of")
 
 
 def percentile_at(value: str, position: Column, rows: Column, fraction: str) -> Column:
