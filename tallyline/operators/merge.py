@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.ordering import number_rows
+from tallyline.operators.ordering import fits_one_task, number_rows
+from tallyline.session import stash
 
 
 def insert_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -24,7 +25,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 def with_keys(members: DataFrame, surrogate: str, order: Sequence[Column]) -> DataFrame:
     """Dense surrogate keys from 1 in business-key order."""
-    numbered = number_rows(members, surrogate, order)
+    stored = stash(members, "members")
+    numbered = number_rows(stored, surrogate, order, single=fits_one_task(stored))
     return numbered.select(surrogate, *members.columns)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +14,18 @@ from tallyline.warehouse import Warehouse
 
 @dataclass(frozen=True)
 class Tables:
+    folder: str
+    make_raw: Callable[[], DataFrame]
     raw: DataFrame
     cleaned: DataFrame
     star: Star
 
 
-def run(spark: SparkSession, raw: DataFrame, folder: str) -> Tables:
+def run(spark: SparkSession, make_raw: Callable[[], DataFrame], folder: str) -> Tables:
     """Store each stage below ``folder`` and hand the stored tables to the next stage."""
-    raw.write.parquet(f"{folder}/raw")
+    make_raw().write.parquet(f"{folder}/raw")
     stored = spark.read.parquet(f"{folder}/raw")
     save_cleaned(clean(stored), f"{folder}/cleaned")
     cleaned = spark.read.parquet(f"{folder}/cleaned").select(*CLEANED_COLUMNS)
     loaded = Warehouse(spark, f"{folder}/warehouse").load(cleaned)
-    return Tables(stored, cleaned, loaded.star)
+    return Tables(folder, make_raw, stored, cleaned, loaded.star)
