@@ -196,7 +196,7 @@ CLEAN_COUNTS = """
     FROM cleaned"""
 COPY_GROUPS = """
     SELECT count(*) AS groups, max(c) AS largest
-    FROM (SELECT count(*) AS c FROM lines GROUP BY ALL HAVING count(*) > 1)"""
+    FROM (SELECT *, count(*) AS c FROM lines GROUP BY ALL HAVING count(*) > 1)"""
 CLEAN_RULES = [
     ("'non_standard_transactions'", "non_standard", "'warning'"),
     ("'potential_return_zero_value'", "potential_return", "'info'"),
@@ -251,7 +251,13 @@ RECONCILED = [
 ]
 
 
-def _reconciliation() -> str:
+LINE_TOTALS = """SELECT
+        sum(line_revenue) FILTER (transaction_status = 'valid_sale') AS gross,
+        sum(line_revenue) FILTER (transaction_status = 'cancellation') AS cancel,
+        sum(line_revenue) FILTER (transaction_status = 'potential_return') AS back FROM cleaned"""
+
+
+def _reconciliation(totals: str = "FROM exact") -> str:
     loaded = """
         SELECT count(*) AS n, count_if(sold) AS valid_sale, count_if(voided) AS cancellation,
                count_if(transaction_status = 'potential_return') AS potential_return,
@@ -259,7 +265,7 @@ def _reconciliation() -> str:
                count(*) - count(customer_key) AS no_customer,
                count_if(flag_duplicate_candidate) AS copies, sum(gain) AS gross, sum(loss) AS cancel,
                sum(line_revenue) FILTER (transaction_status = 'potential_return') AS back FROM money"""
-    source = f"SELECT * FROM ({CLEAN_COUNTS}) POSITIONAL JOIN exact"
+    source = f"SELECT * FROM ({CLEAN_COUNTS}) POSITIONAL JOIN ({totals})"
     cells = [(f"'{name}'", f"CAST({v} AS DECIMAL(24,2))") for name, v in RECONCILED]
     left = _stack(source, cells, ["check_name", "expected"])
     right = _stack(loaded, cells, ["check_name", "actual"])
@@ -468,6 +474,9 @@ SPEC: dict[str, tuple[str, str, str]] = {
     "DQ4_reconciliation": (
         "check_name:s expected:d actual:d passed:b", "cleaned exact money", _reconciliation()
     ),
+    "DQ4_reconciliation_per_line": (
+        "check_name:s expected:d actual:d passed:b", "cleaned exact money", _reconciliation(LINE_TOTALS)
+    ),
     "DIM1_dates": (
         "date_key:i date_value:D year:i quarter:i month:i month_name:s day:i day_of_week:i day_name:s is_weekend:b",
         "dim_date", "FROM dim_date",

@@ -289,6 +289,7 @@ CATALOG: dict[str, Query] = {
     "DQ2_invariants": lambda t: rules.cleaned_invariants(t.raw, t.cleaned),
     "DQ3_cleaning_warnings": lambda t: rules.cleaning_warnings(t.cleaned).drop("message"),
     "DQ4_reconciliation": lambda t: rules.reconcile(t.cleaned, t.star.fact),
+    "DQ4_reconciliation_per_line": lambda t: rules.reconcile(t.cleaned, t.star.fact, per_line=True),
     # 2.4 star schema
     "DIM1_dates": lambda t: build.dim_date(t.cleaned),
     "DIM2_countries": lambda t: build.dim_country(t.cleaned),

@@ -97,7 +97,7 @@ class Warehouse:
         if broken:
             raise ContractError("; ".join(f"{r['guard']}: {r['rows']} rows" for r in broken))
         checks = reconcile(cleaned, star.fact)
-        if strict and not checks.filter("NOT passed").isEmpty():
+        if strict and not reconcile(cleaned, star.fact, per_line=True).filter("NOT passed").isEmpty():
             raise ContractError("the fact does not reconcile with its source")
         self._publish(version)
         return Loaded(version, star, checks)
