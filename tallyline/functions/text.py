@@ -14,8 +14,16 @@ WHITESPACE = (
 
 
 def stripped(column: Column) -> Column:
-    """Without leading and trailing white space; ``trim`` alone removes only blanks."""
-    return F.btrim(column, F.lit(WHITESPACE))
+    """Without leading and trailing white space.
+
+    ``trim`` removes only blanks but is fast, and nearly always enough: the general form
+    runs only where the trimmed text still starts or ends with something other than a
+    printable ASCII character.
+    """
+    text = F.trim(column)
+    first, last = F.ascii(text), F.ascii(F.substring(text, -1, 1))
+    plain = first.between(33, 126) & last.between(33, 126)
+    return F.when(plain, text).otherwise(F.btrim(column, F.lit(WHITESPACE)))
 
 
 def stripped_or_null(column: Column) -> Column:

@@ -12,6 +12,7 @@ from tallyline.functions.status import row_flags, transaction_status
 from tallyline.functions.text import stripped, stripped_or_null
 from tallyline.operators.copies import expand_copies
 from tallyline.operators.ordering import number_rows
+from tallyline.session import stash
 
 # Lines are numbered in this order, nulls first. It starts with the time, so ids are
 # chronological and every task that writes a range touches only a few months.
@@ -78,7 +79,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
     Lines equal on all eight columns are interchangeable, so it is enough to number the
     counted groups: the copy number makes the order unique and spreads large groups.
     """
-    copies = expand_copies(line_groups(lines), "copies", "copy_no")
+    groups = stash(line_groups(lines), "line-groups")
+    copies = expand_copies(groups, "copies", "copy_no")
     order = [F.col(c).asc_nulls_first() for c in [*LINE_ORDER, "copy_no"]]
     return number_rows(copies, "_n", order).select(
         (F.col("_n") - 1).alias("source_row_id"),

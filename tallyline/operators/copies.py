@@ -6,21 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def expand_copies(counted: DataFrame, count: str, name: str, chunk: int = 1_000_000) -> DataFrame:
-    """Emit each row ``count`` times, numbered from 1 in ``name``.
+def expand_copies(stored: DataFrame, count: str, name: str, chunk: int = 1_000_000) -> DataFrame:
+    """Emit each row of a stored table ``count`` times, numbered from 1 in ``name``.
 
     A row with more than ``chunk`` copies is first cut into chunks which are redistributed,
     so that one heavily repeated row is written out by many tasks.
     """
-    copies = F.col(count)
-    light = counted.filter(copies <= chunk).withColumn(
-        name, F.explode(F.sequence(F.lit(1).cast("bigint"), copies))
-    )
+    one, copies = F.lit(1).cast("bigint"), F.col(count)
+    numbers = F.explode(F.sequence(one, copies))
+    if stored.filter(copies > chunk).isEmpty():
+        return stored.withColumn(name, numbers)
+    light = stored.filter(copies <= chunk).withColumn(name, numbers)
     heavy = (
-        counted.filter(copies > chunk)
-        .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), copies, F.lit(chunk).cast("bigint"))))
-        .repartition("_from", *[c for c in counted.columns if c != count])
-        .withColumn(name, F.explode(F.sequence("_from", F.least(F.col("_from") + (chunk - 1), copies))))
-        .drop("_from")
+        stored.filter(copies > chunk)
+        .withColumn("_from", F.explode(F.sequence(one, copies, F.lit(chunk).cast("bigint"))))
+        .repartition("_from", *[c for c in stored.columns if c != count])
     )
-    return light.unionByName(heavy)
+    last = F.least(F.col("_from") + (chunk - 1), copies)
+    expanded = heavy.withColumn(name, F.explode(F.sequence("_from", last))).drop("_from")
+    return light.unionByName(expanded)

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from tallyline.session import stash
 
-# Stored tables up to this many rows are ordered by a plain window in one task.
-ONE_TASK_ROWS = 200_000
+# Stored groups up to this many rows are ordered by a plain window in one task.
+ONE_TASK_ROWS = 1_000_000
 
 # monotonically_increasing_id() = partition index << 33 | position in the partition
 _POSITION_BITS = 33
@@ -42,9 +42,13 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], added: Sequ
     return df.join(side, _match(df, side, keys)).select(*df.columns, *added)
 
 
-def fits_one_task(stored: DataFrame, limit: int = ONE_TASK_ROWS) -> bool:
-    """Whether a stored (not merely planned) table is small enough for a plain window."""
-    return stored.limit(limit + 1).count() <= limit
+def fits_one_task(
+    stored: DataFrame, within: Sequence[str] = (), limit: int = ONE_TASK_ROWS
+) -> bool:
+    """Whether every ``within`` group of a stored (not merely planned) table is small enough
+    for a plain window."""
+    sizes = stored.groupBy(*within).agg(F.count("*").alias("rows"))
+    return sizes.filter(F.col("rows") > limit).isEmpty()
 
 
 def number_rows(
