@@ -6,6 +6,7 @@ Keys start with the inventory id of the question they answer.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tallyline.plans import (
     cohorts, customers, extracts, measures, metrics, products, profile, quality, rules, sales,
 )
 from tallyline.plans import star as build
-from tallyline.session import scratch_path, stash
+from tallyline.session import concurrently, scratch_path, stash
 from tallyline.sources import files, landing
 from tallyline.warehouse import Warehouse
 
@@ -88,7 +89,8 @@ def _staging(t: Tables) -> DataFrame:
 
 def _export(t: Tables, builders: dict[str, extracts.Builder]):
     folder = scratch_path(t.raw.sparkSession, "export")
-    tables = {name: builder(t.star) for name, builder in builders.items()}
+    built = concurrently([partial(builder, t.star) for builder in builders.values()])
+    tables = dict(zip(builders, built, strict=True))
     return folder, tables, files.export_all(tables, folder)
 
 

@@ -20,7 +20,7 @@ def insert_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFra
 def upsert(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Incoming rows replace existing rows of the same key; nothing is deleted."""
     kept = existing.join(incoming.select(key), key, "left_anti")
-    return kept.unionByName(incoming.select(*existing.columns))
+    return kept.select(*existing.columns).unionByName(incoming.select(*existing.columns))
 
 
 def with_keys(members: DataFrame, surrogate: str, order: Sequence[Column]) -> DataFrame:

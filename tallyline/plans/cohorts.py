@@ -13,19 +13,21 @@ from tallyline.functions.money import percent, ratio
 def cohort_retention(star: Star) -> DataFrame:
     """V-17: customers of each first-purchase month who bought again in each later month.
 
-    One shuffle: per customer only the set of active months is kept, which tasks combine
-    before sending. Months a cohort was not seen in have no row.
+    Lines are reduced to distinct (customer, month) pairs before the first shuffle, so later
+    steps see at most one row per customer and month. Months a cohort was not seen in have
+    no row.
     """
     month = F.trunc(F.col("invoice_timestamp").cast("date"), "month")
     sales = star.fact.filter(S.sold())
     last_month = F.trunc(sales.agg(F.max("invoice_timestamp").cast("date")).scalar(), "month")
-    per_customer = (
+    visits = (
         sales.filter("customer_key IS NOT NULL")
-        .groupBy("customer_key")
-        .agg(F.min(month).alias("cohort_month"), F.collect_set(month).alias("months"))
+        .select("customer_key", month.alias("activity_month"))
+        .distinct()
     )
+    first = F.min("activity_month").over(Window.partitionBy("customer_key"))
     cells = (
-        per_customer.select("cohort_month", F.explode("months").alias("activity_month"))
+        visits.withColumn("cohort_month", first)
         .groupBy("cohort_month", "activity_month")
         .agg(F.count("*").alias("returning_customers"))
     )

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,3 +67,10 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently(tasks: Sequence[Callable[[], Any]], at_once: int = 4) -> list[Any]:
+    """Run independent jobs side by side, so that one job's last tasks do not idle the rest
+    of the cluster. Results keep the order of ``tasks``; the first failure is raised."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [future.result() for future in [pool.submit(task) for task in tasks]]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline import contracts as C
+from tallyline.session import concurrently
 
 # Quotes are doubled inside quoted fields, as spreadsheets and pandas expect.
 CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
@@ -34,7 +36,8 @@ def export_table(name: str, table: DataFrame, folder: str) -> Exported:
 
 
 def export_all(tables: Mapping[str, DataFrame], folder: str) -> list[Exported]:
-    return [export_table(name, table, folder) for name, table in tables.items()]
+    """Export independent tables side by side."""
+    return concurrently([partial(export_table, n, t, folder) for n, t in tables.items()])
 
 
 def export_manifest(spark: SparkSession, results: Iterable[Exported]) -> DataFrame:

@@ -18,6 +18,7 @@ from tallyline.contracts import ContractError, Star
 from tallyline.operators.cleaning import with_month
 from tallyline.plans import star as build
 from tallyline.plans.rules import check_staging, reconcile
+from tallyline.session import concurrently
 
 # Dimensions up to this stored size are broadcast to the fact build; larger ones shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -88,8 +89,13 @@ class Warehouse:
             old.dates, old.countries, old.customers, old.products
         )
         makers = [build.dim_date, build.dim_country, build.dim_customer, build.dim_product]
-        for name, maker, existing in zip(DIMENSIONS, makers, previous, strict=True):
-            maker(cleaned, existing).write.parquet(self._path(version, name))
+
+        def build_dimension(name, maker, existing):
+            return lambda: maker(cleaned, existing).write.parquet(self._path(version, name))
+
+        concurrently(
+            [build_dimension(*job) for job in zip(DIMENSIONS, makers, previous, strict=True)]
+        )
         self._write_fact(version, cleaned, old)
 
         star = self.star(version)
