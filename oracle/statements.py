@@ -886,4 +886,23 @@ SPEC: dict[str, tuple[str, str, str]] = {
     ),
 }
 
+# The published extract, or second name, of a query that is stated above.
+for alias, original in {
+    "X2_product_monthly_trend": "V14_monthly_trend",
+    "X3_product_cancellations": "V15_cancellation_activity",
+    "X4_country_performance": "V11_revenue_by_country",
+    "X5_monthly_revenue": "V10_monthly_growth",
+    "X6_cohort_retention": "V17_cohort_retention",
+    "X7_duplicate_sensitivity": "V18_duplicate_sensitivity",
+    "X8_quality_summary": "V8_quality_monitor",
+    "X11_segment_summary": "C8_segment_summary",
+    "M5_metadata_row": "X14_dataset_metadata",
+    "M12_status_share": "D1_status_distribution",
+}.items():
+    SPEC[alias] = SPEC[original]
+SPEC["BI7_non_merchandise"] = (
+    "stock_code:s is_non_merchandise:b", "dim_product",
+    "SELECT stock_code, stock_code = 'POST' AS is_non_merchandise FROM dim_product",
+)
+
 STATEMENTS = {key: statement(*parts) for key, parts in SPEC.items()}

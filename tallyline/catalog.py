@@ -371,8 +371,16 @@ CATALOG: dict[str, Query] = {
     "R1c_quality_listing": lambda t: quality.in_status_order(quality.quality_monitor(t.star.fact)),
     # 2.7 extracts
     "X1_product_performance": lambda t: extracts.product_performance(t.star),
+    "X2_product_monthly_trend": lambda t: extracts.PUBLIC["product_monthly_trend"](t.star),
+    "X3_product_cancellations": lambda t: extracts.PUBLIC["product_cancellation_activity"](t.star),
+    "X4_country_performance": lambda t: extracts.PUBLIC["country_performance"](t.star),
+    "X5_monthly_revenue": lambda t: extracts.PUBLIC["monthly_revenue"](t.star),
+    "X6_cohort_retention": lambda t: extracts.PUBLIC["cohort_retention"](t.star),
+    "X7_duplicate_sensitivity": lambda t: extracts.PUBLIC["duplicate_sensitivity"](t.star),
+    "X8_quality_summary": lambda t: extracts.PUBLIC["transaction_quality_summary"](t.star),
     "X9_top20_per_country": lambda t: products.top_per_country(t.star, 20),
     "X10_anomalous_transactions": lambda t: extracts.anomalous_transactions(t.star),
+    "X11_segment_summary": lambda t: extracts.PUBLIC["customer_segment_summary"](t.star),
     "X12_spend_deciles": lambda t: customers.spend_deciles(t.star, "customer_count"),
     "X13_customer_headline": lambda t: customers.customer_headline(t.star),
     "X14_dataset_metadata": lambda t: extracts.dataset_metadata(t.star),
@@ -381,6 +389,7 @@ CATALOG: dict[str, Query] = {
     "M2_months_between": lambda t: metrics.months_between(_months(t), *RANGE),
     "M3_headline_kpis": lambda t: metrics.headline_kpis(metrics.months_between(_months(t), *RANGE)),
     "M4_top_products": lambda t: metrics.top_products(products.monthly_trend(t.star), *RANGE),
+    "M5_metadata_row": lambda t: metrics.first_row(extracts.dataset_metadata(t.star)),
     "M6_only_values": lambda t: metrics.only_values(
         products.top_per_country(t.star, 20), "country_name", COUNTRIES
     ),
@@ -393,6 +402,7 @@ CATALOG: dict[str, Query] = {
         sales.revenue_by_country(t.star), "revenue_rank", "country_key"
     ),
     "M11_cohort_matrix": lambda t: cohorts.cohort_matrix(_retention(t), 12),
+    "M12_status_share": lambda t: quality.status_distribution(t.star.fact),
     "M13_version_difference": lambda t: metrics.version_difference(_versions(t), "units_sold"),
     "M14_product_series": lambda t: metrics.product_series(products.monthly_trend(t.star), PRODUCT),
     "M15_cancellation_rates": lambda t: measures.cancellation_rates(t.star.fact),
@@ -409,6 +419,9 @@ CATALOG: dict[str, Query] = {
     "BI6_product_revenue": lambda t: measures.product_revenue(
         t.star, measures.wide(t.star, "date").filter("year = 1997")
     ),
+    "BI7_non_merchandise": lambda t: t.star.products.select(
+        "stock_code", products.non_merchandise_listed().alias("is_non_merchandise")
+    ),
     "BI8_quality": lambda t: measures.quality(t.star.fact),
     "BI8_quality_by_country": lambda t: measures.quality(
         measures.wide(t.star, "country"), ["country_name"]

@@ -43,12 +43,13 @@ def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str], added: Sequ
 
 
 def fits_one_task(
-    stored: DataFrame, within: Sequence[str] = (), limit: int = ONE_TASK_ROWS
+    stored: DataFrame, within: Sequence[str] = (), limit: int | None = None
 ) -> bool:
     """Whether every ``within`` group of a stored (not merely planned) table is small enough
     for a plain window."""
+    most = ONE_TASK_ROWS if limit is None else limit
     sizes = stored.groupBy(*within).agg(F.count("*").alias("rows"))
-    return sizes.filter(F.col("rows") > limit).isEmpty()
+    return sizes.filter(F.col("rows") > most).isEmpty()
 
 
 def number_rows(

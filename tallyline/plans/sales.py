@@ -11,11 +11,11 @@ from tallyline.functions.money import or_zero, percent, ratio
 
 
 def year_of(key: str = "date_key") -> Column:
-    return F.floor(F.col(key) / 10000).cast("int")
+    return F.expr(f"CAST({key} DIV 10000 AS INT)")
 
 
 def month_of(key: str = "date_key") -> Column:
-    return (F.floor(F.col(key) / 100) % 100).cast("int")
+    return F.expr(f"CAST({key} DIV 100 % 100 AS INT)")
 
 
 def headline(fact: DataFrame) -> DataFrame:

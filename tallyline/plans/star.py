@@ -95,18 +95,20 @@ def build_fact(
     otherwise Spark chooses the join from table sizes and splits skewed partitions.
     """
     hint = F.broadcast if broadcast else (lambda side: side)
-    # Missing customers never match. A spread column keeps them from sharing one partition
-    # when the join shuffles.
-    spread = F.when(F.col("customer_id").isNull(), F.col("source_row_id") % 4096 + 1).otherwise(0)
-    people = customers.select("customer_key", "customer_id", F.lit(0).cast("bigint").alias("_spread"))
+    # A line without a customer must not match. Joining it on its row id spreads such lines
+    # evenly instead of sending all nulls to one partition; a chance match is discarded.
+    people = customers.select(
+        F.col("customer_key").alias("_matched"), F.col("customer_id").alias("_match")
+    )
     joined = (
-        cleaned.withColumn("_spread", spread.cast("bigint"))
+        cleaned.withColumn("_match", F.coalesce("customer_id", "source_row_id"))
         .join(hint(products.select("product_key", "stock_code")), "stock_code")
         .join(
             hint(countries.select("country_key", F.col("country_name").alias("country"))),
             "country",
         )
-        .join(hint(people), ["customer_id", "_spread"], "left")
+        .join(hint(people), "_match", "left")
+        .withColumn("customer_key", F.when(F.col("customer_id").isNotNull(), F.col("_matched")))
     )
     return joined.withColumns(
         {"date_key": date_key("invoice_date"), "invoice_timestamp": F.col("invoice_date")}

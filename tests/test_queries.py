@@ -6,6 +6,8 @@ import __spark_entry__ as driver
 import pytest
 from compare import connect, differences
 
+from tallyline.operators import ordering
+
 FOLDER = "/root/testdata/sf0.001"
 WITHOUT_STATEMENT = {"SRC1_manifest", "SRC3_landing"}
 
@@ -33,3 +35,18 @@ def test_query(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(WITHOUT_STATEMENT))
 def test_query_without_statement(spark, name):
     assert driver.queries()[name](spark, FOLDER).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "V12_product_performance", "V13_country_rankings", "V16_rfm", "C4_spend_statistics",
+        "C5_spend_deciles", "X13_customer_headline", "BI5_concentration", "DIM3_customers",
+        "DIM6_products_upserted",
+    ],
+)
+def test_distributed_ordering(spark, duck, monkeypatch, name):
+    """The same answers when nothing counts as small enough for one task."""
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 0)
+    result = driver.queries()[name](spark, FOLDER)
+    assert differences(result, duck, driver.oracle_sql()[name]) is None
