@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +76,7 @@ def read_extract(spark: SparkSession, name: str, folder: str) -> DataFrame:
     path = f"{folder}/{name}.csv"
     try:
         header = spark.read.options(**CSV).csv(path)
-    except Exception as problem:
+    except AnalysisException as problem:
         raise C.ContractError(f"extract {name} cannot be read from {path}") from problem
     if name not in C.EXTRACT_SCHEMAS:
         return header

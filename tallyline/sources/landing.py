@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +17,7 @@ WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 MANIFEST = "file string, length bigint, fingerprint string"
 
 
-def _base_name(path: str) -> F.Column:
+def _base_name(path: str) -> Column:
     return F.element_at(F.split(F.col(path), "/"), -1)
 
 
@@ -101,8 +102,7 @@ def land(
     incoming = stash(file_manifest(spark, source), "manifest")
     try:
         landed = spark.read.schema(MANIFEST).parquet(f"{landing}/manifest")
-        landed.isEmpty()
-    except Exception:  # no manifest yet: nothing has been landed
+    except AnalysisException:  # no manifest yet: nothing has been landed
         landed = spark.createDataFrame([], MANIFEST)
     plan = stash(landing_plan(incoming, landed, force, in_place=source == f"{landing}/data"), "plan")
     refused = plan.filter("action = 'refuse'")

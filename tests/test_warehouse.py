@@ -99,9 +99,19 @@ def test_most_frequent_description_and_ties(spark):
     }
 
 
-def test_join_strategies_agree(sales_tables):
-    s = sales_tables.star
-    shuffled = build.build_fact(sales_tables.cleaned, s.countries, s.customers, s.products)
-    small = build.build_fact(sales_tables.cleaned, s.countries, s.customers, s.products, broadcast=True)
-    assert sorted(map(str, shuffled.collect())) == sorted(map(str, small.collect()))
-    assert shuffled.agg(F.sum("line_revenue")).first()[0] == Decimal("95.00")
+def test_join_strategies_agree(spark, public_tables):
+    """Broadcast and shuffle joins give the same fact, lines without a customer included."""
+    t, s = public_tables, public_tables.star
+    small = build.build_fact(t.cleaned, s.countries, s.customers, s.products, broadcast=True)
+    wanted = sorted(map(str, small.collect()))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = build.build_fact(t.cleaned, s.countries, s.customers, s.products)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "hashpartitioning(_match" in plan
+        assert sorted(map(str, shuffled.collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert small.filter("customer_key IS NULL").count() == 1
+    assert small.agg(F.sum("line_revenue")).first()[0] == Decimal("93.00")
