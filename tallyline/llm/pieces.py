@@ -105,15 +105,36 @@ class Transducer:
         self.pieces = {i: p for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown_cost = max(self.cost.values(), default=0.0) + 10.0
-        long = [p for p in self.ids if len(p) > 1]
-        inner = {c for p in long for c in p}
-        alone = "".join(re.escape(c) for c in "\n\t" if c not in inner)
-        crossing = any(SPACE in p.lstrip(SPACE) for p in long)
-        self.cut = re.compile(f" *[^ {alone}]+|[{alone}]| +" if alone else " *[^ ]+| +") if not crossing else re.compile(r"(?s).+")
+        self.cut = self._cuts()
         self.spines: dict[int, tuple[list, list] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
 
+    def _cuts(self) -> re.Pattern:
+        """Parts of a text that no piece crosses: before white space, and between characters of
+        different sets, where two characters are in one set if they meet in some piece."""
+        long = [p.lstrip(SPACE) for p in self.ids if len(p) > 1]
+        if any(SPACE in p for p in long):
+            return re.compile(r"(?s).+")
+        parent: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while (up := parent.setdefault(c, c)) != c:
+                c = up
+            return c
+
+        for piece in long:
+            for a, b in zip(piece, piece[1:], strict=False):
+                parent[root(a)] = root(b)
+        sets: dict[str, list[str]] = {}
+        for c in {*parent, *map(chr, range(128))} - {" "}:
+            sets.setdefault(root(c), []).append(c)
+        largest = max(sets.values(), key=len)
+        small = [re.escape("".join(sorted(s))) for s in sets.values() if s is not largest and any(c < "\x80" for c in s)]
+        small.sort()
+        runs = [f" *[^ {''.join(small)}]+", *(f" *[{s}]+" for s in small), " +"]
+        return re.compile("|".join(runs))
+
     def normalise(self, text: str) -> str:
         """The text as the lexicon reads it, with plain spaces for the marks."""
         if self.rule:
