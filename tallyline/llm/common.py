@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,29 @@ from pyspark.sql import functions as F
 PASS_BYTES = 4 << 20
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: Spark serves the archive from the
+    driver, so nothing has to be installed or shared beforehand."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = _shipped[context.applicationId] = tempfile.TemporaryDirectory(prefix="tallyline-code-")
+    package = Path(__file__).resolve().parent.parent
+    with zipfile.ZipFile(f"{folder.name}/tallyline-code.zip", "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(f"{folder.name}/tallyline-code.zip")
+
+
+def map_arrow(rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -134,29 +160,29 @@ def sums(values: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
 class Lookup:
     """Values by 64-bit hash, for whole arrays of hashes at once; unknown ones get ``default``.
 
-    One slot per hash in a table of twice to four times as many slots; what finds its slot taken
-    is searched in a sorted remainder."""
+    Keys are sorted, and an index over their leading bits, about one entry a key, says where to
+    begin; so a lookup touches two or three places and a table takes little more than its content."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, default: float = 0.0):
         keys = keys.astype(np.uint64, copy=False)
-        size = 1 << max(4, int(np.ceil(np.log2(max(1, 2 * len(keys))))))
-        self.mask = np.uint64(size - 1)
-        self.keys = np.zeros(size, dtype=np.uint64)
-        self.values = np.full(size, default, dtype=values.dtype)
-        slots, chosen = np.unique(keys & self.mask, return_index=True)
-        self.keys[slots], self.values[slots] = keys[chosen], values[chosen]
-        left = np.ones(len(keys), dtype=bool)
-        left[chosen] = False
-        order = np.argsort(keys[left])
-        self.more, self.more_values, self.default = keys[left][order], values[left][order], default
+        order = np.argsort(keys)
+        self.keys, self.values, self.default = keys[order], values[order], default
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        counts = np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.begin = np.concatenate([[0], np.cumsum(counts)]).astype(np.uint32 if len(keys) < 2**32 else np.uint64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys & self.mask
-        hit = self.keys[slot] == keys
-        out = np.where(hit, self.values[slot], self.values.dtype.type(self.default))
-        if len(self.more):
-            rest = np.flatnonzero(~hit)
-            at = np.minimum(np.searchsorted(self.more, keys[rest]), len(self.more) - 1)
-            found = self.more[at] == keys[rest]
-            out[rest[found]] = self.more_values[at[found]]
+        out = np.full(len(keys), self.default, dtype=self.values.dtype)
+        slot = keys >> self.shift
+        at, end = self.begin[slot].astype(np.int64), self.begin[slot + np.uint64(1)].astype(np.int64)
+        open_ = np.flatnonzero(at < end)
+        at, end, wanted = at[open_], end[open_], keys[open_]
+        while len(open_):
+            there = self.keys[at]
+            hit = there == wanted
+            out[open_[hit]] = self.values[at[hit]]
+            at = at + 1
+            go = ~hit & (there < wanted) & (at < end)
+            open_, at, end, wanted = open_[go], at[go], end[go], wanted[go]
         return out

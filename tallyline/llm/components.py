@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm.common import map_arrow
 from tallyline.session import stash
 
 _LINKS = "a long, b long"
@@ -51,7 +52,7 @@ def components(links: DataFrame) -> DataFrame:
     neighbours is reduced by map-side minima. All tables are written to the shared scratch folder.
     An empty link table gives an empty result; repeated and self links change nothing.
     """
-    rest = stash(links.select("a", "b").mapInArrow(_forest, _LINKS), "links")
+    rest = stash(map_arrow(links.select("a", "b"), _forest, _LINKS), "links")
     rounds: list[DataFrame] = []
     while not rest.isEmpty():
         both = rest.union(rest.select("b", "a")).toDF("node", "other")
@@ -61,14 +62,13 @@ def components(links: DataFrame) -> DataFrame:
             "step",
         )
         rounds.append(step)
-        rest = stash(
+        moved = (
             rest.join(step.toDF("a", "left"), "a")
             .join(step.toDF("b", "right"), "b")
             .where("left <> right")
             .select(F.col("left").alias("a"), F.col("right").alias("b"))
-            .mapInArrow(_forest, _LINKS),
-            "links",
         )
+        rest = stash(map_arrow(moved, _forest, _LINKS), "links")
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
     found = rounds[0]

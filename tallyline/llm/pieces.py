@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import passes, table, texts
+from tallyline.llm.common import map_arrow, passes, table, texts
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 decoded = pa.array(list(map(machine.decode, ids)), pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists, decoded], names=[*rest, "ids", "decoded"])
 
-    return docs.select(*rest).mapInArrow(encoded, f"{fields}, ids array<int>, decoded string")
+    return map_arrow(docs.select(*rest), encoded, f"{fields}, ids array<int>, decoded string")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

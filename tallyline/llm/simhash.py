@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import table, texts
+from tallyline.llm.common import map_arrow, table, texts
 from tallyline.llm.components import components
 from tallyline.session import stash
 
@@ -50,7 +50,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, bits)`` of every row; ``bits`` is the fingerprint as a signed long."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(_fingerprints, "doc_id long, bits long")
+    return map_arrow(narrow, _fingerprints, "doc_id long, bits long")
 
 
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:

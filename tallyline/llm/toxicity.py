@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import PUNCTUATION, Lookup, fold, pair_hash, passes, sums, table, words
+from tallyline.llm.common import PUNCTUATION, Lookup, fold, map_arrow, pair_hash, passes, sums, table, words
 from tallyline.session import stash
 
 #: Labelled rows per class that the models learn from at most, those of smallest hash.
-ROWS_PER_CLASS = 3_000
+ROWS_PER_CLASS = 2_000
 #: Words in the windows whose highest ratio is a feature.
 WINDOWS = (2, 8, 32, 128, 512)
 #: A word counts once within so many words.
@@ -167,9 +167,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             half, toxic = (batch.column(c).to_numpy(zero_copy_only=False)[found.owner] for c in ("half", "toxic"))
             for group in range(4):
                 own = (half * 2 + toxic) == group
-                pairs, times = np.unique(np.column_stack([before[own], found.hashes[own]]), axis=0, return_counts=True)
+                left, right = before[own], found.hashes[own]
+                _, at, times = np.unique(pair_hash(left, right), return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pairs), group)), *(pa.array(pairs[:, i].view(np.int64)) for i in (0, 1)), pa.array(times)],
+                    [pa.array(np.full(len(at), group)), *(pa.array(side[at].view(np.int64)) for side in (left, right)), pa.array(times)],
                     names=["kind", "before", "word", "times"],
                 )
 
@@ -193,15 +194,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = chosen.join(F.broadcast(sample), "doc_id")  # rows_per_class rows of each class at most
     rows = stash(chosen.select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("half")), "toxicity-sample")
-    counted = rows.mapInArrow(_count, "kind long, before long, word long, times long")
+    counted = map_arrow(rows, _count, "kind long, before long, word long, times long")
     grid = counted.groupBy("kind", "before", "word").agg(F.sum("times").alias("times")).toArrow()
     kind, times = (grid.column(c).to_numpy() for c in ("kind", "times"))
     before, word = (grid.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
 
     def of(half: int | None, toxic: int):
         own = (kind % 2 == toxic) & (half is None or kind // 2 == half)
-        pairs, inverse = np.unique(np.column_stack([before[own], word[own]]), axis=0, return_inverse=True)
-        return pairs[:, 0].copy(), pairs[:, 1].copy(), np.bincount(inverse.ravel(), weights=times[own], minlength=len(pairs))
+        left, right, n = before[own], word[own], times[own]
+        if half is not None:
+            return left, right, n.astype(np.float64)
+        _, at, inverse = np.unique(pair_hash(left, right), return_index=True, return_inverse=True)
+        return left[at], right[at], np.bincount(inverse, weights=n, minlength=len(at))
 
     if any(not (own := kind % 2 == t).any() or len(np.unique(kind[own])) < 2 for t in (0, 1)):
         return Model(None, np.array([(totals[1] + 1) / (totals[0] + totals[1] + 2)]))
@@ -214,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
                 x = np.where((half == 0)[:, None], *(features(batch.column("text"), r) for r in halves.value))
                 yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(_FEATURES)), batch.column("toxic")], names=[*(f"x{i}" for i in range(_FEATURES)), "toxic"])
 
-    got = rows.mapInArrow(held, ", ".join(f"x{i} double" for i in range(_FEATURES)) + ", toxic int").toArrow()
+    got = map_arrow(rows, held, ", ".join(f"x{i} double" for i in range(_FEATURES)) + ", toxic int").toArrow()
     x = np.column_stack([got.column(f"x{i}").to_numpy() for i in range(_FEATURES)])
     y = got.column("toxic").to_numpy()
     used = np.maximum(np.bincount(y, minlength=2), 1)
@@ -237,7 +241,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for batch in passes(whole):
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column("text")))], names=[*rest, "score"])
 
-    return docs.select(*rest).mapInArrow(scored, f"{fields}, score double")
+    return map_arrow(docs.select(*rest), scored, f"{fields}, score double")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
