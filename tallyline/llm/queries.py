@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyline.llm import language, pieces, secrets, simhash, toxicity
+from tallyline.llm import language, pieces, secrets, simhash, spots, toxicity
 
 QUERIES = {
     "op2_pieces": pieces.query,
     "op4_simhash": simhash.query,
     "op7_secrets": secrets.query,
+    "op8_spots": spots.query,
     "op9_language": language.query,
     "op10_toxicity": toxicity.query,
 }
