@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallyline.llm import language, pieces, secrets, simhash, spots, toxicity
+from tallyline.llm import language, pieces, secrets, simhash, spots, tokenfiles, toxicity
 
 QUERIES = {
     "op2_pieces": pieces.query,
     "op4_simhash": simhash.query,
+    "op5_token_files": tokenfiles.query,
     "op7_secrets": secrets.query,
     "op8_spots": spots.query,
     "op9_language": language.query,
