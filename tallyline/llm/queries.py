@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallyline.llm import language, pieces, secrets, simhash, spots, tokenfiles, toxicity
+from tallyline.llm import language, mixing, pieces, secrets, simhash, spots, tokenfiles, toxicity
 
 QUERIES = {
     "op2_pieces": pieces.query,
+    "op3_mixing": mixing.query,
     "op4_simhash": simhash.query,
     "op5_token_files": tokenfiles.query,
     "op7_secrets": secrets.query,
