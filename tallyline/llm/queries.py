@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tallyline.llm import language, mixing, pieces, secrets, simhash, spots, tokenfiles, toxicity
+from tallyline.llm import embeddings, katz, language, mixing, pieces, secrets, simhash, spots, tokenfiles, toxicity
 
 QUERIES = {
+    "op1_embeddings": embeddings.query,
     "op2_pieces": pieces.query,
     "op3_mixing": mixing.query,
     "op4_simhash": simhash.query,
     "op5_token_files": tokenfiles.query,
+    "op6_katz": katz.query,
     "op7_secrets": secrets.query,
     "op8_spots": spots.query,
     "op9_language": language.query,
