@@ -235,13 +235,23 @@ def _parts(batches: Iterator[pa.RecordBatch], plan: Layout) -> Iterator[pa.Recor
 
 def discounts(n: np.ndarray) -> np.ndarray:
     """Good-Turing discount ratios of counts 1 to ``CUT``, from how many events have counts 1 to
-    ``CUT`` + 1; half a count is taken off instead where these are too few to give ratios between 0 and 1."""
+    ``CUT`` + 1, in Katz's form, which leaves larger counts alone. A corpus with copies has uneven counts of
+    counts; if they give no ratios between 0 and 1, a straight line through their logarithms takes their
+    place (Gale's simple Good-Turing), and half a count is taken off where that fails too."""
     r = np.arange(1, CUT + 1)
-    if (n[1 : CUT + 2] > 0).all():
-        tail = (CUT + 1) * n[CUT + 1] / n[1]
-        d = ((r + 1) * n[r + 1] / (r * n[r]) - tail) / (1 - tail) if tail < 1 else np.zeros(CUT)
-        if ((d > 0) & (d < 1)).all():
-            return d
+    for smooth in (False, True):
+        m = n[: CUT + 2].astype(np.float64)
+        if not (m[1:] > 0).all():
+            break
+        if smooth:
+            every = np.arange(1, CUT + 2)
+            slope, start = np.polyfit(np.log(every), np.log(m[1:]), 1)
+            m[1:] = np.exp(start + slope * np.log(every))
+        tail = (CUT + 1) * m[CUT + 1] / m[1]
+        if tail < 1:
+            d = ((r + 1) * m[r + 1] / (r * m[r]) - tail) / (1 - tail)
+            if ((d > 0) & (d < 1)).all():
+                return d
     return (r - 0.5) / r
 
 
