@@ -23,7 +23,7 @@ KEPT = 1 - 1e-6
 #: The end of a text, a token, and its start, a history only.
 END, START = np.uint64(0x1D4F_0A3B_77C2_9E65), np.uint64(0x62E9_B81C_05D7_43AF)
 #: Text bytes of a block, and tokens of a part of the model, about.
-BLOCK_BYTES, PART_TOKENS = 16 << 20, 4_000_000
+BLOCK_BYTES, PART_TOKENS = 8 << 20, 4_000_000
 #: Frequent words of a sample of documents: their two-byte codes shorten what is sent, and those
 #: with more than an eighth of a part are split by history. Neither changes a result.
 CODED, SAMPLE_DOCS = 65_535, 20_000
@@ -185,19 +185,21 @@ def _count(rows: list[tuple[int, bytes]], plan: Layout) -> list[tuple[str, int,
             table_ += [_slim(np.bincount(group[count == i], minlength=len(keys))) for i in range(1, CUT + 1)]
             table_.append(_slim(np.bincount(group, weights=np.where(count > CUT, count, 0), minlength=len(keys)).astype(np.int64)))
         out.append(("history", 0, _pack([*table_, _slim(np.bincount(group[tr > CUT], minlength=len(keys))), _slim(np.bincount(group[tc > CUT], minlength=len(keys)))])))
-    occurs = np.repeat(np.arange(len(w)), n)
-    R, C = r[inverse][occurs], c[place][occurs]
-    seen, total = R > 0, offset
-    with np.errstate(divide="ignore"):
-        log_c = np.log10(np.maximum(C, 1))
-        sums = [
+    # Of each pair of a block, then of each place where it occurs; one field at a time, for memory.
+    R, C, total = r[inverse], c[place], offset
+    missed, log_c = R == 0, np.log10(np.maximum(c[place], 1))
+    fields = [
+        np.bincount(owner, weights=np.repeat(value, n), minlength=total)
+        for value in (
             np.log10(C + 1.0), np.where(R > CUT, np.log10(np.maximum(R, 1)), 0.0),
-            np.where(w[occurs] != END, log_c, 0.0), np.where(~seen & (C > CUT), log_c, 0.0),
-        ]
-    masks = [C > 0, *(R == i for i in range(1, CUT + 1)), ~seen, *(~seen & (C == i) for i in range(CUT + 1))]
-    fields = [np.bincount(owner, weights=s, minlength=total) for s in sums] + [np.bincount(owner[m], minlength=total) for m in masks]
+            np.where(w != END, log_c, 0.0), np.where(missed & (C > CUT), log_c, 0.0),
+        )
+    ]
+    for mask in (C > 0, *(R == i for i in range(1, CUT + 1)), missed, *(missed & (C == i) for i in range(CUT + 1))):
+        fields.append(np.bincount(owner[np.repeat(mask, n)], minlength=total))
     there = np.bincount(owner, minlength=total) > 0
-    away = np.flatnonzero(~seen)
+    occurs = np.repeat(np.arange(len(w), dtype=np.int32 if len(w) < 2**31 else np.int64), n)
+    away = np.flatnonzero(missed[occurs])
     away = away[np.argsort(owner[away], kind="stable")]
     cuts = np.searchsorted(owner[away], [s[1] for s in starts] + [total])
     for i, (number, begin, size) in enumerate(starts):
