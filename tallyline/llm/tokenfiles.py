@@ -9,7 +9,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate, chain
+from itertools import accumulate
 from uuid import uuid4
 
 import numpy as np
@@ -44,12 +44,12 @@ _ENTRY = np.dtype([("doc_id", "<i8"), ("no_id", "<i8"), ("n_tokens", "<i8"), ("o
 
 
 class Encoder:
-    """A tokenizer with the ids of words it has met.
+    """A tokenizer with the ids of words it has met; gives ids serialised, without the end id.
 
     Byte-level tokenizers split a text, before any merge, at every space that a character other than
-    white space follows or precedes; so a text can be cut before such spaces, and a part's ids do not
-    depend on the rest. Texts in which a space stands between white space go to the tokenizer whole, as all
-    do if it splits in another way."""
+    white space precedes or follows, on both sides of a line break that stands alone, and between a letter and
+    the punctuation after it. A text can be cut there, and a part's ids do not depend on the rest. Texts in which
+    a space stands between white space go to the tokenizer whole, as all do if it splits in another way."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,24 +59,54 @@ class Encoder:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
         self.cuttable = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer")
-        self.words: dict[str, list[int]] = {}
-        self.between = re.compile(r"\s \s")
-
-    def __call__(self, batch: list[str]) -> list[list[int]]:
-        cuts: list[list[str] | None] = []
+        self.between, self.adjacent = re.compile(r"\s \s"), re.compile(r"\s\s")
+        #: Ids of words at the start of a line, and of words after a space.
+        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.line_break, *marks = self._encoded(["\n", *".,;:!?"])
+        self.marks = dict(zip(".,;:!?", marks, strict=True))
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in found]
+
+    def _learn(self, wanted: set[str], spaced: bool) -> list[str]:
+        """Add what is wanted to the known words; returns the new ones."""
+        known, front = self.words[spaced], " " if spaced else ""
+        fresh = [w for w in wanted if w not in known]
+        ends = {w: w[-1] for w in fresh if len(w) > 1 and w[-1] in self.marks and w[-2].isalpha()}
+        cores = [c for c in {w[:-1] if w in ends else w for w in fresh} if c not in known]
+        known.update(zip(cores, self._encoded([front + c for c in cores]), strict=True))
+        known.update((w, known[w[:-1]] + self.marks[end]) for w, end in ends.items())
+        return [*cores, *ends]
+
+    def __call__(self, batch: list[str]) -> list[bytes]:
+        cuts: list[list[tuple[str, list[str]]] | None] = []
+        wanted: tuple[set[str], set[str]] = (set(), set())
         for text in batch:
             if not self.cuttable or self.between.search(text):
                 cuts.append(None)
-            else:
-                first, *rest = text.split(" ")
-                cuts.append([first, *[" " + r for r in rest]] if first else [" " + r for r in rest])
-        fresh = list({w for c in cuts if c for w in c} - self.words.keys())
-        found = {w: e.ids for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True)}
-        if len(self.words) < KEPT_WORDS:
-            self.words.update(x for x in found.items() if len(x[0]) <= 64)
-        whole = iter(self.tokenizer.encode_batch_fast([t for t, c in zip(batch, cuts, strict=True) if c is None], add_special_tokens=False))
-        kept = self.words
-        return [next(whole).ids if c is None else list(chain.from_iterable(found[w] if w in found else kept[w] for w in c)) for c in cuts]
+                continue
+            lines = [text] if self.adjacent.search(text) else text.split("\n")
+            rows = []
+            for line in lines:
+                rest = line.split(" ")
+                first = rest.pop(0)
+                wanted[0].add(first)
+                wanted[1].update(rest)
+                rows.append((first, rest))
+            cuts.append(rows)
+        fresh = [self._learn(w, spaced) for spaced, w in enumerate(wanted)]
+        whole = iter(self._encoded([t for t, c in zip(batch, cuts, strict=True) if c is None]))
+        start, spaced = (known.__getitem__ for known in self.words)
+        out = [
+            next(whole) if c is None else self.line_break.join([start(first) + b"".join(map(spaced, rest)) for first, rest in c])
+            for c in cuts
+        ]
+        for known, new in zip(self.words, fresh, strict=True):
+            if len(known) > KEPT_WORDS:
+                for w in new:
+                    known.pop(w, None)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -84,10 +114,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _serialised(ids: list[int], width: int) -> bytes:
-    return np.array([*ids, END], dtype=f"<u{width}").tobytes()
-
-
 def _open(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path)
 
@@ -114,7 +140,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, sample_docs: int = SAMPLE_
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_serialised(i, encode.width) for i in encode(texts(batch.column(0)).to_pylist())], pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([i + END.to_bytes(encode.width, "little") for i in encode(texts(batch.column(0)).to_pylist())], pa.binary())], names=["ids"])
 
     samples = sorted(r["ids"] for r in map_arrow(chosen, encoded, "ids binary").collect())
     try:
@@ -145,17 +171,19 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None) -> DataFra
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, press = encoder(tokenizer), _compressor(shared.value)
+        end = END.to_bytes(encode.width, "little")
         shard = TaskContext.get().partitionId()
         frames, entries, at, ids = [], [], _HEADER_SIZE, 0
         for whole in batches:
             for batch in passes(whole):
                 keys = batch.column("doc_id").to_pylist()
                 for key, found in zip(keys, encode(texts(batch.column("text")).to_pylist()), strict=True):
-                    frame = press.compress(_serialised(found, encode.width))
-                    entries.append((key or 0, key is None, len(found) + 1, at))
+                    frame = press.compress(found + end)
+                    count = len(found) // encode.width + 1
+                    entries.append((key or 0, key is None, count, at))
                     frames.append(frame)
                     at += len(frame)
-                    ids += len(found) + 1
+                    ids += count
         if not entries:
             return
         index = np.array(entries, dtype=_ENTRY).tobytes()
