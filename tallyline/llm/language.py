@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import fold, map_arrow, passes, table, texts
 from tallyline.session import stash
 
-#: Labelled rows per language that the classifiers learn from at most, those of smallest hash.
-ROWS_PER_LANGUAGE = 1_500
+#: Labelled rows that the classifiers learn from, about: the same share of it for each language,
+#: chosen by hash.
+SAMPLE_ROWS = 4_000
 #: Languages at most; the most frequent ones of the labels.
 LANGUAGES = 256
 #: Byte n-grams are hashed to so many features for each length.
-BUCKETS, LENGTHS = 1 << 12, (1, 2, 3, 4)
+BUCKETS, LENGTHS = 1 << 10, (1, 2, 3, 4)
 #: A prediction counts as ambiguous if the runner-up's loss is within this share of the winner's.
 AMBIGUOUS = 0.25
 
@@ -121,9 +122,9 @@ def _train(x: np.ndarray, y: np.ndarray, languages: list[str], rounds: int = 60)
     return Model(languages, code, w.astype(np.float32), b, np.maximum(trust, 1e-3) / np.maximum(trust, 1e-3).sum())
 
 
-def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from ``docs`` (doc_id, text, lang): rows with a null language, or without a letter, are
-    ignored. A bounded sample, ``rows_per_language`` rows of smallest hash for each of up to 256
+    ignored. A bounded sample, about ``sample_rows`` rows in equal parts of each of up to 256
     languages, goes through the features in Spark; the classifiers are fitted on it. Of repeated rows
     each counts. Without labelled rows the model knows no language."""
     spark = docs.sparkSession
@@ -133,7 +134,8 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((len(LENGTHS) * BUCKETS, 1), np.float32), np.zeros(1), np.ones(1))
     counts = {r["lang"]: r["count"] for r in shares}
-    # A share of each language by hash: about rows_per_language rows, whatever there are.
+    # A share of each language by hash: about so many rows, whatever there are.
+    rows_per_language = sample_rows / len(languages)
     limits = F.create_map(*[F.lit(v) for lang in languages for v in (lang, min(1.0, rows_per_language / counts[lang]))])
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) / F.lit(float(1 << 20)) < limits[F.col("lang")])
     index = F.create_map(*[F.lit(v) for i, lang in enumerate(languages) for v in (lang, i)])
