@@ -792,10 +792,8 @@ SPEC: dict[str, tuple[str, str, str]] = {
     ),
     "M10_smallest_ranks": (COUNTRY, "countries", "FROM countries ORDER BY revenue_rank, country_key LIMIT 10"),
     "M11_cohort_matrix": (
-        "cohort_month:D " + " ".join(f"M{i}:d" for i in range(12)), "cohorts",
-        "SELECT cohort_month, "
-        + ", ".join(f"max(retention_pct) FILTER (month_index = {i}) AS M{i}" for i in range(12))
-        + " FROM cohorts GROUP BY cohort_month",
+        "cohort_month:D month_index:i retention_pct:d", "cohorts",
+        "SELECT cohort_month, month_index, retention_pct FROM cohorts",
     ),
     "M13_version_difference": (
         "complete:i deduplicated:i difference:i", "versions",
@@ -853,6 +851,15 @@ SPEC: dict[str, tuple[str, str, str]] = {
            FROM (SELECT monetary, rank() OVER (ORDER BY monetary DESC) AS place, count(*) OVER () AS n FROM spend)""",
     ),
     "BI6_product_revenue": (
+        "stock_code:s description:s revenue:d revenue_rank:i revenue_contribution:d is_non_merchandise:b",
+        "money dim_product",
+        """SELECT stock_code, any_value(description) AS description, sum(gain) AS revenue,
+                  rank() OVER (ORDER BY sum(gain) DESC) AS revenue_rank,
+                  CAST(sum(gain) AS DOUBLE) / CAST(sum(sum(gain)) OVER () AS DOUBLE) AS revenue_contribution,
+                  stock_code = 'POST' AS is_non_merchandise
+           FROM money JOIN dim_product USING (product_key) WHERE sold GROUP BY stock_code""",
+    ),
+    "BI6_product_revenue_filtered": (
         "stock_code:s description:s revenue:d revenue_rank:i revenue_contribution:d is_non_merchandise:b",
         "money dim_product",
         """SELECT stock_code, any_value(description) AS description, sum(gain) AS revenue,
@@ -872,12 +879,14 @@ SPEC: dict[str, tuple[str, str, str]] = {
                   AS duplicate_revenue_sensitivity FROM delta""",
     ),
     "BI10_product_country_matrix": (
-        "stock_code:s NATION_3:d NATION_7:d NATION_12:d", "product_countries",
-        """SELECT stock_code, sum(revenue) FILTER (country_name = 'NATION_3') AS NATION_3,
-                  sum(revenue) FILTER (country_name = 'NATION_7') AS NATION_7,
-                  sum(revenue) FILTER (country_name = 'NATION_12') AS NATION_12
-           FROM product_countries WHERE country_name IN ('NATION_3', 'NATION_7', 'NATION_12')
-           GROUP BY stock_code""",
+        "stock_code:s country_name:s revenue:d", "product_countries",
+        """WITH best_products AS (SELECT stock_code FROM product_countries GROUP BY 1
+                                  ORDER BY sum(revenue) DESC, stock_code LIMIT 10),
+                best_countries AS (SELECT country_name FROM product_countries GROUP BY 1
+                                   ORDER BY sum(revenue) DESC, country_name LIMIT 5)
+           SELECT stock_code, country_name, revenue
+           FROM best_products CROSS JOIN best_countries
+           LEFT JOIN product_countries USING (stock_code, country_name)""",
     ),
     "BI11_segment_sales": (
         "rfm_segment_heuristic:s " + SALES, "money rfm",
@@ -905,4 +914,15 @@ SPEC["BI7_non_merchandise"] = (
     "SELECT stock_code, stock_code = 'POST' AS is_non_merchandise FROM dim_product",
 )
 
+SPEC["SRC1_manifest"] = (
+    "row_count:i files_without_fingerprint:i repeated_files:i", "raw",
+    "SELECT count(*) AS row_count, 0 AS files_without_fingerprint, 0 AS repeated_files FROM raw",
+)
+SPEC["SRC3_landing"] = (
+    "attempt:i action:s landed_rows:i", "raw",
+    """SELECT attempt, action, CASE WHEN attempt < 4 THEN n ELSE positive END AS landed_rows
+       FROM (VALUES (1, 'land'), (2, 'skip'), (3, 'refuse'), (4, 'overwrite')) AS a(attempt, action),
+            (SELECT count(*) AS n, count_if(Quantity > 0) AS positive FROM raw)""",
+)
+
 STATEMENTS = {key: statement(*parts) for key, parts in SPEC.items()}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --- fixed values: raw columns, in published order ------------------------------------
@@ -69,6 +70,7 @@ DEDUPLICATED = "deduplicated"
 INVOICE_PATTERN = "^C?[0-9]{6}$"
 PRODUCT_CODE_PATTERN = "^[0-9]"
 
+# --- fixed values: columns of the cleaned table, of the fact and of the extracts, in published order
 CLEANED_COLUMNS = ["source_row_id", *LINE_COLUMNS, "transaction_status", "line_revenue", *FLAGS]
 
 RAW_SCHEMA = T.StructType(
@@ -115,6 +117,7 @@ CLEANED_SCHEMA = T.StructType(
 )
 CLEANED_REQUIRED = [f.name for f in CLEANED_SCHEMA.fields if not f.nullable]
 
+# fixed values
 FACT_COLUMNS = [
     "source_row_id",
     "invoice_no",
@@ -146,6 +149,7 @@ def _schema(**columns: T.DataType) -> T.StructType:
 
 
 # One contract per published extract; readers apply it instead of inferring types.
+# fixed values
 EXTRACT_SCHEMAS: dict[str, T.StructType] = {
     "product_performance": _schema(
         product_key=_long, stock_code=_text, description=_text, units_sold=_long,
@@ -215,6 +219,7 @@ EXTRACT_SCHEMAS: dict[str, T.StructType] = {
 }
 
 # Columns that may never appear in a published extract.
+# fixed values
 CUSTOMER_IDENTIFIERS = ["customer_id", "customer_key"]
 
 
@@ -231,6 +236,17 @@ class Star:
     countries: DataFrame
     customers: DataFrame
     products: DataFrame
+    #: The fact with its storage columns ``year`` and ``month``, where it is stored by them.
+    by_month: DataFrame | None = None
+
+    def during(self, first: int, last: int) -> Star:
+        """The model with the fact of these years only. Whole partitions are left out of the scan
+        where the fact is stored by month."""
+        if self.by_month is None:
+            year = F.year("invoice_timestamp")
+            return replace(self, fact=self.fact.filter(year.between(first, last)))
+        part = self.by_month.filter(F.col("year").between(first, last))
+        return replace(self, fact=part.select(*FACT_COLUMNS), by_month=part)
 
     def tables(self) -> dict[str, DataFrame]:
         return {

@@ -9,6 +9,12 @@ EXACT = "decimal(20,2)"
 
 
 def as_price(column: Column) -> Column:
+    """A price with all its digits: it is classified and multiplied before anything is rounded."""
+    return column.cast("decimal(18,8)")
+
+
+def stored_price(column: Column) -> Column:
+    """A price as the fact stores it."""
     return column.cast("decimal(12,4)")
 
 

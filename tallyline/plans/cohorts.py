@@ -68,11 +68,20 @@ def cohort_sizes(cells: DataFrame) -> DataFrame:
     return cells.select("cohort_month", "cohort_size").distinct()
 
 
-def cohort_matrix(cells: DataFrame, months: int) -> DataFrame:
-    """M-11: one row per cohort, one column per month index 0..months-1."""
+def cohort_cells(cells: DataFrame) -> DataFrame:
+    """M-11, one row per cohort and month index."""
+    return cells.select("cohort_month", "month_index", "retention_pct")
+
+
+def cohort_matrix(cells: DataFrame) -> DataFrame:
+    """M-11: one row per cohort, one column M0, M1, ... for every month index that occurs.
+
+    The columns follow the data; there are as many as months between its first and last one."""
+    found = cells.select("month_index").distinct().orderBy("month_index").collect()
+    months = [r["month_index"] for r in found]
     return (
         cells.groupBy("cohort_month")
-        .pivot("month_index", list(range(months)))
+        .pivot("month_index", months)
         .agg(F.first("retention_pct"))
-        .select("cohort_month", *[F.col(str(i)).alias(f"M{i}") for i in range(months)])
+        .select("cohort_month", *[F.col(str(i)).alias(f"M{i}") for i in months])
     )

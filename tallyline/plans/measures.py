@@ -23,8 +23,15 @@ from tallyline.session import stash
 PARTIAL_TEXT = "The selection contains an incomplete month; its growth is not comparable."
 
 
-def wide(star: Star, *dimensions: str, segments: DataFrame | None = None) -> DataFrame:
-    """Fact with the named dimensions: date, country, customer, product, segment."""
+def wide(
+    star: Star,
+    *dimensions: str,
+    segments: DataFrame | None = None,
+    years: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Fact with the named dimensions: date, country, customer, product, segment. ``years``
+    selects the first and last year, and reads these only."""
+    star = star.during(*years) if years else star
     frame = star.fact
     if "date" in dimensions:
         frame = frame.join(star.dates, "date_key")
@@ -33,7 +40,7 @@ def wide(star: Star, *dimensions: str, segments: DataFrame | None = None) -> Dat
     if "product" in dimensions:
         frame = frame.join(star.products, "product_key")
     if "customer" in dimensions:
-        frame = frame.join(star.customers, "customer_key", "left")
+        frame = left_by_customer(frame, star.customers)
     if "segment" in dimensions:
         frame = with_segment(frame, segments)
     return frame
@@ -46,7 +53,17 @@ def with_segment(frame: DataFrame, segments: DataFrame) -> DataFrame:
     repeated = slim.groupBy("customer_key").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.isEmpty():
         raise ContractError("a customer occurs more than once in the segment table")
-    return frame.join(slim, "customer_key", "left")
+    return left_by_customer(frame, slim)
+
+
+def left_by_customer(frame: DataFrame, side: DataFrame) -> DataFrame:
+    """Left join on ``customer_key``. Lines without a customer match nothing; they are joined on
+    a spread key, so that they do not meet in one task."""
+    spread = F.when(F.col("customer_key").isNull(), F.pmod(F.xxhash64("source_row_id"), F.lit(4096)))
+    lines = frame.withColumn("_spread", F.coalesce(spread, F.lit(-1)))
+    keyed = side.withColumnRenamed("customer_key", "_customer").withColumn("_side", F.lit(-1).cast("bigint"))
+    match = (F.col("customer_key") == F.col("_customer")) & (F.col("_spread") == F.col("_side"))
+    return lines.join(keyed, match, "left").drop("_spread", "_side", "_customer")
 
 
 def sales(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -156,18 +173,28 @@ def duplicate_share(versions: DataFrame) -> DataFrame:
     )
 
 
-def product_country_matrix(star: Star, countries: Sequence[str]) -> DataFrame:
-    """BI-10: sales revenue of every product in each of the named countries."""
-    chosen = star.countries.filter(F.col("country_name").isin(list(countries)))
+def product_country_matrix(star: Star, products: int = 10, countries: int = 5) -> DataFrame:
+    """BI-10: sales revenue of the best products in the best countries, one row per pair.
+
+    Both are chosen by sales of the data, ties by code and name; a pair without a sale has no
+    revenue but keeps its row."""
     sums = (
         star.fact.filter(S.sold())
-        .join(chosen, "country_key")
-        .groupBy("product_key")
-        .pivot("country_name", list(countries))
-        .agg(F.sum("line_revenue"))
+        .groupBy("product_key", "country_key")
+        .agg(F.sum("line_revenue").alias("revenue"))
     )
-    return sums.join(star.products.select("product_key", "stock_code"), "product_key").select(
-        "stock_code", *countries
+
+    def best(dimension: DataFrame, key: str, name: str, n: int) -> DataFrame:
+        totals = sums.groupBy(key).agg(F.sum("revenue").alias("_total"))
+        named = totals.join(dimension.select(key, name), key)
+        return named.orderBy(F.col("_total").desc(), name).limit(n).select(key, name)
+
+    rows = best(star.products, "product_key", "stock_code", products)
+    columns = best(star.countries, "country_key", "country_name", countries)
+    # products x countries rows, both parameters
+    grid = rows.withColumn("_one", F.lit(1)).join(columns.withColumn("_one", F.lit(1)), "_one")
+    return grid.join(sums, ["product_key", "country_key"], "left").select(
+        "stock_code", "country_name", "revenue"
     )
 
 

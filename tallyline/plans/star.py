@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline import contracts as C
 from tallyline.contracts import Star
+from tallyline.functions.money import stored_price
 from tallyline.operators.merge import extend_keys, insert_absent, upsert, with_keys
 
 
@@ -111,7 +112,11 @@ def build_fact(
         .withColumn("customer_key", F.when(F.col("customer_id").isNotNull(), F.col("_matched")))
     )
     return joined.withColumns(
-        {"date_key": date_key("invoice_date"), "invoice_timestamp": F.col("invoice_date")}
+        {
+            "date_key": date_key("invoice_date"),
+            "invoice_timestamp": F.col("invoice_date"),
+            "unit_price": stored_price(F.col("unit_price")),
+        }
     ).select(*C.FACT_COLUMNS)
 
 

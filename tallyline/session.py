@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cache
 from typing import Any
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings the plans are written for. Partition counts stay with the cluster; AQE
@@ -47,8 +49,10 @@ def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: below ``spark.checkpoint.dir``, which every executor
     reaches. Only a local master without that setting falls back to a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.conf.get("spark.master", "")
+    single = master == "local" or master.startswith("local[")
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not single:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/tallyline/{spark.conf.get('spark.app.id', 'session')}"
@@ -69,6 +73,16 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def path_missing() -> Iterator[None]:
+    """Pass over the error of a path that does not exist; raise every other one."""
+    try:
+        yield
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+
+
 def concurrently(tasks: Sequence[Callable[[], Any]], at_once: int = 4) -> list[Any]:
     """Run independent jobs side by side, so that one job's last tasks do not idle the rest
     of the cluster. Results keep the order of ``tasks``; the first failure is raised."""

@@ -2,117 +2,150 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+from dataclasses import dataclass
+from posixpath import normpath
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline import contracts as C
-from tallyline.session import stash
+from tallyline.session import path_missing
+from tallyline.sources.files import CSV
 
-# Files up to this size are hashed byte for byte; a file's bytes pass through one task, so
-# larger ones are fingerprinted by their rows instead.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+LOG = "place bigint, folder string, rows bigint, fingerprint string"
 
-MANIFEST = "file string, length bigint, fingerprint string"
 
+_SCHEME = r"^\w+:(//[^/]*)?"
 
-def _base_name(path: str) -> Column:
-    return F.element_at(F.split(F.col(path), "/"), -1)
 
+def _plain(path: str) -> str:
+    """A path without scheme and host, and without redundant slashes and dots."""
+    return normpath(re.sub(_SCHEME, "", path))
 
-def file_manifest(spark: SparkSession, path: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """One row per parquet file below ``path``: name, length and content fingerprint."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-    )
-    small = files.filter(F.col("length") <= limit).select(
-        _base_name("path").alias("file"), "length", F.sha2("content", 256).alias("fingerprint")
-    )
-    if files.filter(F.col("length") > limit).select("length").isEmpty():
-        return small
-    return small.unionByName(_row_fingerprints(spark, path, files, limit))
 
+def _fingerprint() -> Column:
+    """Row count and two independent order-free sums of row hashes. One rule for files of any
+    size and format: the same rows give the same fingerprint however they are stored."""
+    row = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    short = F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    long = F.xxhash64(row).cast("decimal(38,0)")
+    sums = [F.coalesce(F.sum(h), F.lit(0)).cast("string") for h in (long, short)]
+    return F.concat_ws(":", F.count("*").cast("string"), *sums)
 
-def _row_fingerprints(
-    spark: SparkSession, path: str, files: DataFrame, limit: int
-) -> DataFrame:
-    """Row count and an order-free sum of row hashes for every file above ``limit``."""
-    large = files.filter(F.col("length") > limit).select(
-        _base_name("path").alias("file"), "length"
-    )
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    sums = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.concat_ws(
-            ":",
-            F.lit("rows"),
-            F.count("*").cast("string"),
-            F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).cast("string"),
-        ).alias("fingerprint")
-    )
-    return large.join(sums, "file").select("file", "length", "fingerprint")
-
-
-def landing_plan(
-    incoming: DataFrame, landed: DataFrame, force: bool = False, in_place: bool = False
-) -> DataFrame:
-    """Decide per file: land it, skip it, verify it in place, overwrite it or refuse it."""
-    old = landed.select(F.col("file").alias("_f"), F.col("fingerprint").alias("landed_fingerprint"))
-    same = F.col("fingerprint") == F.col("landed_fingerprint")
-    action = (
-        F.when(F.lit(in_place), "verified_in_place")
-        .when(F.col("landed_fingerprint").isNull(), "land")
-        .when(same, "skip")
-        .when(F.lit(force), "overwrite")
-        .otherwise("refuse")
-    )
-    return incoming.join(old, F.col("file") == F.col("_f"), "left").select(
-        "file", "length", "fingerprint", "landed_fingerprint", action.alias("action")
+
+def file_manifest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """One row per file of the extract at ``path``: its place below ``path``, length, rows and
+    content fingerprint."""
+    rows = read_raw(spark, path, fmt)
+    root = _plain(path)
+    file = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "")
+    below = F.substring(file, F.locate(root, file) + len(root) + 1, F.length(file))
+    tagged = rows.select("*", below.alias("_file"), F.col("_metadata.file_size").alias("_length"))
+    kept = [c for c in tagged.columns if c not in ("_file", "_length")]
+    row = F.to_json(F.struct(*kept), {"ignoreNullFields": "false"})
+    short = F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    sums = [F.sum(h).cast("string") for h in (F.xxhash64(row).cast("decimal(38,0)"), short)]
+    return tagged.groupBy(F.col("_file").alias("file"), F.col("_length").alias("length")).agg(
+        F.count("*").alias("rows"), F.concat_ws(":", F.count("*").cast("string"), *sums).alias("fingerprint")
     )
 
 
+def extract_fingerprint(rows: DataFrame) -> tuple[int, str]:
+    """Rows and fingerprint of a whole extract."""
+    found = rows.select(*C.RAW_COLUMNS).agg(F.count("*").alias("rows"), _fingerprint().alias("fingerprint")).first()
+    return found["rows"], found["fingerprint"]
+
+
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw extract under its declared schema; required columns are checked before any job."""
+    """Raw extract under its declared schema; required columns are checked before any job. A CSV
+    line that does not fit the schema stops the read."""
     if fmt == "csv":
-        header = spark.read.option("header", "true").csv(path)
+        reader = spark.read.options(mode="FAILFAST", **CSV)
+        header = reader.csv(path)
         C.require_columns(header, C.RAW_COLUMNS, f"raw extract {path}")
         types = {f.name: f.dataType for f in C.RAW_SCHEMA.fields}
         schema = T.StructType(
             [T.StructField(c, types.get(c, T.StringType()), True) for c in header.columns]
         )
-        return spark.read.option("header", "true").schema(schema).csv(path)
+        return reader.schema(schema).csv(path)
     raw = spark.read.format(fmt).load(path)
     C.require_columns(raw, C.RAW_COLUMNS, f"raw extract {path}")
     return raw
 
 
+@dataclass(frozen=True)
+class Landing:
+    """What was decided, and where the landed data are."""
+
+    action: str
+    rows: int
+    folder: str
+
+
+def decide(
+    incoming: str, recorded: str | None, present: str | None, force: bool = False, in_place: bool = False
+) -> str:
+    """The action for an extract, from the fingerprints of what comes, what was recorded when it
+    was landed, and what is there now."""
+    if recorded is None:
+        return "land"
+    if present != recorded:
+        return "overwrite" if force and not in_place else "refuse"
+    if in_place:
+        return "verified_in_place"
+    if incoming == recorded:
+        return "skip"
+    return "overwrite" if force else "refuse"
+
+
+def _recorded(spark: SparkSession, landing: str):
+    """The last entry of the landing log, or None."""
+    with path_missing():
+        return spark.read.schema(LOG).parquet(f"{landing}/log").orderBy(F.desc("place")).first()
+    return None
+
+
+def landed(spark: SparkSession, landing: str) -> DataFrame:
+    """The landed extract."""
+    entry = _recorded(spark, landing)
+    if entry is None:
+        raise C.ContractError(f"nothing has been landed in {landing}")
+    return spark.read.parquet(entry["folder"])
+
+
 def land(
-    spark: SparkSession, source: str, landing: str, force: bool = False
-) -> DataFrame:
+    spark: SparkSession, source: str, landing: str, force: bool = False, fmt: str = "parquet"
+) -> Landing:
     """Copy an extract into its landing folder once, guarded by content fingerprints.
 
-    The landing folder keeps the data as ``data`` and the manifest of the source it came
-    from as ``manifest``. Identical content is skipped, changed content is refused unless
-    ``force``. Returns the decisions.
+    Both sides are read each time: the source, and what was landed, which is compared with the
+    entry written when it was. Identical content is skipped; other content, landed data that
+    changed or vanished, are refused unless ``force``. Every copy goes to a folder of its own, and the
+    entry in the log, written last, makes it the current one: a copy that fails leaves the old one.
     """
-    raw = read_raw(spark, source)
-    incoming = stash(file_manifest(spark, source), "manifest")
-    try:
-        landed = spark.read.schema(MANIFEST).parquet(f"{landing}/manifest")
-    except AnalysisException:  # no manifest yet: nothing has been landed
-        landed = spark.createDataFrame([], MANIFEST)
-    plan = stash(landing_plan(incoming, landed, force, in_place=source == f"{landing}/data"), "plan")
-    refused = plan.filter("action = 'refuse'")
-    if not refused.isEmpty():
-        names = [r["file"] for r in refused.select("file").limit(5).toLocalIterator()]
-        raise C.ContractError(f"landed content differs for {names}; pass force to replace it")
-    if not plan.filter("action IN ('land', 'overwrite')").isEmpty():
-        raw.write.mode("overwrite").parquet(f"{landing}/data")
-        incoming.write.mode("overwrite").parquet(f"{landing}/manifest")
-    return plan
+    raw = read_raw(spark, source, fmt)
+    rows, incoming = extract_fingerprint(raw)
+    entry = _recorded(spark, landing)
+    recorded = present = None
+    if entry is not None:
+        recorded = entry["fingerprint"]
+        with path_missing():
+            present = extract_fingerprint(read_raw(spark, entry["folder"]))[1]
+    in_place = entry is not None and _plain(source) == _plain(entry["folder"])
+    action = decide(incoming, recorded, present, force, in_place)
+    if action == "refuse":
+        why = "landed data changed since" if present != recorded else "content differs from what was landed"
+        raise C.ContractError(f"{source}: {why} ({entry['rows']} rows then, {rows} offered); pass force to replace it")
+    if action in ("skip", "verified_in_place"):
+        return Landing(action, rows, entry["folder"])
+    folder = f"{landing}/data-{uuid4().hex}"
+    raw.write.parquet(folder)
+    place = 1 if entry is None else entry["place"] + 1
+    spark.createDataFrame([(place, folder, rows, incoming)], LOG).write.mode("append").parquet(f"{landing}/log")
+    return Landing(action, rows, folder)
 
 
 def schema_findings(raw: DataFrame) -> list[str]:

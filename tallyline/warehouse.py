@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from tallyline.contracts import ContractError, Star
 from tallyline.operators.cleaning import with_month
 from tallyline.plans import star as build
 from tallyline.plans.rules import check_staging, reconcile
-from tallyline.session import concurrently
+from tallyline.session import concurrently, path_missing
 
 # Dimensions up to this stored size are broadcast to the fact build; larger ones shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -38,11 +37,10 @@ class Warehouse:
         self.spark, self.root = spark, root
 
     def current_version(self) -> int | None:
-        try:
+        with path_missing():
             log = self.spark.read.schema("version bigint").parquet(f"{self.root}/published")
-        except AnalysisException:
-            return None
-        return log.agg(F.max("version")).first()[0]
+            return log.agg(F.max("version")).first()[0]
+        return None
 
     def _path(self, version: int, table: str) -> str:
         return f"{self.root}/v={version}/{table}"
@@ -54,8 +52,9 @@ class Warehouse:
         version = self.current_version() if version is None else version
         if version is None:
             raise ContractError(f"nothing has been published in {self.root}")
-        fact = self._read(version, "fact_sales").select(*C.FACT_COLUMNS)
-        return Star(fact, *[self._read(version, name) for name in DIMENSIONS])
+        by_month = self._read(version, "fact_sales")
+        dimensions = [self._read(version, name) for name in DIMENSIONS]
+        return Star(by_month.select(*C.FACT_COLUMNS), *dimensions, by_month=by_month)
 
     def _stored_bytes(self, version: int, tables: list[str]) -> int:
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -73,13 +72,16 @@ class Warehouse:
             # A shuffle join loses the order by time; gather months again. Rebalancing
             # splits a large month over several tasks instead of writing it in one.
             fact = fact.hint("rebalance", F.col("year"), F.col("month"))
+        # Rare statuses then lie together, so that their row groups can be told by their bounds.
+        fact = fact.sortWithinPartitions("year", "month", "transaction_status", "source_row_id")
         fact.write.partitionBy("year", "month").parquet(self._path(version, "fact_sales"))
 
-    def load(self, cleaned: DataFrame, strict: bool = False) -> Loaded:
+    def load(self, cleaned: DataFrame, allow_vanished: bool = False) -> Loaded:
         """Merge a cleaned table into the model and publish the result.
 
-        Broken references stop the load. Differences between source and fact are reported,
-        and stop it only if ``strict``: lines that vanished from the source stay in the fact.
+        Broken references stop the load, and so does a fact that does not reconcile with its source
+        line by line. Lines that vanished from the source stay in the fact; a load that is meant to
+        leave some out says so with ``allow_vanished``. The comparison is stored with the version.
         """
         check_staging(cleaned)
         current = self.current_version()
@@ -102,9 +104,12 @@ class Warehouse:
         broken = build.broken_references(star).filter("rows > 0").collect()  # one row per guard
         if broken:
             raise ContractError("; ".join(f"{r['guard']}: {r['rows']} rows" for r in broken))
-        checks = reconcile(cleaned, star.fact)
-        if strict and not reconcile(cleaned, star.fact, per_line=True).filter("NOT passed").isEmpty():
-            raise ContractError("the fact does not reconcile with its source")
+        reconcile(cleaned, star.fact, per_line=True).write.parquet(self._path(version, "reconciliation"))
+        checks = self._read(version, "reconciliation")
+        failed = checks.filter("NOT passed").collect()  # one row per check
+        if failed and not allow_vanished:
+            names = ", ".join(sorted(r["check_name"] for r in failed))
+            raise ContractError(f"the fact does not reconcile with its source: {names}")
         self._publish(version)
         return Loaded(version, star, checks)
 
@@ -116,13 +121,12 @@ class Warehouse:
         return version
 
     def _exists(self, version: int) -> bool:
-        try:
+        with path_missing():
             self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
                 f"{self.root}/v={version}"
             )
-        except AnalysisException:
-            return False
-        return True
+            return True
+        return False
 
     def _publish(self, version: int) -> None:
         entry = self.spark.range(version, version + 1).select(F.col("id").alias("version"))

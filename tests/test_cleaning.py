@@ -84,6 +84,13 @@ def test_pennies_round_half_up(spark):
     assert [str(got[f"60000{i}"]["line_revenue"]) for i in range(4)] == ["1.01", "2.68", "0.01", "1.00"]
 
 
+def test_prices_keep_their_digits_until_the_product(spark):
+    rows = [("620001", "1", "x", 1000, "2012-05-01", 0.00005, 1, UK), ("620002", "1", "x", 1, "2012-05-01", 0.00004, 1, UK)]
+    got = rows_of(clean(raw_frame(spark, rows)), "invoice_no")
+    assert got["620001"]["line_revenue"] == Decimal("0.05")
+    assert got["620002"]["transaction_status"] == "valid_sale" and not got["620002"]["flag_non_positive_price"]
+
+
 def test_exact_sum_of_many_tenths(spark):
     many = spark.range(1000).select(
         F.lit(1).alias("quantity"),

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import PROFILE_ROWS, raw_frame, rows_of
+from conftest import UK, PROFILE_ROWS, raw_frame, rows_of
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
@@ -73,35 +73,89 @@ def test_quotes_and_line_breaks_survive_csv(spark, tmp_path):
     assert back["c"]["description"] == text and back["d"]["description"] is None
 
 
+def _lines(n, start=0):
+    return [(f"61{i:04d}", f"{30_000 + i % 3}", f"ARTICLE {i % 3}", i % 5 + 1, f"2012-05-{i % 28 + 1:02d}", 1.5 + i, 70 + i, UK) for i in range(start, n)]
+
+
 def test_landing(spark, tmp_path):
     source, other, target = (str(tmp_path / n) for n in ("source", "other", "landing"))
-    raw_frame(spark, PROFILE_ROWS).coalesce(1).write.parquet(source)
-    assert [r["action"] for r in landing.land(spark, source, target).collect()] == ["land"]
-    assert [r["action"] for r in landing.land(spark, source, target).collect()] == ["skip"]
-    assert landing.read_raw(spark, f"{target}/data").count() == 8
-
-    manifest = landing.file_manifest(spark, source)
-    changed = manifest.withColumn("fingerprint", F.lit("other"))
-    actions = {
-        (force, place): landing.landing_plan(changed, manifest, force, place).first()["action"]
-        for force in (False, True) for place in (False, True)
-    }
-    assert actions == {
-        (False, False): "refuse", (True, False): "overwrite",
-        (False, True): "verified_in_place", (True, True): "verified_in_place",
-    }
-    raw_frame(spark, PROFILE_ROWS).drop("Country").write.parquet(other)
+    raw_frame(spark, _lines(9)).coalesce(1).write.parquet(source)
+    assert landing.land(spark, source, target).action == "land"
+    assert landing.land(spark, f"file:{source}/", target).action == "skip"
+    assert landing.landed(spark, target).count() == 9
+    first = landing.land(spark, source, target).folder
+    assert landing.land(spark, first, target).action == "verified_in_place"
+    raw_frame(spark, _lines(9)).drop("Country").write.parquet(other)
     with pytest.raises(C.ContractError, match="Country"):
         landing.land(spark, other, target)
 
 
-def test_large_files_are_fingerprinted_by_rows(spark, tmp_path):
-    a, b = str(tmp_path / "a"), str(tmp_path / "b")
-    frame = raw_frame(spark, PROFILE_ROWS).coalesce(1)
-    frame.write.parquet(a)
-    frame.orderBy(F.col("InvoiceNo").desc()).coalesce(1).write.parquet(b)
-    prints = [landing.file_manifest(spark, p, limit=10).first()["fingerprint"] for p in (a, b)]
-    assert prints[0] == prints[1] and prints[0].startswith("rows:8:")
+def test_landing_refuses_a_rewritten_source(spark, tmp_path):
+    source, part, target = (str(tmp_path / n) for n in ("source", "part", "landing"))
+    raw_frame(spark, _lines(9)).write.parquet(source)
+    landing.land(spark, source, target)
+    raw_frame(spark, _lines(4)).write.parquet(part)
+    with pytest.raises(C.ContractError, match="content differs"):
+        landing.land(spark, part, target)
+    assert landing.landed(spark, target).count() == 9
+    assert landing.land(spark, part, target, force=True).action == "overwrite"
+    assert landing.landed(spark, target).count() == 4
+
+
+def test_landing_notices_damaged_and_vanished_data(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "landing")
+    raw_frame(spark, _lines(9)).repartition(3).write.parquet(source)
+    folder = landing.land(spark, source, target).folder
+    raw_frame(spark, _lines(8)).write.mode("overwrite").parquet(folder)
+    with pytest.raises(C.ContractError, match="landed data changed"):
+        landing.land(spark, source, target)
+    assert landing.land(spark, source, target, force=True).action == "overwrite"
+    next(p for p in (tmp_path / "source").glob("*.parquet")).unlink()
+    with pytest.raises(C.ContractError, match="content differs"):
+        landing.land(spark, source, target)
+
+
+def test_partitioned_extract_lands_once(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "landing")
+    for i in range(3):
+        raw_frame(spark, _lines(3 * i + 3, 3 * i)).coalesce(1).write.parquet(f"{source}/day={i}")
+    files_ = rows_of(landing.file_manifest(spark, source))
+    assert len(files_) == 3 and {f["file"].split("/")[0] for f in files_} == {"day=0", "day=1", "day=2"}
+    assert sum(f["rows"] for f in files_) == 9
+    assert [landing.land(spark, source, target).action for _ in range(2)] == ["land", "skip"]
+
+
+def test_one_rule_for_files_of_any_order_and_format(spark, tmp_path):
+    a, b, c = (str(tmp_path / n) for n in "abc")
+    frame = raw_frame(spark, _lines(9))
+    frame.coalesce(1).write.parquet(a)
+    frame.orderBy(F.col("InvoiceNo").desc()).repartition(4).write.parquet(b)
+    frame.write.option("header", "true").csv(c)
+    prints = [landing.extract_fingerprint(landing.read_raw(spark, p, f)) for p, f in ((a, "parquet"), (b, "parquet"), (c, "csv"))]
+    assert prints[0] == prints[1] == prints[2] and prints[0][0] == 9
+    target = str(tmp_path / "landing")
+    assert landing.land(spark, c, target, fmt="csv").action == "land"
+    assert landing.land(spark, a, target).action == "skip"
+    assert rows_of(landing.file_manifest(spark, c, "csv"))[0]["file"].endswith(".csv")
+
+
+def test_raw_csv_with_quotes_breaks_and_bad_numbers(spark, tmp_path):
+    head = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    good = tmp_path / "good.csv"
+    good.write_text(head + '610001,30001,"SAY ""HI"", NOW",2,2012-05-01 10:00:00,2.5,71,France\n610002,30002,"TWO\nLINES",3,2012-05-01 10:00:00,1.5,72,Spain\n')
+    found = rows_of(landing.read_raw(spark, str(good), "csv"), "InvoiceNo")
+    assert found["610001"]["Description"] == 'SAY "HI", NOW' and found["610001"]["Quantity"] == 2
+    assert found["610002"]["Description"] == "TWO\nLINES" and found["610002"]["Country"] == "Spain"
+    bad = tmp_path / "bad.csv"
+    bad.write_text(head + "610001,30001,A,many,2012-05-01 10:00:00,2.5,71,France\n")
+    with pytest.raises(Exception, match="MALFORMED|many"):
+        landing.read_raw(spark, str(bad), "csv").collect()
+
+
+def test_export_has_a_time(spark, tmp_path):
+    done = [files.export_table("t", spark.range(2), str(tmp_path))]
+    row = files.export_manifest(spark, done).first()
+    assert row["exported_at"] is not None and (row["row_count"], row["column_count"]) == (2, 1)
 
 
 def test_csv_source(spark, tmp_path):

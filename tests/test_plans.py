@@ -112,8 +112,8 @@ def test_cohorts(sales_tables):
     assert found[0]["cohort_size"] == found[0]["returning_customers"] == 3
     assert found[1]["returning_customers"] == 1 and found[1]["retention_pct"] == Decimal("33.33")
     assert found[0]["dataset_last_month"] == date(2011, 4, 1)
-    matrix = cohorts.cohort_matrix(cells, 3).first()
-    assert (matrix["M0"], matrix["M1"], matrix["M2"]) == (Decimal("100.00"), Decimal("33.33"), None)
+    matrix = cohorts.cohort_matrix(cells).first()
+    assert matrix.asDict() == {"cohort_month": date(2011, 3, 1), "M0": Decimal("100.00"), "M1": Decimal("33.33")}
     assert cohorts.retention_curve(cells).count() == 1
     assert cohorts.retention_curve(cells, eligible_only=True).count() == 0
 

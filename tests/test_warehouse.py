@@ -4,11 +4,15 @@ from decimal import Decimal
 
 import pytest
 from conftest import SALES_ROWS, UK, raw_frame, rows_of
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
+from tallyline import pipeline
 from tallyline.operators.cleaning import clean
+from tallyline.plans import measures
 from tallyline.plans import star as build
+from tallyline.session import path_missing
 from tallyline.warehouse import Warehouse
 
 
@@ -23,8 +27,8 @@ def _clean(spark, rows):
 
 def test_reload_changes_nothing(spark, warehouse):
     cleaned = _clean(spark, SALES_ROWS)
-    first = warehouse.load(cleaned, strict=True)
-    second = warehouse.load(cleaned, strict=True)
+    first = warehouse.load(cleaned)
+    second = warehouse.load(cleaned)
     assert (first.version, second.version) == (1, 2)
     for name, table in first.star.tables().items():
         assert sorted(map(str, table.collect())) == sorted(map(str, second.star.tables()[name].collect()))
@@ -48,13 +52,13 @@ def test_second_load_updates_inserts_and_keeps(spark, warehouse):
         .withColumn("description", F.when(F.col("stock_code") == "20002", "RENAMED").otherwise(F.col("description")))
         .withColumn("stock_code", F.when(F.col("source_row_id") == 5, "10000").otherwise(F.col("stock_code")))
     )
-    new = warehouse.load(changed).star
+    new = warehouse.load(changed, allow_vanished=True).star
     assert new.fact.count() == 7
     before, after = rows_of(old.products, "stock_code"), rows_of(new.products, "stock_code")
     assert after["20001"]["product_key"] == before["20001"]["product_key"]
     assert after["20002"]["description"] == "RENAMED"
     assert after["10000"]["product_key"] == 3
-    assert not all(r["passed"] for r in warehouse.load(changed).reconciliation.collect())
+    assert not all(r["passed"] for r in warehouse.load(changed, allow_vanished=True).reconciliation.collect())
 
 
 def test_failed_load_leaves_the_published_version(spark, warehouse):
@@ -115,3 +119,56 @@ def test_join_strategies_agree(spark, public_tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert small.filter("customer_key IS NULL").count() == 1
     assert small.agg(F.sum("line_revenue")).first()[0] == Decimal("93.00")
+
+
+def test_each_gate_stops_the_pipeline(spark, tmp_path, monkeypatch):
+    """A fault at any stage raises and leaves the version that was published."""
+    folder = str(tmp_path / "run")
+    published = Warehouse(spark, f"{folder}/warehouse")
+    published.load(_clean(spark, SALES_ROWS))
+
+    def runs(change=lambda df: df):
+        return pipeline.run(spark, lambda: change(raw_frame(spark, SALES_ROWS)), folder)
+
+    stages = (("raw", "structural"), ("cleaned", "line_revenue_consistent"), ("fact", "does not reconcile"))
+    for name, match in stages:
+        folder = str(tmp_path / f"run-{name}")
+        monkeypatch.setattr(pipeline, "Warehouse", lambda s, _: published)
+        with monkeypatch.context() as m, pytest.raises(C.ContractError, match=match):
+            if name == "cleaned":
+                m.setattr(pipeline, "clean", lambda raw: clean(raw).withColumn("line_revenue", F.lit(7).cast("decimal(14,2)")))
+            if name == "fact":
+                made = build.build_fact
+                m.setattr(build, "build_fact", lambda *a, **k: made(*a, **k).withColumn("line_revenue", F.lit(7).cast("decimal(14,2)")))
+            runs((lambda df: df.drop("Country").withColumn("Country", F.lit(3))) if name == "raw" else (lambda df: df))
+        assert published.current_version() == 1
+
+
+def test_years_prune_partitions(spark, sales_tables):
+    part = sales_tables.star.during(2011, 2011).fact
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert part.columns == C.FACT_COLUMNS and part.count() == 7
+    assert sales_tables.star.during(2012, 2013).fact.count() == 0
+
+
+def test_lines_without_a_customer_are_spread(spark, sales_tables):
+    star = sales_tables.star
+    nobody = star.fact.withColumn("customer_key", F.when(F.col("source_row_id") < 0, F.col("customer_key")))
+    segments = star.customers.select("customer_key", F.lit("s").alias("rfm_segment_heuristic"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = measures.with_segment(nobody, segments)
+        assert "_spread" in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.filter("rfm_segment_heuristic IS NULL").count() == 7
+        assert measures.with_segment(star.fact, segments).filter("rfm_segment_heuristic = 's'").count() == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_only_missing_paths_are_passed_over(spark, tmp_path):
+    with path_missing():
+        spark.read.parquet(str(tmp_path / "nothing"))
+    with pytest.raises(AnalysisException), path_missing():
+        spark.range(1).select("unheard_of")
