@@ -117,14 +117,29 @@ class Words:
         return np.concatenate([[0], np.cumsum(self.sizes)])
 
 
+#: Text bytes that are split at a time; temporaries take some forty times as much.
+_SPLIT_BYTES = 1 << 20
+
+
 def words(column: pa.Array, separator: np.ndarray = SPACE) -> Words:
     """Split texts, lower-casing A-Z only, and hash every word (64 bits: two different words in
     a vocabulary of a billion share one with a probability of about three in a hundred)."""
     column = texts(column)
-    count = len(column)
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64, count=count + 1, offset=column.offset * 8)
-    data = column.buffers()[2]
-    low, high = (int(offsets[0]), int(offsets[-1])) if count else (0, 0)
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64, count=len(column) + 1, offset=column.offset * 8)
+    found, start = [], 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + _SPLIT_BYTES, side="right")) - 1)
+        part = _split(column.buffers()[2], offsets[start : stop + 1], separator)
+        found.append(Words(part.hashes, part.owner + start, part.sizes))
+        start = stop
+    if len(found) == 1:
+        return found[0]
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return Words(*(np.concatenate([none[i], *(getattr(f, name) for f in found)]) for i, name in enumerate(("hashes", "owner", "sizes"))))
+
+
+def _split(data: pa.Buffer | None, offsets: np.ndarray, separator: np.ndarray) -> Words:
+    count, low, high = len(offsets) - 1, int(offsets[0]), int(offsets[-1])
     if high == low:
         return Words(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(count, np.int64))
     raw = _LOWER[np.frombuffer(data, dtype=np.uint8, count=high - low, offset=low)]
