@@ -31,7 +31,7 @@ def codewords(languages: int, seed: int = 7) -> np.ndarray:
     if languages <= 1:
         return np.ones((languages, 1))
     if languages <= 7:
-        splits = np.arange(1, 2 ** (languages - 1))
+        splits = np.arange(2 ** (languages - 1) - 1)
         return np.array([[1.0] * len(splits)] + [np.where(splits >> i & 1, 1.0, -1.0) for i in range(languages - 1)])
     draw = np.random.default_rng(seed)
     width, best, most = int(np.ceil(10 * np.log2(languages))), None, -1.0
