@@ -83,10 +83,11 @@ class Encoder:
         cuts: list[list[tuple[str, list[str]]] | None] = []
         wanted: tuple[set[str], set[str]] = (set(), set())
         for text in batch:
-            if not self.cuttable or self.between.search(text):
+            gaps = self.adjacent.search(text)
+            if not self.cuttable or gaps and self.between.search(text, gaps.start()):
                 cuts.append(None)
                 continue
-            lines = [text] if self.adjacent.search(text) else text.split("\n")
+            lines = [text] if gaps else text.split("\n")
             rows = []
             for line in lines:
                 rest = line.split(" ")
