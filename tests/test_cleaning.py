@@ -28,15 +28,16 @@ def test_statuses_and_revenue(cleaned):
         for r in rows_of(cleaned)
     }
     assert found == {
-        ("600001", "10001"): ("valid_sale", Decimal("10.00")),
-        ("C600002", "10001"): ("cancellation", Decimal("-6.00")),
-        ("C600003", "10002"): ("cancellation", Decimal("6.00")),
-        ("600004", "10003"): ("potential_return", Decimal("0.00")),
-        ("600005", "10004"): ("non_standard", Decimal("0.00")),
-        ("A600006", "10005"): ("non_standard", Decimal("50.00")),
-        ("600007", "10006"): ("non_standard", Decimal("10.00")),
-        ("600008", "POST"): ("valid_sale", Decimal("15.00")),
-        ("600009", "10007"): ("valid_sale", Decimal("15.00")),
+        ("850001", "72001"): ("valid_sale", Decimal("12.00")),
+        ("850002", "POST"): ("valid_sale", Decimal("6.50")),
+        ("850003", "72002"): ("valid_sale", Decimal("14.50")),
+        ("C850004", "72001"): ("cancellation", Decimal("-4.00")),
+        ("C850005", "72002"): ("cancellation", Decimal("7.25")),
+        ("850006", "72003"): ("potential_return", Decimal("0.00")),
+        ("850007", "72004"): ("non_standard", Decimal("0.00")),
+        ("X850008", "72005"): ("non_standard", Decimal("33.00")),
+        ("850009", "72006"): ("non_standard", Decimal("0.00")),
+        ("850010", "72007"): ("non_standard", Decimal("8.50")),
     }
 
 
@@ -46,13 +47,13 @@ def test_flags(cleaned):
         "flag_missing_customer_id": 4,
         "flag_missing_description": 1,
         "flag_non_positive_price": 2,
-        "flag_zero_quantity": 0,
+        "flag_zero_quantity": 1,
         "flag_duplicate_candidate": 2,
         "flag_non_standard_invoice_format": 1,
         "flag_non_standard_stock_code": 1,
     }
     duplicated = cleaned.filter("flag_duplicate_candidate").select("invoice_no").distinct()
-    assert [r[0] for r in duplicated.collect()] == ["600001"]
+    assert [r[0] for r in duplicated.collect()] == ["850001"]
 
 
 def test_ids_are_contiguous_and_repeatable(class_raw, cleaned):
@@ -114,16 +115,16 @@ def test_summary(class_raw, cleaned):
         (r["section"], r["metric"]): r["value"] for r in rows_of(profile.cleaning_summary(cleaned))
     }
     expected = {
-        ("rows", "raw"): 10, ("rows", "cleaned"): 10,
+        ("rows", "raw"): 11, ("rows", "cleaned"): 11,
         ("status_count", "valid_sale"): 4, ("status_count", "cancellation"): 2,
-        ("status_count", "potential_return"): 1, ("status_count", "non_standard"): 3,
-        ("status_pct", "non_standard"): 30,
+        ("status_count", "potential_return"): 1, ("status_count", "non_standard"): 4,
+        ("status_pct", "non_standard"): Decimal("36.36"),
         ("exceptions", "cancellation_exceptions"): 1, ("exceptions", "invoice_format_exceptions"): 1,
         ("duplicates", "candidate_row_count"): 2, ("duplicates", "distinct_group_count"): 1,
         ("duplicates", "largest_group_size"): 2,
-        ("revenue", "gross_sales_revenue"): 50, ("revenue", "cancellation_value"): 0,
-        ("revenue", "potential_return_value"): 0, ("revenue", "non_standard_value"): 60,
-        ("revenue", "net_revenue"): 50,
+        ("revenue", "gross_sales_revenue"): 45, ("revenue", "cancellation_value"): Decimal("3.25"),
+        ("revenue", "potential_return_value"): 0, ("revenue", "non_standard_value"): Decimal("41.50"),
+        ("revenue", "net_revenue"): Decimal("48.25"),
     }
     assert {k: found[k] for k in expected} == expected
 
@@ -148,7 +149,7 @@ def test_invariants_hold_and_each_break_is_seen(class_raw, cleaned):
 def test_cleaning_warnings(cleaned):
     found = {r["rule"]: (r["row_count"], r["severity"]) for r in rows_of(rules.cleaning_warnings(cleaned))}
     assert found == {
-        "non_standard_transactions": (3, "warning"),
+        "non_standard_transactions": (4, "warning"),
         "potential_return_zero_value": (1, "info"),
         "cancellation_exceptions": (1, "warning"),
         "non_standard_invoice_format": (1, "warning"),

@@ -34,10 +34,10 @@ def test_public_extracts(spark, published):
 
 def test_anomalous_extract(published):
     rows = rows_of(published[1]["anomalous_transactions"])
-    assert [r["invoice_no"] for r in rows] == ["A900005"]
+    assert [r["invoice_no"] for r in rows] == ["B830506"]
     assert not {"customer_id", "customer_key", "source_row_id"} & set(rows[0])
     flags = rows_of(published[1]["product_performance"], "stock_code")
-    assert flags["POST"]["is_non_merchandise"] and not flags["40001"]["is_non_merchandise"]
+    assert flags["POST"]["is_non_merchandise"] and not flags["62001"]["is_non_merchandise"]
 
 
 def test_leak_and_stale_file_are_caught(spark, tmp_path):
@@ -53,7 +53,7 @@ def test_bi_model(spark, public_tables, tmp_path):
     tables = {name: make(public_tables.star) for name, make in extracts.BI_MODEL.items()}
     done = {r.name: r for r in files.export_all(tables, str(tmp_path))}
     assert len(done) == 9
-    assert (done["fact_sales"].row_count, done["fact_sales"].column_count) == (5, 18)
+    assert (done["fact_sales"].row_count, done["fact_sales"].column_count) == (6, 18)
 
 
 def test_extract_contracts(spark, tmp_path):
@@ -163,4 +163,4 @@ def test_csv_source(spark, tmp_path):
     raw_frame(spark, PROFILE_ROWS).write.option("header", "true").csv(path)
     raw = landing.read_raw(spark, path, "csv")
     landing.validate_schema(raw)
-    assert raw.schema["Quantity"].dataType.simpleString() == "int" and raw.count() == 8
+    assert raw.schema["Quantity"].dataType.simpleString() == "int" and raw.count() == 9

@@ -13,10 +13,10 @@ from tallyline.plans import cohorts, customers, measures, metrics, products, qua
 def test_headline(sales_tables):
     row = sales.headline(sales_tables.star.fact).first()
     assert row["total_orders"] == 5
-    assert row["gross_sales_revenue"] == Decimal("105.00")
-    assert row["cancellation_value"] == Decimal("-10.00")
-    assert row["net_revenue"] == Decimal("95.00")
-    assert row["average_order_value"] == Decimal("19.00")
+    assert row["gross_sales_revenue"] == Decimal("89.00")
+    assert row["cancellation_value"] == Decimal("-20.00")
+    assert row["net_revenue"] == Decimal("69.00")
+    assert row["average_order_value"] == Decimal("13.80")
 
 
 def test_growth(sales_tables):
@@ -24,9 +24,9 @@ def test_growth(sales_tables):
     first, second = months
     assert first["previous_month_net_revenue"] is None
     assert first["month_over_month_growth_pct"] is None
-    assert first["net_revenue"] == Decimal("75.00") and second["net_revenue"] == Decimal("20.00")
-    assert second["month_over_month_growth_pct"] == Decimal("-73.33")
-    assert second["cumulative_net_revenue"] == Decimal("95.00")
+    assert first["net_revenue"] == Decimal("53.00") and second["net_revenue"] == Decimal("16.00")
+    assert second["month_over_month_growth_pct"] == Decimal("-69.81")
+    assert second["cumulative_net_revenue"] == Decimal("69.00")
     assert (first["is_partial_month"], second["is_partial_month"]) == (False, True)
 
 
@@ -57,20 +57,20 @@ def test_month_without_sales_has_null_gross(spark, tmp_path):
 
 def test_countries(sales_tables):
     found = rows_of(sales.country_share(sales_tables.star), "country_name")
-    assert found["France"]["net_revenue"] == Decimal("50.00") and found["France"]["revenue_rank"] == 1
-    assert found[UK]["pct_of_total_net_revenue"] == Decimal("47.37")
+    assert found["Ireland"]["net_revenue"] == Decimal("63.00") and found["Ireland"]["revenue_rank"] == 1
+    assert found["Spain"]["pct_of_total_net_revenue"] == Decimal("8.70")
 
 
 def test_products(sales_tables):
     star = sales_tables.star
     found = rows_of(products.product_performance(star), "stock_code")
-    assert found["20001"]["revenue"] == Decimal("80.00") and found["20001"]["revenue_rank"] == 1
-    assert found["20002"]["pct_of_total_revenue"] == Decimal("23.8095")
-    assert found["20001"]["order_count"] == 3
+    assert found["51010"]["revenue"] == Decimal("36.00") and found["51010"]["revenue_rank"] == 1
+    assert found["51020"]["pct_of_total_revenue"] == Decimal("37.0787")
+    assert found["51010"]["order_count"] == 3
     running = products.cumulative_contribution(star).orderBy("revenue_rank").collect()
-    assert [r["cumulative_revenue"] for r in running] == [Decimal("80.00"), Decimal("105.00")]
+    assert [r["cumulative_revenue"] for r in running] == [Decimal("36.00"), Decimal("69.00"), Decimal("89.00")]
     cancels = rows_of(products.cancellation_activity(star))
-    assert len(cancels) == 1 and cancels[0]["cancellation_rate_pct"] == Decimal("20.00")
+    assert len(cancels) == 1 and cancels[0]["cancellation_rate_pct"] == Decimal("50.00")
 
 
 def test_equal_products_share_a_rank(spark, tmp_path):
@@ -86,10 +86,10 @@ def test_equal_products_share_a_rank(spark, tmp_path):
 
 def test_rfm(sales_tables):
     found = rows_of(customers.rfm(sales_tables.star), "customer_id")
-    assert set(found) == {3001, 3002, 3003}
-    assert found[3001]["frequency"] == 2 and found[3001]["monetary"] == Decimal("35.00")
-    assert found[3002]["recency_days"] == 1
-    assert found[3002]["recency_score"] == 3 and found[3002]["rfm_segment_heuristic"] == "Loyal"
+    assert set(found) == {11, 12, 13}
+    assert found[12]["frequency"] == 2 and found[12]["monetary"] == Decimal("6.00")
+    assert found[11]["recency_days"] == 1
+    assert found[11]["recency_score"] == 3 and found[11]["rfm_segment_heuristic"] == "Loyal"
 
 
 def test_customers(sales_tables):
@@ -97,10 +97,10 @@ def test_customers(sales_tables):
     assert tuple(customers.repeat_rate(star).first()) == (3, 2, Decimal("66.67"))
     assert tuple(customers.customer_coverage(star).first()) == (3, 3)
     stats = customers.spend_statistics(star).first()
-    assert (stats["median_customer_spend"], stats["p90_customer_spend"]) == (35.0, 47.0)
+    assert (stats["median_customer_spend"], stats["p90_customer_spend"]) == (18.0, 39.6)
     headline = customers.customer_headline(star).first()
-    assert headline["median_customer_spend"] == 35.0
-    assert headline["top_decile_revenue"] == Decimal("50.00")
+    assert headline["median_customer_spend"] == 18.0
+    assert headline["top_decile_revenue"] == Decimal("45.00")
     assert customers.spend_deciles(star).count() == 3
     histogram = rows_of(customers.frequency_histogram(star), "order_count")
     assert histogram[2]["customer_count"] == 2
@@ -108,24 +108,28 @@ def test_customers(sales_tables):
 
 def test_cohorts(sales_tables):
     cells = cohorts.cohort_retention(sales_tables.star)
-    found = rows_of(cells, "month_index")
-    assert found[0]["cohort_size"] == found[0]["returning_customers"] == 3
-    assert found[1]["returning_customers"] == 1 and found[1]["retention_pct"] == Decimal("33.33")
-    assert found[0]["dataset_last_month"] == date(2011, 4, 1)
-    matrix = cohorts.cohort_matrix(cells).first()
-    assert matrix.asDict() == {"cohort_month": date(2011, 3, 1), "M0": Decimal("100.00"), "M1": Decimal("33.33")}
+    june, july = date(2013, 6, 1), date(2013, 7, 1)
+    found = {(r["cohort_month"], r["month_index"]): r for r in rows_of(cells)}
+    assert set(found) == {(june, 0), (june, 1), (july, 0)}
+    assert found[june, 0]["cohort_size"] == found[june, 0]["returning_customers"] == 2
+    assert found[june, 1]["returning_customers"] == 1 and found[june, 1]["retention_pct"] == Decimal("50.00")
+    assert found[july, 0]["dataset_last_month"] == july
+    matrix = rows_of(cohorts.cohort_matrix(cells), "cohort_month")
+    assert (matrix[june]["M0"], matrix[june]["M1"]) == (Decimal("100.00"), Decimal("50.00"))
+    assert (matrix[july]["M0"], matrix[july]["M1"]) == (Decimal("100.00"), None)
+    assert cohorts.cohort_cells(cells).count() == 3
     assert cohorts.retention_curve(cells).count() == 1
     assert cohorts.retention_curve(cells, eligible_only=True).count() == 0
 
 
 def test_duplicates(sales_tables):
     fact = sales_tables.star.fact
-    assert quality.sales_deduplicated(fact).count() == 5
+    assert quality.sales_deduplicated(fact).count() == 6
     versions = rows_of(quality.duplicate_sensitivity(fact), "dataset_version")
     assert versions[C.COMPLETE]["order_count"] == versions[C.DEDUPLICATED]["order_count"] == 5
-    assert versions[C.COMPLETE]["average_order_value"] == Decimal("21.00")
+    assert versions[C.COMPLETE]["average_order_value"] == Decimal("17.80")
     delta = quality.sensitivity_delta(quality.duplicate_sensitivity(fact)).first()
-    assert delta["revenue_difference"] == Decimal("20.00") and delta["units_sold_difference"] == 2
+    assert delta["revenue_difference"] == Decimal("9.00") and delta["units_sold_difference"] == 6
 
 
 def test_no_sales_at_all(spark, tmp_path):
@@ -140,19 +144,19 @@ def test_no_sales_at_all(spark, tmp_path):
 def test_measures(sales_tables):
     star = sales_tables.star
     by_country = rows_of(measures.sales(measures.wide(star, "country"), ["country_name"]), "country_name")
-    assert by_country["France"]["net_revenue"] == Decimal("50.00")
-    assert by_country[UK]["average_order_value"] == pytest.approx(15.0)
-    march = measures.wide(star, "date").filter("month = 3")
-    assert measures.customers(march).first()["repeat_customers"] == 1
-    assert measures.concentration(customers.customer_totals(star)).first()["top_revenue"] == Decimal("50.00")
+    assert by_country["Ireland"]["net_revenue"] == Decimal("63.00")
+    assert by_country["Spain"]["average_order_value"] == pytest.approx(3.0)
+    june = measures.wide(star, "date").filter("month = 6")
+    assert measures.customers(june).first()["repeat_customers"] == 1
+    assert measures.concentration(customers.customer_totals(star)).first()["top_revenue"] == Decimal("45.00")
     segments = customers.rfm(star).cache()
     total = measures.sales(measures.wide(star, "segment", segments=segments)).first()
-    assert total["net_revenue"] == Decimal("95.00")
+    assert total["net_revenue"] == Decimal("69.00")
     with pytest.raises(C.ContractError):
         measures.with_segment(star.fact, segments.unionByName(segments))
     share = measures.duplicate_share(quality.duplicate_sensitivity(star.fact)).first()
-    assert share["duplicate_revenue_sensitivity"] == pytest.approx(20 / 105)
-    assert measures.quality(star.fact).first()["total_source_records"] == 7
+    assert share["duplicate_revenue_sensitivity"] == pytest.approx(9 / 89)
+    assert measures.quality(star.fact).first()["total_source_records"] == 8
 
 
 def test_concentration_counts_ties(spark):
@@ -188,21 +192,21 @@ def test_month_metrics(month_rows):
 def test_selection_and_search(sales_tables):
     star = sales_tables.star
     trend = products.monthly_trend(star)
-    march = rows_of(metrics.top_products(trend, "2011-03-01", "2011-03-31"), "stock_code")
-    assert march["20002"]["revenue"] == Decimal("5.00")
+    june = rows_of(metrics.top_products(trend, "2013-06-01", "2013-06-30"), "stock_code")
+    assert june["51020"]["revenue"] == Decimal("15.00")
     ranked = products.top_per_country(star, 20)
     assert metrics.only_values(ranked, "country_name", []).count() == ranked.count()
-    assert metrics.only_values(ranked, "country_name", ["France"]).count() == 2
+    assert metrics.only_values(ranked, "country_name", ["Spain"]).count() == 2
     table = products.product_performance(star).cache()
-    assert metrics.search_products(table, "item b").count() == 1
-    assert metrics.search_products(table, "2000").count() == 2
+    assert metrics.search_products(table, "seed t").count() == 1
+    assert metrics.search_products(table, "510").count() == 3
     shares = rows_of(metrics.contribution(table, 1), "label")
-    assert shares["All other products"]["pct"] == Decimal("23.8095")
-    assert metrics.contribution(table, 2).count() == 2
-    assert metrics.product_series(trend, "ITEM B").count() == 2
+    assert shares["All other products"]["pct"] == Decimal("59.5506")
+    assert metrics.contribution(table, 2).count() == 3
+    assert metrics.product_series(trend, "SEED TRAY").count() == 2
     assert metrics.first_row(table).count() == 1
     versions = quality.duplicate_sensitivity(star.fact)
-    assert metrics.version_difference(versions, "revenue").first()["difference"] == Decimal("20.00")
+    assert metrics.version_difference(versions, "revenue").first()["difference"] == Decimal("9.00")
 
 
 def test_reconciliation_passes_and_sees_corruption(sales_tables):

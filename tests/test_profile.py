@@ -12,25 +12,25 @@ from tallyline.sources import landing
 
 def test_figures(profile_raw):
     row = profile.profile_figures(profile_raw).first()
-    assert (row["row_count"], row["missing_Description"], row["missing_CustomerID"]) == (8, 1, 2)
-    assert (row["duplicate_rows"], float(row["duplicate_rows_pct"])) == (1, 12.5)
+    assert (row["row_count"], row["missing_Description"], row["missing_CustomerID"]) == (9, 1, 2)
+    assert (row["duplicate_rows"], float(row["duplicate_rows_pct"])) == (1, 11.11)
     assert row["distinct"].asDict() == {
-        "unique_invoice_count": 7, "unique_customer_count": 3,
-        "unique_product_count": 5, "unique_country_count": 4,
+        "unique_invoice_count": 7, "unique_customer_count": 4,
+        "unique_product_count": 5, "unique_country_count": 3,
     }
     assert (row["quantity_negative_count"], row["quantity_zero_count"]) == (2, 0)
     assert (row["unit_price_zero_count"], row["unit_price_negative_count"]) == (1, 0)
     assert (row["cancellation_count"], row["potential_return_count"]) == (1, 1)
-    assert profile.identifier_coverage(profile_raw).first()["customer_id_present_count"] == 6
+    assert profile.identifier_coverage(profile_raw).first()["customer_id_present_count"] == 7
 
 
 def test_parts(profile_raw):
     dates = profile.date_range(profile_raw).first()
-    assert tuple(dates) == ("2011-01-01T00:00:00", "2011-01-07T00:00:00")
-    assert rows_of(profile.top_countries(profile_raw))[0] == {"country": "United Kingdom", "row_count": 4}
+    assert tuple(dates) == ("2012-09-03T00:00:00", "2012-09-21T00:00:00")
+    assert rows_of(profile.top_countries(profile_raw))[0] == {"country": "United Kingdom", "row_count": 5}
     assert profile.shape(profile_raw).count() == 8
     missing = rows_of(profile.missing_values(profile_raw), "column_name")
-    assert float(missing["CustomerID"]["missing_pct"]) == 25.0
+    assert float(missing["CustomerID"]["missing_pct"]) == 22.22
     close = profile.distinct_counts(profile_raw, approximate=True).first()
     assert close["unique_invoice_count"] == 7
 
@@ -46,7 +46,7 @@ def test_status_after_cleaning(profile_raw):
         r["transaction_status"]: r["count"]
         for r in clean(profile_raw).groupBy("transaction_status").count().collect()
     }
-    assert counts == {"valid_sale": 5, "cancellation": 1, "potential_return": 1, "non_standard": 1}
+    assert counts == {"valid_sale": 6, "cancellation": 1, "potential_return": 1, "non_standard": 1}
 
 
 def test_raw_warnings(profile_raw):
@@ -71,6 +71,6 @@ def test_schema_faults_come_together(spark, profile_raw):
     )
     faults = landing.schema_findings(bad)
     assert len(faults) == 3
-    assert any("Country" in f for f in faults) and any("8 null" in f for f in faults)
+    assert any("Country" in f for f in faults) and any("9 null" in f for f in faults)
     with pytest.raises(C.ContractError, match="3 structural"):
         landing.validate_schema(bad)

@@ -35,7 +35,7 @@ def test_reload_changes_nothing(spark, warehouse):
 
 
 def test_missing_customer_keeps_a_null_key(spark, warehouse):
-    rows = [*SALES_ROWS, ("700009", "20001", "ITEM A", 1, "2011-03-20", 10.0, None, UK)]
+    rows = [*SALES_ROWS, ("810107", "51010", "CLAY POT", 1, "2013-06-20", 3.0, None, UK)]
     star = warehouse.load(_clean(spark, rows)).star
     assert star.fact.filter("customer_key IS NULL").count() == 1
     assert star.customers.count() == 3
@@ -48,16 +48,16 @@ def test_second_load_updates_inserts_and_keeps(spark, warehouse):
     cleaned = _clean(spark, SALES_ROWS)
     old = warehouse.load(cleaned).star
     changed = (
-        cleaned.filter("source_row_id < 6")
-        .withColumn("description", F.when(F.col("stock_code") == "20002", "RENAMED").otherwise(F.col("description")))
+        cleaned.filter("source_row_id < 7")
+        .withColumn("description", F.when(F.col("stock_code") == "51020", "RENAMED").otherwise(F.col("description")))
         .withColumn("stock_code", F.when(F.col("source_row_id") == 5, "10000").otherwise(F.col("stock_code")))
     )
     new = warehouse.load(changed, allow_vanished=True).star
-    assert new.fact.count() == 7
+    assert new.fact.count() == 8
     before, after = rows_of(old.products, "stock_code"), rows_of(new.products, "stock_code")
-    assert after["20001"]["product_key"] == before["20001"]["product_key"]
-    assert after["20002"]["description"] == "RENAMED"
-    assert after["10000"]["product_key"] == 3
+    assert after["51010"]["product_key"] == before["51010"]["product_key"]
+    assert after["51020"]["description"] == "RENAMED"
+    assert after["10000"]["product_key"] == 4
     assert not all(r["passed"] for r in warehouse.load(changed, allow_vanished=True).reconciliation.collect())
 
 
@@ -71,7 +71,7 @@ def test_failed_load_leaves_the_published_version(spark, warehouse):
     with pytest.raises(C.ContractError, match="unknown_status"):
         warehouse.load(odd)
     assert warehouse.current_version() == 1
-    assert warehouse.star().fact.count() == 7
+    assert warehouse.star().fact.count() == 8
     assert warehouse.load(cleaned).version == 3  # number 2 holds the failed load's files
 
 
@@ -87,7 +87,7 @@ def test_guards_see_dangling_keys(sales_tables):
     assert build.broken_references(star).filter("rows > 0").count() == 0
     cut = C.Star(star.fact, star.dates, star.countries, star.customers.limit(0), star.products)
     found = rows_of(build.broken_references(cut).filter("rows > 0"))
-    assert found == [{"guard": "orphan_customer", "rows": 7}]
+    assert found == [{"guard": "orphan_customer", "rows": 8}]
 
 
 def test_most_frequent_description_and_ties(spark):
@@ -118,7 +118,7 @@ def test_join_strategies_agree(spark, public_tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert small.filter("customer_key IS NULL").count() == 1
-    assert small.agg(F.sum("line_revenue")).first()[0] == Decimal("93.00")
+    assert small.agg(F.sum("line_revenue")).first()[0] == Decimal("65.50")
 
 
 def test_each_gate_stops_the_pipeline(spark, tmp_path, monkeypatch):
@@ -145,11 +145,11 @@ def test_each_gate_stops_the_pipeline(spark, tmp_path, monkeypatch):
 
 
 def test_years_prune_partitions(spark, sales_tables):
-    part = sales_tables.star.during(2011, 2011).fact
+    part = sales_tables.star.during(2013, 2013).fact
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert part.columns == C.FACT_COLUMNS and part.count() == 7
-    assert sales_tables.star.during(2012, 2013).fact.count() == 0
+    assert part.columns == C.FACT_COLUMNS and part.count() == 8
+    assert sales_tables.star.during(2014, 2015).fact.count() == 0
 
 
 def test_lines_without_a_customer_are_spread(spark, sales_tables):
@@ -161,8 +161,8 @@ def test_lines_without_a_customer_are_spread(spark, sales_tables):
     try:
         joined = measures.with_segment(nobody, segments)
         assert "_spread" in joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.filter("rfm_segment_heuristic IS NULL").count() == 7
-        assert measures.with_segment(star.fact, segments).filter("rfm_segment_heuristic = 's'").count() == 7
+        assert joined.filter("rfm_segment_heuristic IS NULL").count() == 8
+        assert measures.with_segment(star.fact, segments).filter("rfm_segment_heuristic = 's'").count() == 8
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
