@@ -88,8 +88,9 @@ def test_rfm(sales_tables):
     found = rows_of(customers.rfm(sales_tables.star), "customer_id")
     assert set(found) == {11, 12, 13}
     assert found[12]["frequency"] == 2 and found[12]["monetary"] == Decimal("6.00")
-    assert found[11]["recency_days"] == 1
-    assert found[11]["recency_score"] == 3 and found[11]["rfm_segment_heuristic"] == "Loyal"
+    assert found[11]["recency_days"] == 3
+    assert found[11]["recency_score"] == 3 and found[11]["rfm_segment_heuristic"] == C.OCCASIONAL
+    assert found[12]["rfm_segment_heuristic"] == C.AT_RISK
 
 
 def test_customers(sales_tables):
