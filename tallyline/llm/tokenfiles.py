@@ -31,9 +31,9 @@ END = 0
 SAMPLE_DOCS, DICTIONARY_BYTES = 1_000, 1 << 16
 LEVEL = 3
 #: Words whose ids a Python worker keeps, the first it meets; others are encoded anew.
-KEPT_WORDS = 500_000
-#: Bytes that a reader holds at once, about.
-READ_BYTES = 8 << 20
+KEPT_WORDS = 1_000_000
+#: Text bytes that are encoded at once, and bytes that a reader holds at once, about.
+ENCODE_BYTES = READ_BYTES = 8 << 20
 
 MAGIC = b"TOKFILE1"
 #: Magic, sha256 of the dictionary (zeros without one), bytes of an id, documents, where the index begins.
@@ -176,7 +176,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None) -> DataFra
         shard = TaskContext.get().partitionId()
         frames, entries, at, ids = [], [], _HEADER_SIZE, 0
         for whole in batches:
-            for batch in passes(whole):
+            for batch in passes(whole, limit=ENCODE_BYTES):
                 keys = batch.column("doc_id").to_pylist()
                 for key, found in zip(keys, encode(texts(batch.column("text")).to_pylist()), strict=True):
                     frame = press.compress(found + end)
