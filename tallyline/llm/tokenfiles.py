@@ -31,9 +31,9 @@ END = 0
 SAMPLE_DOCS, DICTIONARY_BYTES = 1_000, 1 << 16
 LEVEL = 3
 #: Words whose ids a Python worker keeps, the first it meets; others are encoded anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 #: Text bytes that are encoded at once, and bytes that a reader holds at once, about.
-ENCODE_BYTES = READ_BYTES = 8 << 20
+ENCODE_BYTES, READ_BYTES = 4 << 20, 8 << 20
 
 MAGIC = b"TOKFILE1"
 #: Magic, sha256 of the dictionary (zeros without one), bytes of an id, documents, where the index begins.
