@@ -23,7 +23,7 @@ KEPT = 1 - 1e-6
 #: The end of a text, a token, and its start, a history only.
 END, START = np.uint64(0x1D4F_0A3B_77C2_9E65), np.uint64(0x62E9_B81C_05D7_43AF)
 #: Text bytes of a block, and tokens of a part of the model, about.
-BLOCK_BYTES, PART_TOKENS = 8 << 20, 4_000_000
+BLOCK_BYTES, PART_TOKENS = 8 << 20, 2_000_000
 #: Frequent words of a sample of documents: their two-byte codes shorten what is sent, and those
 #: with more than an eighth of a part are split by history. Neither changes a result.
 CODED, SAMPLE_DOCS = 65_535, 20_000
