@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,8 @@ DIMENSIONS = ("source", "lang", "topic")
 LEAST_SHARE = {"source": 1 / 200, "lang": 1 / 100, "topic": 1 / 20}
 #: Without given targets, a share becomes its power by this, normalised: smaller groups gain.
 FLATTEN = 0.8
+#: The sample has this part of all tokens unless asked shares allow less.
+KEEP = 0.8
 SEED = 17
 _REST = "(rest)"
 _UNKNOWN = "(none)"
@@ -46,79 +48,125 @@ def described(docs: DataFrame, measured: Column | None = None) -> DataFrame:
     })
 
 
+def fit(tokens: np.ndarray, codes: Sequence[np.ndarray], wanted: Sequence[np.ndarray], most: float = 1.0, rounds: int = 500, tolerance: float = 1e-10) -> np.ndarray:
+    """Rates of cells, ``most`` at most, with which their ``tokens`` add up to ``wanted`` in each group of
+    each axis; ``codes`` has the group of every cell, an axis at a time.
+
+    A rate is a product of one factor a group, clipped. In turn, each axis gets the factors that meet its
+    own sums: without clipping they are too small, and Newton's steps on a concave function come closer
+    from below. Where axes contradict each other, rounds end when sums no longer improve; those of the
+    last axis are then exact."""
+    rate, errors = np.ones(len(tokens)), []
+    for _ in range(rounds):
+        worst = 0.0
+        for code, target in zip(codes, wanted, strict=True):
+            n = len(target)
+            now = np.bincount(code, tokens * np.minimum(rate, most), n)
+            worst = max(worst, float(np.abs(now - target).max(initial=0.0)))
+            now = np.bincount(code, tokens * rate, n)
+            rate = rate * np.divide(target, now, out=np.zeros(n), where=now > 0)[code]
+            for _ in range(100):
+                clipped = rate >= most
+                full = np.bincount(code, np.where(clipped, tokens * min(most, 1e300), 0.0), n)
+                part = np.bincount(code, np.where(clipped, 0.0, tokens * rate), n)
+                step = np.divide(target - full, part, out=np.ones(n), where=(part > 0) & (target > full))
+                rate = np.minimum(rate * step[code], 1e200)
+                if np.abs(step - 1).max(initial=0.0) < 1e-13:
+                    break
+        errors.append(worst)
+        if worst <= tolerance * tokens.sum() or (len(errors) > 10 and worst > 0.99 * errors[-11]):
+            break
+    return np.minimum(rate, most)
+
+
 def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = 500, tolerance: float = 1e-10) -> np.ndarray:
     """Scale a table of weights along each axis in turn until its marginals are ``targets`` (each
     sums to one). Groups without weight keep none, and their targets go to the others in proportion."""
-    out = cells / max(cells.sum(), 1e-300)
+    codes = np.nonzero(cells)
+    weights = cells[codes] / max(cells.sum(), 1e-300)
     wanted = []
-    for axis, target in enumerate(targets):
-        held = out.sum(axis=tuple(i for i in range(out.ndim) if i != axis)) > 0
-        t = np.where(held, target, 0.0)
+    for code, target in zip(codes, targets, strict=True):
+        t = np.where(np.bincount(code, weights, len(target)) > 0, target, 0.0)
         wanted.append(t / t.sum() if t.sum() else t)
-    for _ in range(rounds):
-        worst = 0.0
-        for axis, target in enumerate(wanted):
-            others = tuple(i for i in range(out.ndim) if i != axis)
-            now = out.sum(axis=others)
-            worst = max(worst, float(np.abs(now - target).max(initial=0.0)))
-            factor = np.divide(target, now, out=np.zeros_like(now), where=now > 0)
-            out = out * np.expand_dims(factor, others)
-        if worst < tolerance:
-            break
+    out = np.zeros(cells.shape)
+    out[codes] = weights * fit(weights, codes, wanted, np.inf, rounds, tolerance)
     return out
 
 
-def probabilities(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN) -> tuple[DataFrame, dict[str, list[str]]]:
+def asked_shares(sizes: np.ndarray, names: list[str], asked: Mapping[str, float]) -> np.ndarray:
+    """The given shares; values without one share what is left as they do now."""
+    given = np.array([asked.get(g, np.nan) for g in names])
+    free = np.isnan(given)
+    given[free] = max(0.0, 1 - np.nansum(given)) * sizes[free] / max(sizes[free].sum(), 1e-300)
+    given[sizes <= 0] = 0.0
+    return given / max(given.sum(), 1e-300)
+
+
+def flattened(sizes: np.ndarray, fixed: np.ndarray, size: float, flatten: float) -> np.ndarray:
+    """Tokens of each group in a sample of ``size``: in proportion to a power of its tokens, but no more
+    than it has. ``fixed`` groups keep their present share."""
+    out = size * sizes / max(sizes.sum(), 1e-300)
+    open_ = ~fixed & (sizes > 0)
+    base, whole = np.where(open_, sizes.clip(1e-300) ** flatten, 0.0), np.zeros(len(sizes), bool)
+    room = size - out[~open_].sum()
+    while True:
+        scale = max(0.0, room - sizes[whole].sum()) / max(base[open_ & ~whole].sum(), 1e-300)
+        more = open_ & ~whole & (scale * base > sizes)
+        if not more.any():
+            return np.where(open_, np.where(whole, sizes, scale * base), out)
+        whole |= more
+
+
+def probabilities(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, keep: float = KEEP) -> tuple[DataFrame, dict[str, list[str]]]:
     """The sampling probability of each cell, and the groups of each dimension.
 
     ``docs`` as ``described``. ``targets`` gives the wanted share of values for some of the dimensions;
     values it does not name share what is left as they do now. Dimensions without targets get their
-    present shares, flattened. Token weights are summed per cell in Spark; the cells of grouped values,
-    20,000 or so at most, are raked here. The raked weight of a cell over its present one, divided by the
-    largest such ratio, is the probability of each of its documents: no probability exceeds one, and the
-    expected tokens of the sample have the target marginals."""
+    present shares, flattened; nulls and grouped values keep theirs. Token weights are summed per cell in
+    Spark; the cells of grouped values, 20,000 or so at most, are fitted here.
+
+    The sample has ``keep`` of all tokens, in expectation, or as many as there can be with the shares that
+    ``targets`` asks for. A group that flattening would give more tokens than it has is taken whole, and so
+    is a cell; the others make up for it. So a small group, however small, changes the others by its own
+    tokens only."""
     names = [f"mix_{d}" for d in DIMENSIONS]
     summed = stash(docs.groupBy(*names).agg(F.sum("mix_tokens").alias("tokens")), "mixing-cells")
     total = summed.agg(F.sum("tokens")).first()[0] or 0
-    groups, wanted = {}, []
+    groups = {}
     for dimension, name in zip(DIMENSIONS, names, strict=True):
         asked = dict((targets or {}).get(dimension, {}))
         large = F.col("tokens") >= LEAST_SHARE[dimension] * total
         held = summed.groupBy(name).agg(F.sum("tokens").alias("tokens")).where(large | F.col(name).isin(list(asked))).collect()
-        shares = {r[name]: (r["tokens"] or 0) / max(total, 1) for r in held}
-        groups[dimension] = [*sorted(shares), _REST]
-        now = np.array([shares.get(g, 0.0) for g in groups[dimension]])
-        now[-1] = max(0.0, 1 - now.sum())
-        if asked:
-            given = np.array([asked.get(g, np.nan) for g in groups[dimension]])
-            free = np.isnan(given)
-            left = max(0.0, 1 - np.nansum(given))
-            given[free] = left * now[free] / max(now[free].sum(), 1e-300)
-            wanted.append(given)
-        else:
-            wanted.append(np.where(now > 0, now, 0.0) ** flatten * (now > 0))
-        wanted[-1] = wanted[-1] / max(wanted[-1].sum(), 1e-300)
-    grouped = summed.groupBy(*(group_of(F.col(n), groups[d]).alias(d) for d, n in zip(DIMENSIONS, names, strict=True))).agg(F.sum("tokens").alias("tokens")).collect()
-    cells = np.zeros([len(groups[d]) for d in DIMENSIONS])
-    for r in grouped:
-        cells[tuple(groups[d].index(r[d]) for d in DIMENSIONS)] = r["tokens"] or 0
-    raked = rake(cells, wanted)
-    present = cells / max(cells.sum(), 1e-300)
-    ratio = np.divide(raked, present, out=np.zeros_like(raked), where=present > 0)
-    chance = ratio / max(ratio.max(initial=0.0), 1e-300)
-    rows = [
-        (*(groups[d][i] for d, i in zip(DIMENSIONS, at, strict=True)), float(ratio[at]), min(1.0, float(chance[at])))
-        for at in zip(*(a.tolist() for a in np.nonzero(cells)), strict=True)
-    ]
+        groups[dimension] = [*sorted(r[name] for r in held), _REST]
+    grouped = summed.groupBy(*(group_of(F.col(n), groups[d]).alias(d) for d, n in zip(DIMENSIONS, names, strict=True))).agg(F.sum("tokens").alias("tokens")).where("tokens > 0").collect()
+    tokens = np.array([float(r["tokens"]) for r in grouped])
+    codes = {d: np.array([groups[d].index(r[d]) for r in grouped], dtype=np.int64) for d in DIMENSIONS}
+    rate = _rates(tokens, codes, groups, targets or {}, flatten, keep)
+    mean = float((tokens * rate).sum()) / max(tokens.sum(), 1e-300)
+    rows = [(*(r[d] for d in DIMENSIONS), float(p / max(mean, 1e-300)), float(p)) for r, p in zip(grouped, rate, strict=True)]
     frame = docs.sparkSession.createDataFrame(rows, "g_source string, g_lang string, g_topic string, mix_weight double, mix_probability double")
     return frame, groups
 
 
+def _rates(tokens: np.ndarray, codes: Mapping[str, np.ndarray], groups: Mapping[str, list[str]], targets: Mapping[str, Mapping[str, float]], flatten: float, keep: float) -> np.ndarray:
+    """The probability of each cell. Dimensions with targets come last, so that theirs are exact."""
+    sizes = {d: np.bincount(codes[d], tokens, len(groups[d])) for d in DIMENSIONS}
+    size, wanted = keep * float(tokens.sum()), {}
+    shares = {d: asked_shares(sizes[d], groups[d], targets[d]) for d in DIMENSIONS if targets.get(d)}
+    for d, share in shares.items():
+        size = min(size, float(np.divide(sizes[d], share, out=np.full(len(share), np.inf), where=share > 0).min(initial=np.inf)))
+    order = sorted(DIMENSIONS, key=lambda d: d in shares)
+    for d in order:
+        fixed = np.isin(groups[d], [_UNKNOWN, _REST])
+        wanted[d] = size * shares[d] if d in shares else flattened(sizes[d], fixed, size, flatten)
+    return fit(tokens, [codes[d] for d in order], [wanted[d] for d in order])
+
+
 def group_of(value: Column, groups: list[str]) -> Column:
     return F.when(value.isin(groups), value).otherwise(_REST)
 
 
-def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, seed: int = SEED) -> DataFrame:
+def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, seed: int = SEED, keep: float = KEEP) -> DataFrame:
     """``docs`` (doc_id, text, source, lang and more) with ``mix_*`` columns and ``mix_sampled``.
 
     A document is in the sample if a hash of its id, text and ``seed`` falls below its cell's
@@ -126,7 +174,7 @@ def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
     rows alike. Documents without words weigh nothing; a cell of such documents only has
     probability 0, and they are not sampled from it. Nothing but sums per cell is shuffled. An empty table gives an empty result."""
     rows = described(docs)
-    chances, groups = probabilities(rows, targets, flatten)
+    chances, groups = probabilities(rows, targets, flatten, keep)
     keyed = rows.withColumns({f"g_{d}": group_of(F.col(f"mix_{d}"), groups[d]) for d in DIMENSIONS})
     joined = keyed.join(F.broadcast(chances), [f"g_{d}" for d in DIMENSIONS], "left")  # bounded by LEAST_SHARE
     draw = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)), 11) / F.lit(float(1 << 53))
@@ -134,9 +182,9 @@ def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
     return out.withColumn("mix_sampled", draw < F.col("mix_probability")).drop(*(f"g_{d}" for d in DIMENSIONS))
 
 
-def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, seed: int = SEED) -> DataFrame:
+def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, seed: int = SEED, keep: float = KEEP) -> DataFrame:
     """The sampled documents, with their columns."""
-    return mixed(docs, targets, flatten, seed).where("mix_sampled").select(*docs.columns)
+    return mixed(docs, targets, flatten, seed, keep).where("mix_sampled").select(*docs.columns)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -331,3 +331,23 @@ def test_mixture_has_the_targets_in_expectation(spark, edges, edge_rows, nothing
     assert again == {r["doc_id"] for r in out if r["mix_sampled"]}
     assert mixing.sample(edges).columns == edges.columns and mixing.mixed(edges).count() == len(edge_rows)
     assert mixing.mixed(nothing).count() == 0
+
+
+def test_a_stray_document_does_not_set_the_scale(spark):
+    rows = [document(i, prose(i % 7, 60 + i % 30), ["en", "en", "fr"][i % 3], f"s{i % 4}") for i in range(600)]
+    strays = [document(9_001, prose(3, 12), "xx", "s1"), document(9_002, prose(4, 8), None, "tiny"), document(9_003, prose(5, 5) + " license", "fr", None)]
+    kept = {}
+    for name, more in (("plain", []), ("stray", strays)):
+        out = [r for r in mixing.mixed(spark.createDataFrame(rows + more, DOCS)).collect() if r["doc_id"] < 9_000]
+        kept[name] = {r["doc_id"]: r["mix_probability"] for r in out}
+        tokens = sum(r["mix_tokens"] for r in out)
+        assert abs(sum(r["mix_tokens"] * r["mix_probability"] for r in out) / tokens - mixing.KEEP) < 0.001
+    assert max(abs(p - kept["stray"][i]) for i, p in kept["plain"].items()) < 0.01
+
+
+def test_full_cells_are_taken_whole():
+    tokens, codes = np.array([10.0, 30.0, 20.0, 40.0]), [np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])]
+    rate = mixing.fit(tokens, codes, [np.array([36.0, 44.0]), np.array([30.0, 50.0])])
+    sums = [np.bincount(c, tokens * rate) for c in codes]
+    assert rate.max() <= 1 and np.allclose(sums, [[36, 44], [30, 50]], atol=1e-6)
+    assert mixing.flattened(np.array([1.0, 900.0, 99.0]), np.zeros(3, bool), 800, 0.5).tolist() == [1, 700, 99]
