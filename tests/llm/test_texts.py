@@ -351,3 +351,30 @@ def test_full_cells_are_taken_whole():
     sums = [np.bincount(c, tokens * rate) for c in codes]
     assert rate.max() <= 1 and np.allclose(sums, [[36, 44], [30, 50]], atol=1e-6)
     assert mixing.flattened(np.array([1.0, 900.0, 99.0]), np.zeros(3, bool), 800, 0.5).tolist() == [1, 700, 99]
+
+
+def test_every_value_is_raked_by_itself(spark, monkeypatch):
+    marks = ["", " license", " www.a.b", " | | | | | |"]
+    rows = [document(i, prose(i % 7, 20 + i % 30) + (marks[i % 40] if i % 40 < 4 else ""), ["en", "en", "en", "fr", None][i % 5], "hot" if i % 3 else f"s{i % 211}") for i in range(900)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for targets in (None, {"source": {"hot": 0.6}, "lang": {"fr": 0.3}}):
+        monkeypatch.setattr(mixing, "CELLS", 100_000)
+        here = {r["doc_id"]: r for r in mixing.mixed(docs, targets).collect()}
+        monkeypatch.setattr(mixing, "CELLS", 0)
+        there = {r["doc_id"]: r for r in mixing.mixed(docs, targets).collect()}
+        assert here.keys() == there.keys()
+        for column in ("mix_weight", "mix_probability"):
+            assert max(abs(here[i][column] - there[i][column]) for i in here) < 1e-4
+        for name, value, share in (("mix_source", "hot", 0.6), ("mix_lang", "fr", 0.3)) if targets else ():
+            mass = [sum(r["mix_tokens"] * r["mix_probability"] for r in here.values() if r[name] in only) for only in ([value], {r[name] for r in here.values()})]
+            assert math.isclose(mass[0] / mass[1], share, abs_tol=1e-6)
+        if targets is None:
+            for name in ("mix_source", "mix_lang", "mix_topic"):
+                held, got = Counter(), Counter()
+                for r in here.values():
+                    held[r[name]] += r["mix_tokens"]
+                    got[r[name]] += r["mix_tokens"] * r["mix_probability"]
+                names = sorted(held)
+                x = np.array([float(held[n]) for n in names])
+                want = mixing.flattened(x, np.array([n == "(none)" for n in names]), mixing.KEEP * x.sum(), mixing.FLATTEN)
+                assert len(names) > 2 and np.allclose([got[n] for n in names], want, rtol=1e-3)
