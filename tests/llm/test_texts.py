@@ -53,6 +53,14 @@ def test_base_spans_stay(text):
         ('connect(user="bob", passwd_hash="9sd8F!2kd0")', ["9sd8F!2kd0"]),
         ("my_pwd: changeme123", []), ("db_pwd = os.getenv('DB_PWD_NAME')", []), ("the secret: of the sea", []), ("pwd = pwd", []),
         ("note: at 12:30 see http://a.b/c=d", []), ("x == 'Tr0ub4dor&3xyz'", []), ("A = B\nB = A\npassphrase = A", []),
+        ('K="abcD1234efGH"\nclient.secret_key = K\nK="x"', ["abcD1234efGH"]),
+        ('prod.key = "abcD1234efGH"\ndev.key = "zzzY9876wvUT"\nx.pwd = prod.key\ny.pwd = dev.key', ["abcD1234efGH", "zzzY9876wvUT"]),
+        ('K = "abcD1234"\nK = K + "efGH5678"\nmy_pwd_final = K', ["abcD1234", "efGH5678"]),
+        ('n0 = "qW3rT7uI9oP1"\n' + "".join(f"n{i} = n{i - 1}\n" for i in range(1, 3000)) + "passphrase = n2999", ["qW3rT7uI9oP1"]),
+        ("AWS_SECRET_ACCESS_KEY=/xYzabcD1234efGH5678+Q\n", ["/xYzabcD1234efGH5678+Q"]),
+        ("my_pwd_secret=~8QabcD1234efGH\n", ["~8QabcD1234efGH"]), ("secret_passphrase://abcD1234efGH5678", []),
+        ('passphrase = A + B\nA = "abcD1234"\nA = "efGH5678"\nB = A', ["abcD1234", "efGH5678"]),
+        ("s0 = 'qW3rT7uI9oP1'\n" + "".join(f"s{i} = s{i - 1} + s{i - 1}\n" for i in range(1, 40)) + "passphrase = s39", ["qW3rT7uI9oP1"]),
     ],
 )
 def test_lexed_literals(text, values):
