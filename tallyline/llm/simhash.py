@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyline.llm.common import map_arrow, table, texts
 from tallyline.llm.components import components
@@ -89,21 +90,42 @@ def groups(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     empty; texts without words have fingerprint zero and are linked like others; a repeated row
     comes out as often as it came in; rows whose doc_id is null take part, but never name a
     component (null if no row of it has an id). An empty table gives an empty result."""
+    return _rooted(docs, distance).select("doc_id", "bits", "component_id")
+
+
+def _rooted(docs: DataFrame, distance: int) -> DataFrame:
+    """``groups`` with ``root``, which tells components apart whose smallest ids are the same."""
     prints = stash(fingerprints(docs), "simhash")
     least = stash(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(least.select("bits"), distance)).toDF("bits", "root")
     rooted = stash(least.join(roots, "bits", "left").select("bits", "least", F.coalesce("root", "bits").alias("root")), "simhash-roots")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named, "root").select("bits", "component_id")
-    return prints.join(by_print, "bits").select("doc_id", "bits", "component_id")
+    by_print = rooted.join(named, "root").select("bits", "root", "component_id")
+    return prints.join(by_print, "bits")
 
 
 def deduplicate(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, once if its row is repeated.
-    Rows without a doc_id cannot be named by a group and stay. Columns stay as they are."""
-    kept = groups(docs.where("doc_id is not null"), distance).where("doc_id = component_id").select("doc_id")
-    own = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return own.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One document of each group: the one with the smallest doc_id, once if its row is repeated. Where
+    texts that are no near-duplicates share a doc_id, each is in a group of its own; of a group's rows with the
+    smallest doc_id, the one with the smallest fingerprint and then the first text stays. Rows without a doc_id
+    cannot be named by a group and stay. Columns stay as they are."""
+    named = docs.where("doc_id is not null")
+    first = _rooted(named, distance).where("doc_id = component_id").groupBy("root", "doc_id").agg(F.min("bits").alias("bits"))
+    kept = stash(first.groupBy("doc_id").agg(F.collect_set("bits").alias("kept_bits")), "simhash-kept")
+    every = stash(named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "simhash-repeated")
+    once = named.join(kept, "doc_id", "left_semi").join(every, "doc_id", "left_anti").select(*docs.columns)
+    again = named.join(every, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = map_arrow(again, _marked, StructType([*again.schema.fields, StructField("bits", LongType())]))
+    chosen = marked.join(kept.select("doc_id", "kept_bits"), "doc_id").where(F.array_contains("kept_bits", F.col("bits")))
+    order = Window.partitionBy("doc_id", "bits").orderBy("text", F.to_json("row"))
+    chosen = chosen.withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
+    return once.unionByName(chosen).unionByName(docs.where("doc_id is null"))
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [fingerprint(text) for text in texts(batch.column(2)).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(found, dtype=np.uint64).view(np.int64))], names=["row", "doc_id", "text", "bits"])
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -227,3 +227,10 @@ def test_spot_groups_against_brute_force(spark):
     for i in sets:
         kinds = {sets[b].tobytes() for a, b in [*links, *[(b, a) for a, b in links]] if a == i} - {sets[i].tobytes()}
         assert got[i][1] == len(kinds)
+
+
+def test_texts_that_share_an_id_stay(spark):
+    rows = [document(1, prose(1, 200)), document(1, prose(2, 200)), document(1, prose(2, 200)), document(2, prose(1, 200)), document(3, prose(3, 200)), document(3, prose(2, 200)), document(4, prose(4, 90))]
+    out = H.deduplicate(spark.createDataFrame(rows, DOCS).repartition(3))
+    want = [(1, prose(1, 200)), (1, prose(2, 200)), (3, prose(3, 200)), (4, prose(4, 90))]
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == sorted(want)
