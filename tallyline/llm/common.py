@@ -45,6 +45,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(name: str, *taken: str) -> str:
+    """``name``, with as many underscores after it as it takes to clash with none of ``taken`` in any case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def fold(key: Column, folds: int) -> Column:
     """The fold of a row: crc32 of its id as text, modulo ``folds``; null ids are in fold 0."""
     return F.coalesce(F.crc32(key.cast("string")) % folds, F.lit(0))
@@ -123,44 +131,60 @@ _SPLIT_BYTES = 1 << 20
 
 def words(column: pa.Array, separator: np.ndarray = SPACE) -> Words:
     """Split texts, lower-casing A-Z only, and hash every word (64 bits: two different words in
-    a vocabulary of a billion share one with a probability of about three in a hundred)."""
+    a vocabulary of a billion share one with a probability of about three in a hundred).
+
+    Works on windows of bytes, whatever the lengths of the texts; a word that a window cuts goes on in the
+    next one, since its hash is made from a sum over its bytes."""
     column = texts(column)
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64, count=len(column) + 1, offset=column.offset * 8)
-    found, start = [], 0
-    while start < len(column):
-        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + _SPLIT_BYTES, side="right")) - 1)
-        part = _split(column.buffers()[2], offsets[start : stop + 1], separator)
-        found.append(Words(part.hashes, part.owner + start, part.sizes))
-        start = stop
-    if len(found) == 1:
-        return found[0]
-    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return Words(*(np.concatenate([none[i], *(getattr(f, name) for f in found)]) for i, name in enumerate(("hashes", "owner", "sizes"))))
+    count, low, high = len(column), int(offsets[0]), int(offsets[-1])
+    data = np.frombuffer(column.buffers()[2], dtype=np.uint8, count=high - low, offset=low) if high > low else np.zeros(0, np.uint8)
+    edges = offsets - low
+    found = [_Part(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), False)]
+    for start in range(0, len(data), _SPLIT_BYTES):
+        part = _split(data, edges, start, min(start + _SPLIT_BYTES, len(data)), separator)
+        if part.continues:
+            last = next(f for f in reversed(found) if len(f.sums))
+            last.sums[-1:] += part.sums[:1] * np.uint64(pow(int(_STEP), int(last.lengths[-1]), 1 << 64))
+            last.lengths[-1:] += part.lengths[:1]
+            part = _Part(part.sums[1:], part.lengths[1:], part.owner[1:], False)
+        found.append(part)
+    owner = np.concatenate([f.owner for f in found])
+    return Words(_mix(np.concatenate([f.sums for f in found])), owner, np.bincount(owner, minlength=count))
 
 
-def _split(data: pa.Buffer | None, offsets: np.ndarray, separator: np.ndarray) -> Words:
-    count, low, high = len(offsets) - 1, int(offsets[0]), int(offsets[-1])
-    if high == low:
-        return Words(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(count, np.int64))
-    raw = _LOWER[np.frombuffer(data, dtype=np.uint8, count=high - low, offset=low)]
-    edges = offsets - low
+@dataclass(frozen=True)
+class _Part:
+    """Words of one window: sums over their bytes, lengths, the texts they belong to, and whether the first
+    one goes on from the window before."""
+
+    sums: np.ndarray
+    lengths: np.ndarray
+    owner: np.ndarray
+    continues: bool
+
+
+def _split(data: np.ndarray, edges: np.ndarray, low: int, high: int, separator: np.ndarray) -> _Part:
+    raw = _LOWER[data[low:high]]
     inside = ~separator[raw]
+    borders = edges[np.searchsorted(edges, low) : np.searchsorted(edges, high)] - low
     follows = np.zeros(len(raw), dtype=bool)
     follows[1:] = inside[:-1]
-    follows[edges[:-1][edges[:-1] < len(raw)]] = False
+    follows[borders] = False
     place = np.flatnonzero(inside)
     starts = np.flatnonzero(inside & ~follows)
     if not len(starts):
-        return Words(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(count, np.int64))
+        return _Part(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), False)
     first = np.searchsorted(place, starts)
     lengths = np.diff(first, append=len(place))
     within = np.arange(len(place)) - np.repeat(first, lengths)
     powers = np.full(int(lengths.max()), _STEP, dtype=np.uint64)
     powers[0] = 1
     powers = np.multiply.accumulate(powers)
-    hashes = _mix(np.add.reduceat(_TABLE[raw[place]] * powers[within], first))
-    owner = np.searchsorted(edges[1:], starts, side="right")
-    return Words(hashes, owner, np.bincount(owner, minlength=count))
+    sums_ = np.add.reduceat(_TABLE[raw[place]] * powers[within], first)
+    owner = np.searchsorted(edges[1:], starts + low, side="right")
+    goes_on = bool(low and inside[0] and not separator[data[low - 1]] and not (len(borders) and borders[0] == 0))
+    return _Part(sums_, lengths, owner, goes_on)
 
 
 def hash_of(word: str) -> int:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tallyline.llm import embeddings, katz, language, mixing, pieces, secrets, simhash, spots, tokenfiles, toxicity
+from tallyline.llm import embeddings, katz, language, merkle, mixing, pieces, quality, search, secrets, simhash, spots, tokenfiles, toxicity
+from tallyline.llm.statements import MERKLE, SEARCH
 
 QUERIES = {
     "op1_embeddings": embeddings.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_spots": spots.query,
     "op9_language": language.query,
     "op10_toxicity": toxicity.query,
+    "op11_merkle": merkle.query,
+    "op12_search": search.query,
+    "op13_quality": quality.query,
 }
 #: SQL for the queries that SQL can express.
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {"op11_merkle": MERKLE, "op12_search": SEARCH}
