@@ -12,7 +12,7 @@ SOURCES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 SAME = {
-    "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP", "date": "DATE",
 }
 
