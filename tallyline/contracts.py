@@ -148,6 +148,14 @@ def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in columns.items()])
 
 
+# The fact as stored, with the columns of its month folders.
+FACT_BY_MONTH = _schema(
+    source_row_id=_long, invoice_no=_text, product_key=_long, customer_key=_long, country_key=_long,
+    date_key=_int, invoice_timestamp=T.TimestampNTZType(), quantity=_int, unit_price=_price,
+    line_revenue=T.DecimalType(14, 2), transaction_status=_text, **dict.fromkeys(FLAGS, _bool),
+    year=_int, month=_int,
+)
+
 # One contract per published extract; readers apply it instead of inferring types.
 # fixed values
 EXTRACT_SCHEMAS: dict[str, T.StructType] = {

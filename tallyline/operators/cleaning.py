@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +11,7 @@ from tallyline.functions.money import as_price, line_revenue
 from tallyline.functions.status import row_flags, transaction_status
 from tallyline.functions.text import stripped, stripped_or_null
 from tallyline.operators.copies import expand_copies
-from tallyline.operators.ordering import number_rows
-from tallyline.session import stash
+from tallyline.operators.ordering import Ranges, rows_before
 
 # Lines are numbered in this order, nulls first. It starts with the time, so ids are
 # chronological and every task that writes a range touches only a few months.
@@ -73,17 +72,44 @@ def line_groups(lines: DataFrame) -> DataFrame:
     return lines.groupBy(*C.LINE_COLUMNS).agg(F.count("*").alias("copies"))
 
 
+# Ranges for each shuffle partition, so that hashing range numbers spreads them evenly.
+RANGES_A_PARTITION = 4
+
+# A line with more copies than this, and than four mean ranges hold, is written out by several tasks.
+COPIES_A_TASK = 1_000_000
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``source_row_id`` (0-based, contiguous) and ``flag_duplicate_candidate``.
 
     Lines equal on all eight columns are interchangeable, so it is enough to number the
-    counted groups: the copy number makes the order unique and spreads large groups.
+    counted groups, and a group's copies follow from its first number. Bounds of ranges come from a sample and
+    are kept as values: one pass counts the lines of each range, a second one counts equal lines, sums
+    their copies along each range and adds the lines of the ranges before. Lines are never stored on the way;
+    ``lines`` must give the same rows each time it is read.
     """
-    groups = stash(line_groups(lines), "line-groups")
-    copies = expand_copies(groups, "copies", "copy_no")
-    order = [F.col(c).asc_nulls_first() for c in [*LINE_ORDER, "copy_no"]]
-    return number_rows(copies, "_n", order).select(
-        (F.col("_n") - 1).alias("source_row_id"),
+    columns = LINE_ORDER
+    partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = Ranges.sampled(lines, columns, RANGES_A_PARTITION * partitions)
+    starts = rows_before(lines, ranges)
+    sizes = starts.agg(F.max("_rows").alias("most"), F.avg("_rows").alias("mean")).first()
+    limit = max(COPIES_A_TASK, int(4 * (sizes["mean"] or 0)))
+    earlier = (
+        Window.partitionBy("_range")
+        .orderBy(*[F.col(c).asc_nulls_first() for c in columns])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    groups = (
+        line_groups(lines)
+        .withColumn("_range", ranges.number())
+        .withColumn("_within", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
+        .join(F.broadcast(starts), "_range")  # a row a range
+    )
+    # A line with more copies than the limit makes its range as large.
+    heavy = (sizes["most"] or 0) > limit
+    copies = expand_copies(groups, "copies", "copy_no", limit, heavy=heavy)
+    return copies.select(
+        (F.col("_before") + F.col("_within") + F.col("copy_no") - 1).alias("source_row_id"),
         *C.LINE_COLUMNS,
         (F.col("copies") > 1).alias("flag_duplicate_candidate"),
     )

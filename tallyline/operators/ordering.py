@@ -5,16 +5,21 @@ instead: each task sorts one range, and the number of rows in the ranges before
 row per range) turns local positions into global ones. The order always ends in a unique
 tiebreak, so a value shared by many rows is spread over as many ranges as it needs.
 
-Range boundaries come from a sample and may differ between executions. The ranges are
-therefore written once and every later step reads that same table.
+There are two ways to fix the ranges. :func:`number_rows` lets Spark choose them for any order of columns; Spark's bounds
+may differ between executions, so the ranges are written once and every later step reads that same table.
+:class:`Ranges` takes its bounds from one sample and keeps them as values, so that a plan can tell a row's range from the row
+alone, as often as it likes, and no table of rows is written.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.session import stash
 
@@ -52,6 +57,55 @@ def fits_one_task(
     return sizes.filter(F.col("rows") > most).isEmpty()
 
 
+#: Rows that fix the bounds of ranges, about; they are sorted in one task.
+SAMPLE_ROWS = 100_000
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of rows in ascending order of ``columns``, nulls first, by bounds that are values."""
+
+    columns: tuple[str, ...]
+    schema: T.StructType
+    #: The bounds in order, cut into groups of ``width``, as JSON of ``schema``.
+    bounds: str
+    width: int
+
+    @classmethod
+    def sampled(cls, rows: DataFrame, columns: Sequence[str], count: int) -> Ranges:
+        """About ``count`` ranges with equally many of ``rows`` each, unless equal rows are more than that."""
+        share = min(1.0, SAMPLE_ROWS / max(rows.count(), 1))
+        sample = rows.select(F.struct(*columns).alias("key")).sample(share, seed=11)
+        ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+        step = F.size("keys") / F.lit(count)
+        chosen = F.transform(F.sequence(F.lit(1), F.lit(max(count - 1, 1))), lambda i: F.get("keys", F.floor(i * step).cast("int")))
+        kept = ordered.select(F.array_distinct(F.filter(chosen, lambda b: b.isNotNull())).alias("bounds"))
+        width = math.ceil(math.sqrt(count))
+        groups = F.transform(
+            F.when(F.size("bounds") > 0, F.sequence(F.lit(1), F.size("bounds"), F.lit(width))).otherwise(F.array().cast("array<int>")),
+            lambda i: F.slice("bounds", i, F.lit(width)),
+        )
+        cut = kept.select(F.struct(groups.alias("groups")).alias("cut"))
+        schema = T.StructType([T.StructField("groups", T.ArrayType(T.ArrayType(rows.select(*columns).schema)))])
+        return cls(tuple(columns), schema, cut.select(F.to_json("cut")).first()[0], width)
+
+    def number(self) -> Column:
+        """The number of a row's range, from 0: how many bounds are not above it. Looked up in two steps."""
+        key = F.struct(*self.columns)
+        groups = F.from_json(F.lit(self.bounds), self.schema).getField("groups")
+        passed = F.size(F.filter(groups, lambda g: F.get(g, F.lit(0)) <= key))
+        inside = F.size(F.filter(F.get(groups, passed - 1), lambda b: b <= key))
+        return F.when(passed > 0, (passed - 1) * self.width + inside).otherwise(0)
+
+
+def rows_before(rows: DataFrame, ranges: Ranges) -> DataFrame:
+    """``(_range, _rows, _before)``, stored: the rows of each range and of all ranges before it. One pass over ``rows``,
+    counted before the shuffle."""
+    counts = stash(rows.groupBy(ranges.number().alias("_range")).agg(F.count("*").alias("_rows")), "range-counts")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+
+
 def number_rows(
     df: DataFrame,
     name: str,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyline.contracts import CLEANED_COLUMNS, Star
 from tallyline.operators.cleaning import clean, save_cleaned
 from tallyline.plans.rules import validate_cleaned
+from tallyline.session import scratch_scope
 from tallyline.sources.landing import validate_schema
 from tallyline.warehouse import Warehouse
 
@@ -28,11 +29,13 @@ def run(spark: SparkSession, make_raw: Callable[[], DataFrame], folder: str) ->
 
     Every stage is checked before the next one begins: the structure of the raw table, row count
     and invariants of the cleaned one, and, before a version is published, the references and
-    sums of the model. A check that fails raises and leaves what was published before."""
+    sums of the model. A check that fails raises and leaves what was published before. Scratch tables
+    are removed on the way, whether a stage ends well or not."""
     make_raw().write.parquet(f"{folder}/raw")
     stored = spark.read.parquet(f"{folder}/raw")
     validate_schema(stored)
-    save_cleaned(clean(stored), f"{folder}/cleaned")
+    with scratch_scope(spark):
+        save_cleaned(clean(stored), f"{folder}/cleaned")
     cleaned = spark.read.parquet(f"{folder}/cleaned").select(*CLEANED_COLUMNS)
     validate_cleaned(stored, cleaned)
     loaded = Warehouse(spark, f"{folder}/warehouse").load(cleaned)

@@ -57,13 +57,11 @@ def with_segment(frame: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def left_by_customer(frame: DataFrame, side: DataFrame) -> DataFrame:
-    """Left join on ``customer_key``. Lines without a customer match nothing; they are joined on
-    a spread key, so that they do not meet in one task."""
-    spread = F.when(F.col("customer_key").isNull(), F.pmod(F.xxhash64("source_row_id"), F.lit(4096)))
-    lines = frame.withColumn("_spread", F.coalesce(spread, F.lit(-1)))
-    keyed = side.withColumnRenamed("customer_key", "_customer").withColumn("_side", F.lit(-1).cast("bigint"))
-    match = (F.col("customer_key") == F.col("_customer")) & (F.col("_spread") == F.col("_side"))
-    return lines.join(keyed, match, "left").drop("_spread", "_side", "_customer")
+    """Left join on ``customer_key``. Lines without a customer match nothing: they are joined on their own
+    number below zero, which no customer has, so that they do not meet in one task."""
+    spread = F.coalesce(F.col("customer_key"), -1 - F.col("source_row_id"))
+    keyed = side.withColumnRenamed("customer_key", "_meet")
+    return frame.withColumn("_meet", spread).join(keyed, "_meet", "left").drop("_meet")
 
 
 def sales(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -120,9 +120,13 @@ def build_fact(
     ).select(*C.FACT_COLUMNS)
 
 
-def merge_fact(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Replace lines with the same id, add new ones, keep the rest."""
-    return upsert(existing, incoming, "source_row_id")
+def merge_fact(existing: DataFrame, incoming: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
+    """Replace lines with the same id, add new ones, keep the rest. ``replaced`` names the ids to
+    take out of ``existing`` where that is more than ``incoming`` brings back."""
+    if replaced is None:
+        return upsert(existing, incoming, "source_row_id")
+    kept = existing.join(replaced.select("source_row_id"), "source_row_id", "left_anti")
+    return kept.select(*existing.columns).unionByName(incoming.select(*existing.columns))
 
 
 def broken_references(star: Star) -> DataFrame:

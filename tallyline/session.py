@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
 from typing import Any
 from uuid import uuid4
@@ -13,6 +14,8 @@ from uuid import uuid4
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline import store
+
 # SQL settings the plans are written for. Partition counts stay with the cluster; AQE
 # merges small shuffle partitions and splits skewed ones at run time.
 RECOMMENDED = {
@@ -58,8 +61,29 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tallyline/{spark.conf.get('spark.app.id', 'session')}"
 
 
+# Scratch paths handed out inside the innermost open scope.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid4().hex}"
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside when the block ends, also when it fails. Nothing that leaves the
+    block may still read one of them. Covers what :func:`concurrently` runs; an inner scope removes its own."""
+    paths: list[str] = []
+    outer = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(outer)
+        for path in paths:
+            store.remove(spark, path)
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
@@ -87,4 +111,4 @@ def concurrently(tasks: Sequence[Callable[[], Any]], at_once: int = 4) -> list[A
     """Run independent jobs side by side, so that one job's last tasks do not idle the rest
     of the cluster. Results keep the order of ``tasks``; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        return [future.result() for future in [pool.submit(task) for task in tasks]]
+        return [future.result() for future in [pool.submit(copy_context().run, task) for task in tasks]]

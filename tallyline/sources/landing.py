@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline import contracts as C
+from tallyline import store
 from tallyline.session import path_missing
 from tallyline.sources.files import CSV
 
@@ -125,6 +126,7 @@ def land(
     entry written when it was. Identical content is skipped; other content, landed data that
     changed or vanished, are refused unless ``force``. Every copy goes to a folder of its own, and the
     entry in the log, written last, makes it the current one: a copy that fails leaves the old one.
+    Of two landings that start from the same entry, the later one raises and removes its copy.
     """
     raw = read_raw(spark, source, fmt)
     rows, incoming = extract_fingerprint(raw)
@@ -142,9 +144,21 @@ def land(
     if action in ("skip", "verified_in_place"):
         return Landing(action, rows, entry["folder"])
     folder = f"{landing}/data-{uuid4().hex}"
-    raw.write.parquet(folder)
     place = 1 if entry is None else entry["place"] + 1
-    spark.createDataFrame([(place, folder, rows, incoming)], LOG).write.mode("append").parquet(f"{landing}/log")
+
+    def unchanged() -> bool:
+        now = _recorded(spark, landing)
+        return (None if now is None else now["place"]) == (None if entry is None else entry["place"])
+
+    try:
+        raw.write.parquet(folder)
+        with store.sole_successor(spark, f"{landing}/claims/place-{place}", unchanged, "landing"):
+            spark.createDataFrame([(place, folder, rows, incoming)], LOG).coalesce(1).write.mode("append").parquet(f"{landing}/log")
+    except BaseException:
+        now = _recorded(spark, landing)
+        if now is None or now["folder"] != folder:
+            store.remove(spark, folder)
+        raise
     return Landing(action, rows, folder)
 
 

@@ -4,9 +4,11 @@ from decimal import Decimal
 
 import pytest
 from conftest import CLASS_ROWS, UK, raw_frame, rows_of
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
+from tallyline.operators import cleaning
 from tallyline.operators.cleaning import clean, normalise
 from tallyline.operators.copies import expand_copies
 from tallyline.plans import profile, rules
@@ -156,3 +158,25 @@ def test_cleaning_warnings(cleaned):
         "duplicate_candidates": (2, "warning"),
         "non_standard_stock_code": (1, "info"),
     }
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_numbers_of_lines_with_many_copies(spark, tmp_path, monkeypatch, heavy):
+    """A third of all lines are equal, others are equal in all but one column, some columns are null."""
+    if heavy:
+        monkeypatch.setattr(cleaning, "COPIES_A_TASK", 5)
+    rows = [(f"70{i % 40:04}", f"5{i % 7}", None if i % 5 == 0 else f"t{i % 3}", i % 4, None if i % 9 == 0 else f"2012-0{1 + i % 6}-01 10:00", 1.5, None if i % 3 else i % 6, UK) for i in range(600)]
+    rows += [("700001", "51", "same", 1, "2012-03-01 10:00", 2.0, 5, UK)] * 300
+    raw_frame(spark, rows).repartition(5).write.parquet(str(tmp_path / "raw"))
+    lines = normalise(spark.read.parquet(str(tmp_path / "raw")))
+    got = cleaning.number_lines(lines)
+    order = [F.col(c).asc_nulls_first() for c in cleaning.LINE_ORDER]
+    want = lines.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("source_row_id"), *C.LINE_COLUMNS)
+    want = want.withColumn("flag_duplicate_candidate", F.count("*").over(Window.partitionBy(*C.LINE_COLUMNS)) > 1)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and ("Union" in plan) == heavy
+
+
+def test_numbers_of_no_lines(spark):
+    assert clean(raw_frame(spark, [])).collect() == []

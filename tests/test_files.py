@@ -5,6 +5,7 @@ from conftest import UK, PROFILE_ROWS, raw_frame, rows_of
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
+from tallyline import store
 from tallyline.plans import extracts
 from tallyline.sources import files, landing
 
@@ -164,3 +165,25 @@ def test_csv_source(spark, tmp_path):
     raw = landing.read_raw(spark, path, "csv")
     landing.validate_schema(raw)
     assert raw.schema["Quantity"].dataType.simpleString() == "int" and raw.count() == 9
+
+
+def test_one_of_two_landings_from_one_state_wins(spark, tmp_path, monkeypatch):
+    """A second landing begins and ends while the first one is copying."""
+    one, two, target = (str(tmp_path / n) for n in ("one", "two", "landing"))
+    raw_frame(spark, _lines(3)).write.parquet(one)
+    raw_frame(spark, _lines(5)).write.parquet(two)
+    claimed, inner = store.claim, []
+
+    def meanwhile(*args):
+        if not inner:
+            inner.append(None)
+            inner[0] = landing.land(spark, two, target)
+        return claimed(*args)
+
+    monkeypatch.setattr(store, "claim", meanwhile)
+    with pytest.raises(C.ContractError, match="another landing"):
+        landing.land(spark, one, target)
+    assert landing.landed(spark, target).count() == 5
+    assert len(list((tmp_path / "landing").glob("data-*"))) == 1  # the loser's copy is gone
+    assert landing.land(spark, one, target, force=True).action == "overwrite"
+    assert landing.landed(spark, target).count() == 3

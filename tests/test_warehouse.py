@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import SALES_ROWS, UK, raw_frame, rows_of
@@ -8,11 +9,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
-from tallyline import pipeline
+from tallyline import pipeline, store
 from tallyline.operators.cleaning import clean
 from tallyline.plans import measures
 from tallyline.plans import star as build
-from tallyline.session import path_missing
+from tallyline.session import concurrently, path_missing, scratch_root
 from tallyline.warehouse import Warehouse
 
 
@@ -160,8 +161,14 @@ def test_lines_without_a_customer_are_spread(spark, sales_tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = measures.with_segment(nobody, segments)
-        assert "_spread" in joined._jdf.queryExecution().executedPlan().toString()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        left = plan.split("SortMergeJoin")[1]
+        keys = [part.split("#")[0] for part in left.split("hashpartitioning(")[1:]]
+        assert keys == ["_meet", "_meet"] and "_meet" in left.splitlines()[0]
+        meet = F.coalesce(F.col("customer_key"), -1 - F.col("source_row_id"))
+        assert nobody.select(meet).distinct().count() == 8  # a key of its own for every line
         assert joined.filter("rfm_segment_heuristic IS NULL").count() == 8
+        assert joined.columns == [*star.fact.columns, "rfm_segment_heuristic"]
         assert measures.with_segment(star.fact, segments).filter("rfm_segment_heuristic = 's'").count() == 8
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
@@ -172,3 +179,108 @@ def test_only_missing_paths_are_passed_over(spark, tmp_path):
         spark.read.parquet(str(tmp_path / "nothing"))
     with pytest.raises(AnalysisException), path_missing():
         spark.range(1).select("unheard_of")
+
+
+def _files(warehouse):
+    """Data files of the fact and when they were written."""
+    return {str(p): p.stat().st_mtime_ns for p in Path(warehouse.root, "fact_sales").rglob("*.parquet")}
+
+
+def _at(changed, when):
+    return changed.withColumn("invoice_date", F.when(when, F.lit("2013-06-30 10:00:00").cast("timestamp_ntz")).otherwise(F.col("invoice_date")))
+
+
+def test_only_touched_months_are_written(spark, warehouse):
+    cleaned = _clean(spark, SALES_ROWS)
+    first = warehouse.load(cleaned)
+    assert first.rewritten == [(2013, 6), (2013, 7)]
+    before = _files(warehouse)
+    # Nothing changed: no line is written, the version points to the folders of the one before.
+    assert warehouse.load(cleaned).rewritten == []
+    assert _files(warehouse) == before and warehouse.months(2) == warehouse.months(1)
+    # A changed line in July.
+    changed = cleaned.withColumn("quantity", F.when(F.col("source_row_id") == 6, 60).otherwise(F.col("quantity")))
+    changed = changed.withColumn("line_revenue", F.when(F.col("source_row_id") == 6, F.lit("180.00").cast("decimal(14,2)")).otherwise(F.col("line_revenue")))
+    third = warehouse.load(changed)
+    assert third.rewritten == [(2013, 7)]
+    after = _files(warehouse)
+    assert {f: t for f, t in after.items() if f in before} == before
+    assert all("v=3" in f and "month=7" in f for f in after if f not in before)
+    assert warehouse.months(3)[2013, 6] == warehouse.months(1)[2013, 6]
+    assert rows_of(third.star.fact, "source_row_id")[6]["quantity"] == 60 and third.star.fact.count() == 8
+    # A line that moves from July to June touches both.
+    fourth = warehouse.load(_at(changed, F.col("source_row_id") == 6))
+    assert fourth.rewritten == [(2013, 6), (2013, 7)] and fourth.star.fact.count() == 8
+    # A load of June alone leaves July as it is.
+    fifth = warehouse.load(changed.filter("source_row_id < 4"), allow_vanished=True)
+    assert fifth.rewritten == [] and fifth.star.fact.count() == 8
+    everything = sorted(map(str, warehouse.star().fact.collect()))
+    gone = warehouse.drop_before(5)
+    assert {p.split("/")[-1] for p in gone} >= {"v=1", "v=4", "month=6", "month=7"}
+    assert sorted(map(str, warehouse.star().fact.collect())) == everything
+    with pytest.raises(AnalysisException):
+        warehouse.star(1).fact.count()
+    assert warehouse.load(changed).version == 6
+
+
+def test_a_month_can_become_empty(spark, warehouse):
+    cleaned = _clean(spark, SALES_ROWS)
+    warehouse.load(cleaned)
+    moved = _at(cleaned, F.col("source_row_id") >= 4)
+    assert warehouse.load(moved).rewritten == [(2013, 6)]
+    assert list(warehouse.months(2)) == [(2013, 6)] and warehouse.star().fact.count() == 8
+
+
+@pytest.mark.parametrize("loaded", [False, True])
+def test_one_of_two_loads_from_one_version_wins(spark, warehouse, monkeypatch, loaded):
+    """The second load begins and ends while the first one is checking its lines."""
+    cleaned = _clean(spark, SALES_ROWS)
+    if loaded:
+        warehouse.load(cleaned.filter("source_row_id < 3"))
+    guards = build.broken_references
+    inner = []
+
+    def meanwhile(star):
+        if not inner:
+            inner.append(None)
+            inner[0] = warehouse.load(cleaned)
+        return guards(star)
+
+    monkeypatch.setattr(build, "broken_references", meanwhile)
+    with pytest.raises(C.ContractError, match="another load"):
+        warehouse.load(cleaned)
+    assert warehouse.current_version() == inner[0].version and warehouse.star().fact.count() == 8
+    assert warehouse.load(cleaned).version > inner[0].version
+
+
+def test_a_claim_has_one_owner(spark, tmp_path):
+    path = f"{tmp_path}/claims/one"
+    assert sorted(concurrently([lambda: store.claim(spark, path)] * 12, at_once=12)) == [False] * 11 + [True]
+    with pytest.raises(C.ContractError, match="another load"), store.sole_successor(spark, path, lambda: True, "load"):
+        pass
+    store.remove(spark, path)
+    with pytest.raises(RuntimeError), store.sole_successor(spark, path, lambda: True, "load"):
+        raise RuntimeError
+    assert store.claim(spark, path)  # a failed block gave it back
+
+
+def test_a_writer_that_died_while_publishing(spark, warehouse):
+    cleaned = _clean(spark, SALES_ROWS)
+    warehouse.load(cleaned)
+    assert store.claim(spark, f"{warehouse.root}/claims/after-1")
+    with pytest.raises(C.ContractError, match="another load"):
+        warehouse.load(cleaned)
+    warehouse.release()
+    assert warehouse.load(cleaned).star.fact.count() == 8
+
+
+def test_no_scratch_is_left(spark, tmp_path):
+    def left():
+        return set(store.matching(spark, f"{scratch_root(spark)}/*"))
+
+    before = left()
+    pipeline.run(spark, lambda: raw_frame(spark, SALES_ROWS), str(tmp_path / "run"))
+    assert left() == before
+    with pytest.raises(C.ContractError):
+        pipeline.run(spark, lambda: raw_frame(spark, SALES_ROWS).withColumn("Country", F.lit(3)), str(tmp_path / "bad"))
+    assert left() == before
