@@ -423,7 +423,7 @@ CATALOG: dict[str, Query] = {
     "M11_cohort_matrix": lambda t: cohorts.cohort_cells(_retention(t)),
     "M12_status_share": lambda t: quality.status_distribution(t.star.fact),
     "M13_version_difference": lambda t: metrics.version_difference(_versions(t), "units_sold"),
-    "M14_product_series": lambda t: metrics.product_series(products.monthly_trend(t.star), PRODUCT),
+    "M14_product_series": lambda t: metrics.product_series(products.trend_of(t.star, PRODUCT), PRODUCT),
     "M15_cancellation_rates": lambda t: measures.cancellation_rates(t.star.fact),
     # 2.9 measures
     "BI1_sales": lambda t: measures.sales(t.star.fact),

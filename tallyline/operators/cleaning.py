@@ -103,7 +103,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
         line_groups(lines)
         .withColumn("_range", ranges.number())
         .withColumn("_within", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
-        .join(F.broadcast(starts), "_range")  # a row a range
+        .join(F.broadcast(starts), "_range", "left")  # a row a range
     )
     # A line with more copies than the limit makes its range as large.
     heavy = (sizes["most"] or 0) > limit

@@ -14,8 +14,9 @@ alone, as often as it likes, and no table of rows is written.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,41 +62,64 @@ def fits_one_task(
 SAMPLE_ROWS = 100_000
 
 
+def _sql(value, kind: T.DataType) -> str:
+    """A value as the text of a literal."""
+    if value is None:
+        return f"CAST(NULL AS {kind.simpleString()})"
+    text = f"X'{str(value).encode().hex()}'"
+    return f"CAST(CAST({text} AS STRING) AS {kind.simpleString()})"
+
+
 @dataclass(frozen=True)
 class Ranges:
     """Ranges of rows in ascending order of ``columns``, nulls first, by bounds that are values."""
 
     columns: tuple[str, ...]
-    schema: T.StructType
-    #: The bounds in order, cut into groups of ``width``, as JSON of ``schema``.
+    #: The bounds in order, cut into groups of ``width``: the text of a constant, which is folded into one literal
+    #: of ``kind``, the type that rows have too, so that comparing casts nothing.
     bounds: str
+    kind: str
     width: int
 
     @classmethod
     def sampled(cls, rows: DataFrame, columns: Sequence[str], count: int) -> Ranges:
         """About ``count`` ranges with equally many of ``rows`` each, unless equal rows are more than that."""
         share = min(1.0, SAMPLE_ROWS / max(rows.count(), 1))
-        sample = rows.select(F.struct(*columns).alias("key")).sample(share, seed=11)
+        keys = rows.select(*columns)
+        sample = keys.sample(share, seed=11).select(F.struct(*columns).alias("key"))
         ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
         step = F.size("keys") / F.lit(count)
         chosen = F.transform(F.sequence(F.lit(1), F.lit(max(count - 1, 1))), lambda i: F.get("keys", F.floor(i * step).cast("int")))
-        kept = ordered.select(F.array_distinct(F.filter(chosen, lambda b: b.isNotNull())).alias("bounds"))
+        bounds = ordered.select(F.array_distinct(F.filter(chosen, lambda b: b.isNotNull()))).first()[0]
+        kinds = [field.dataType for field in keys.schema.fields]
+        structs = [
+            "named_struct(" + ", ".join(f"'{c}', {_sql(v, k)}" for c, v, k in zip(columns, bound, kinds, strict=True)) + ")"
+            for bound in bounds
+        ]
         width = math.ceil(math.sqrt(count))
-        groups = F.transform(
-            F.when(F.size("bounds") > 0, F.sequence(F.lit(1), F.size("bounds"), F.lit(width))).otherwise(F.array().cast("array<int>")),
-            lambda i: F.slice("bounds", i, F.lit(width)),
-        )
-        cut = kept.select(F.struct(groups.alias("groups")).alias("cut"))
-        schema = T.StructType([T.StructField("groups", T.ArrayType(T.ArrayType(rows.select(*columns).schema)))])
-        return cls(tuple(columns), schema, cut.select(F.to_json("cut")).first()[0], width)
+        groups = [f"array({', '.join(structs[i : i + width])})" for i in range(0, len(structs), width)]
+        kind = T.ArrayType(T.ArrayType(keys.schema)).simpleString()
+        return cls(tuple(columns), f"array({', '.join(groups)})" if groups else "", kind, width)
 
     def number(self) -> Column:
         """The number of a row's range, from 0: how many bounds are not above it. Looked up in two steps."""
-        key = F.struct(*self.columns)
-        groups = F.from_json(F.lit(self.bounds), self.schema).getField("groups")
-        passed = F.size(F.filter(groups, lambda g: F.get(g, F.lit(0)) <= key))
-        inside = F.size(F.filter(F.get(groups, passed - 1), lambda b: b <= key))
-        return F.when(passed > 0, (passed - 1) * self.width + inside).otherwise(0)
+        if not self.bounds:
+            return F.lit(0)
+        groups = F.expr(self.bounds).cast(self.kind)
+
+        def inside(key: Column, passed: Column) -> Column:
+            below = F.size(F.filter(F.get(groups, passed - 1), lambda b: b <= key))
+            return F.when(passed > 0, (passed - 1) * self.width + below).otherwise(0)
+
+        def found(key: Column) -> Column:
+            return _bound(F.size(F.filter(groups, lambda g: F.get(g, F.lit(0)) <= key)), lambda p: inside(key, p))
+
+        return _bound(F.struct(*self.columns), found)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def rows_before(rows: DataFrame, ranges: Ranges) -> DataFrame:
@@ -184,6 +208,41 @@ def rank_rows(
     return _join_back(numbered, ranks, [*within, by, "_block"], [name]).drop("_n", "_block")
 
 
+#: Buckets that a round of :func:`ranked_values` counts for each value it looks for.
+BUCKETS = 1024
+
+
+def ranked_values(stored: DataFrame, value: str, ranks: Sequence[int]) -> dict[int, Decimal]:
+    """Exact values of a stored decimal column at 0-based ascending positions among its non-null values, without sorting them.
+
+    Each round counts the values in equal buckets of the interval that holds a position, map-side, and goes on in the bucket
+    that holds it, until a bucket is one value wide: a few rounds, whatever the number of rows or how many are
+    equal. A round returns at most ``BUCKETS`` counts for each position."""
+    scale = getattr(stored.schema[value].dataType, "scale", 0)
+    units = stored.select((F.col(value) * 10**scale).cast("decimal(38,0)").cast("bigint").alias("u")).filter("u IS NOT NULL")
+    ends = units.agg(F.min("u").alias("low"), F.max("u").alias("high")).first()
+    open_ = {rank: (ends["low"], ends["high"], rank) for rank in set(ranks)}
+    while any(low < high for low, high, _ in open_.values()):
+        searched = {rank: at for rank, at in open_.items() if at[0] < at[1]}
+        width = {rank: -(-(high - low + 1) // BUCKETS) for rank, (low, high, _) in searched.items()}
+        hits = [
+            F.when(F.col("u").between(low, high), F.struct(F.lit(rank).cast("bigint").alias("rank"), F.expr(f"(u - {low}L) div {width[rank]}L").alias("bucket")))
+            for rank, (low, high, _) in searched.items()
+        ]
+        counted = units.select(F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("h")).groupBy("h.rank", "h.bucket").count()
+        found: dict[int, list] = {rank: [] for rank in searched}
+        for row in counted.collect():  # BUCKETS rows a position
+            found[row["rank"]].append((row["bucket"], row["count"]))
+        for rank, (low, high, left) in searched.items():
+            for bucket, count in sorted(found[rank]):
+                if left < count:
+                    begin = low + bucket * width[rank]
+                    open_[rank] = (begin, min(begin + width[rank] - 1, high), left)
+                    break
+                left -= count
+    return {rank: Decimal(low).scaleb(-scale) for rank, (low, _, _) in open_.items()}
+
+
 def tile(position: Column, rows: Column, tiles: int) -> Column:
     """NTILE bucket of a row number: the first ``rows % tiles`` buckets hold one row more."""
     size = F.floor(rows / tiles)

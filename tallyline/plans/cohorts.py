@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.contracts import Star
@@ -10,30 +10,54 @@ from tallyline.functions import status as S
 from tallyline.functions.money import percent, ratio
 
 
+#: Months that one word of a customer's activity holds; the sign bit stays free.
+MONTHS_A_WORD = 63
+
+
+def _month_at(number: Column) -> Column:
+    """The first day of a month from its number, twelve to a year and 1 for January."""
+    return F.make_date(F.floor((number - 1) / 12).cast("int"), (F.pmod(number - 1, F.lit(12)) + 1).cast("int"), F.lit(1))
+
+
+def _bits(word: str, first: int, months: int) -> Column:
+    """The numbers of the months that are set in a word which begins with month ``first``."""
+    numbers = F.sequence(F.lit(first), F.lit(min(first + MONTHS_A_WORD, months) - 1))
+    return F.filter(numbers, lambda m: F.getbit(F.col(word), m - first) == 1)
+
+
 def cohort_retention(star: Star) -> DataFrame:
     """V-17: customers of each first-purchase month who bought again in each later month.
 
-    Lines are reduced to distinct (customer, month) pairs before the first shuffle, so later
-    steps see at most one row per customer and month. Months a cohort was not seen in have
-    no row.
+    A customer's months are bits, 63 of them to a word, combined before the one shuffle by customer; the lowest
+    bit is the cohort, and each bit is a month in which the customer came back. The calendar tells how
+    many words it takes. Months a cohort was not seen in have no row.
     """
-    month = F.trunc(F.col("invoice_timestamp").cast("date"), "month")
     sales = star.fact.filter(S.sold())
     last_month = F.trunc(sales.agg(F.max("invoice_timestamp").cast("date")).scalar(), "month")
-    visits = (
-        sales.filter("customer_key IS NOT NULL")
-        .select("customer_key", month.alias("activity_month"))
-        .distinct()
-    )
-    first = F.min("activity_month").over(Window.partitionBy("customer_key"))
+    span = star.dates.agg(F.min("date_value").alias("first"), F.max("date_value").alias("last")).first()
+    start = span["first"].year * 12 + span["first"].month if span["first"] else 0
+    months = span["last"].year * 12 + span["last"].month - start + 1 if span["last"] else 1
+    place = F.year("invoice_timestamp") * 12 + F.month("invoice_timestamp") - F.lit(start)
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(_place, {MONTHS_A_WORD}) AS INT))")
+    words = [
+        F.bit_or(F.when(F.floor(F.col("_place") / MONTHS_A_WORD) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"_w{w}")
+        for w in range(-(-months // MONTHS_A_WORD))
+    ]
+    seen = sales.filter("customer_key IS NOT NULL").withColumn("_place", place).groupBy("customer_key").agg(*words)
+    active = F.concat(*[_bits(f"_w{w}", w * MONTHS_A_WORD, months) for w in range(len(words))])
     cells = (
-        visits.withColumn("cohort_month", first)
-        .groupBy("cohort_month", "activity_month")
+        seen.select(active.alias("_months"))
+        .select(F.get("_months", F.lit(0)).alias("_cohort"), F.explode("_months").alias("_month"))
+        .groupBy("_cohort", "_month")
         .agg(F.count("*").alias("returning_customers"))
+        .select(
+            _month_at(F.col("_cohort") + start).alias("cohort_month"),
+            _month_at(F.col("_month") + start).alias("activity_month"),
+            (F.col("_month") - F.col("_cohort")).alias("_index"),
+            "returning_customers",
+        )
     )
-    index = (F.year("activity_month") - F.year("cohort_month")) * 12 + (
-        F.month("activity_month") - F.month("cohort_month")
-    )
+    index = F.col("_index")
     # Everyone is active in the first month, so that cell is the cohort's size.
     size = F.max(F.when(index == 0, F.col("returning_customers"))).over(
         Window.partitionBy("cohort_month")

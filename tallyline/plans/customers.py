@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from tallyline import contracts as C
 from tallyline.contracts import Star
 from tallyline.functions import status as S
 from tallyline.functions.money import percent, ratio
-from tallyline.operators.ordering import fits_one_task, number_rows, percentile_at, tile, tile_rows
+from tallyline.operators.ordering import fits_one_task, number_rows, percentile_at, ranked_values, tile, tile_rows
 from tallyline.session import stash
 
 
@@ -155,12 +158,23 @@ def _by_spend(star: Star, descending: bool) -> DataFrame:
 
 
 def spend_statistics(star: Star) -> DataFrame:
-    """C4: mean, exact median and 90th percentile, minimum and maximum spend."""
-    n, of = F.col("_n"), F.col("_of")
-    return _by_spend(star, descending=False).agg(
+    """C4: mean, exact median and 90th percentile, minimum and maximum spend. The percentiles lie between
+    two customers each, whose spends are selected by counting; customers are not sorted."""
+    totals = stash(customer_totals(star).select("monetary"), "customer-spend")
+    count = totals.count()
+    places = {f: (count - 1) * Fraction(f) for f in ("0.5", "0.9")}
+    spends = ranked_values(totals, "monetary", [r for p in places.values() for r in (math.floor(p), math.ceil(p))]) if count else {}
+
+    def percentile(fraction: str) -> Column:
+        if not count:
+            return F.lit(None).cast("double")
+        low, high = (Fraction(spends[end(places[fraction])]) for end in (math.floor, math.ceil))
+        return F.lit(float(low + (high - low) * (places[fraction] % 1)))
+
+    return totals.agg(
         ratio(F.sum("monetary"), F.count("*"), 2).alias("mean_customer_spend"),
-        percentile_at("monetary", n, of, "0.5").alias("median_customer_spend"),
-        percentile_at("monetary", n, of, "0.9").alias("p90_customer_spend"),
+        percentile("0.5").alias("median_customer_spend"),
+        percentile("0.9").alias("p90_customer_spend"),
         F.min("monetary").alias("min_customer_spend"),
         F.max("monetary").alias("max_customer_spend"),
     )

@@ -7,7 +7,9 @@ statuses is never mixed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from tallyline import contracts as C
 from tallyline.contracts import ContractError, Star
 from tallyline.functions import status as S
 from tallyline.functions.money import safe_divide
-from tallyline.operators.ordering import fits_one_task, number_rows, rank_rows
+from tallyline.operators.ordering import fits_one_task, rank_rows, ranked_values
 from tallyline.plans.products import non_merchandise_listed
 from tallyline.session import stash
 
@@ -107,17 +109,11 @@ def customers(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def concentration(spend: DataFrame, share: str = "0.1") -> DataFrame:
     """BI-5: revenue share of the top ``ceil(share * n)`` customers; customers who tie with
     the last of them count too."""
-    stored = stash(spend.select("customer_id", "monetary"), "spend")
-    ordered = number_rows(
-        stored,
-        "_n",
-        [F.col("monetary").desc(), F.col("customer_id").asc()],
-        total="_of",
-        single=fits_one_task(stored),
-    )
-    last = F.ceil(F.col("_of") * F.lit(share).cast("decimal(6,4)"))
-    least = ordered.filter(F.col("_n") == last).agg(F.max("monetary")).scalar()
-    top = F.sum(F.when(F.col("monetary") >= least, F.col("monetary")))
+    stored = stash(spend.select("monetary"), "spend")
+    count = stored.filter("monetary IS NOT NULL").count()
+    last = count - math.ceil(count * Fraction(share))
+    least = ranked_values(stored, "monetary", [last])[last] if count else None
+    top = F.sum(F.when(F.col("monetary") >= F.lit(least), F.col("monetary")))
     return stored.agg(
         top.alias("top_revenue"), safe_divide(top, F.sum("monetary")).alias("top_revenue_share")
     )

@@ -85,7 +85,7 @@ def _best(star: Star, n: int, by: str, other: str) -> DataFrame:
 
     Whatever ranks before one of them by the first figure is itself among them. For the other
     figure, one aggregate counts the products above each of the ``n`` values."""
-    sums = _volumes(star.fact)
+    sums = stash(_volumes(star.fact), "product-volumes")  # the fact is read once for both aggregates
     names = star.products.select("product_key", "stock_code", "description")
     best = sums.join(names, "product_key").orderBy(F.col(by).desc(), "stock_code").limit(n).drop("product_key")
     rows = best.collect()  # n rows
@@ -227,6 +227,12 @@ def monthly_trend(star: Star) -> DataFrame:
     return _named(star, _months(star.fact)).select(*_TREND)
 
 
+def trend_of(star: Star, description: str) -> DataFrame:
+    """Months of the products with one description; the fact is cut to them before anything is aggregated."""
+    keys = star.products.filter(F.col("description") == description).select("product_key")
+    return _named(star, _months(star.fact.join(keys, "product_key", "left_semi"))).select(*_TREND)
+
+
 def trend_of_best(star: Star, n: int = 5) -> DataFrame:
     """B6: months of the ``n`` best products. The fact is cut to those products by a semi
     join with ``n`` broadcast rows before anything is aggregated."""

@@ -129,12 +129,24 @@ def merge_fact(existing: DataFrame, incoming: DataFrame, replaced: DataFrame | N
     return kept.select(*existing.columns).unionByName(incoming.select(*existing.columns))
 
 
-def broken_references(star: Star) -> DataFrame:
+def broken_references(star: Star, broadcast: bool = False) -> DataFrame:
     """Rows per guard: keys without a dimension row, forbidden nulls, bad ids and statuses.
 
-    Distinct keys are taken before the anti join, so hot keys cost one row each.
+    ``broadcast`` states that the dimensions' size was measured and is small: the fact then is read
+    once, beside all four. Otherwise distinct keys are taken before an anti join for each of them, so hot keys
+    cost one row each.
     """
     fact = star.fact
+    references = [
+        ("orphan_product", "product_key", star.products), ("orphan_country", "country_key", star.countries),
+        ("orphan_customer", "customer_key", star.customers), ("orphan_date", "date_key", star.dates),
+    ]
+    orphans = []
+    if broadcast:
+        for guard, key, dimension in references:
+            known = dimension.select(F.col(key).alias(f"_{key}"))
+            fact = fact.join(F.broadcast(known), F.col(key) == F.col(f"_{key}"), "left")
+            orphans.append(F.count_if(F.col(key).isNotNull() & F.col(f"_{key}").isNull()).alias(guard))
 
     def dangling(guard: str, key: str, dimension: DataFrame) -> DataFrame:
         used = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
@@ -145,12 +157,9 @@ def broken_references(star: Star) -> DataFrame:
         F.count_if(F.col("source_row_id") < 0).alias("negative_id"),
         F.count_if(~F.col("transaction_status").isin(C.STATUSES)).alias("unknown_status"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in C.FACT_REQUIRED],
+        *orphans,
     )
-    checks = [dangling("orphan_product", "product_key", star.products)]
-    checks.append(dangling("orphan_country", "country_key", star.countries))
-    checks.append(dangling("orphan_customer", "customer_key", star.customers))
-    checks.append(dangling("orphan_date", "date_key", star.dates))
     result = faults.unpivot([], faults.columns, "guard", "rows")
-    for check in checks:
-        result = result.unionByName(check)
+    for reference in references if not broadcast else []:
+        result = result.unionByName(dangling(*reference))
     return result

@@ -53,6 +53,11 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in system.globStatus(at) or [])
 
 
+def size(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of all files below ``paths``."""
+    return sum(system.getContentSummary(at).getLength() for system, at in (_open(spark, p) for p in paths))
+
+
 @contextmanager
 def sole_successor(spark: SparkSession, path: str, unchanged: Callable[[], bool], what: str) -> Iterator[None]:
     """Optimistic concurrency: the block may add the one entry that follows the state a writer started from.

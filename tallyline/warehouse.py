@@ -94,10 +94,9 @@ class Warehouse:
 
     # --- loading ------------------------------------------------------------------------------
 
-    def _stored_bytes(self, version: int, tables: list[str]) -> int:
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        lengths = files.load([self._path(version, t) for t in tables]).agg(F.sum("length"))
-        return lengths.first()[0] or 0
+    def _small(self, version: int, tables: list[str]) -> bool:
+        """Whether stored dimensions may be broadcast, all together."""
+        return store.size(self.spark, [self._path(version, t) for t in tables]) <= BROADCAST_BYTES
 
     def _fact_folder(self, version: int) -> str:
         return f"{self.root}/fact_sales/v={version}"
@@ -124,7 +123,7 @@ class Warehouse:
     def _write_fact(self, version: int, cleaned: DataFrame, old: dict[Month, str]) -> dict[Month, str]:
         """Write the months that change; all months of the new version and where they are."""
         countries, customers, products = (self._read(version, t) for t in DIMENSIONS[1:])
-        small = self._stored_bytes(version, DIMENSIONS[1:]) <= BROADCAST_BYTES
+        small = self._small(version, DIMENSIONS[1:])
         fact = build.build_fact(cleaned, countries, customers, products, broadcast=small)
         fact = with_month(fact, "invoice_timestamp")
         if not old:
@@ -181,8 +180,8 @@ class Warehouse:
         )
         months = self._write_fact(version, cleaned, folders)
         fresh = {m: f for m, f in months.items() if folders.get(m) != f}
-        broken = build.broken_references(self._star(version, sorted(fresh.values())))
-        broken = broken.filter("rows > 0").collect()  # one row per guard
+        guards = build.broken_references(self._star(version, sorted(fresh.values())), self._small(version, DIMENSIONS))
+        broken = guards.filter("rows > 0").collect()  # one row per guard
         if broken:
             raise ContractError("; ".join(f"{r['guard']}: {r['rows']} rows" for r in broken))
         star = self._star(version, sorted(months.values()))

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyline.operators import ordering
 from tallyline.operators.ordering import (
-    fits_one_task, number_rows, percentile_at, rank_rows, tile_rows,
+    fits_one_task, number_rows, percentile_at, rank_rows, ranked_values, tile_rows,
 )
 from tallyline.session import stash
 
@@ -74,3 +77,16 @@ def test_size_check_looks_at_groups(values):
     assert not fits_one_task(values, limit=6001)
     assert fits_one_task(values, ["g"], limit=5900)
     assert not fits_one_task(values, ["g"], limit=5000)
+
+
+def test_selected_values(spark, monkeypatch):
+    """Any position, with a value that a third of the rows share, nulls, negative and far values."""
+    monkeypatch.setattr(ordering, "BUCKETS", 7)
+    amount = F.when(F.col("id") % 3 == 0, "12.34").otherwise(F.pmod(F.xxhash64("id"), F.lit(90_000)) / 7 - 2_000)
+    frame = spark.range(500).select(F.when(F.col("id") % 10 > 0, amount).cast("decimal(24,2)").alias("v"))
+    far = spark.createDataFrame([("99999999999.99",), ("-0.01",)], "v string").select(F.col("v").cast("decimal(24,2)").alias("v"))
+    values = stash(frame.unionByName(far), "amounts")
+    want = sorted(r["v"] for r in values.filter("v IS NOT NULL").collect())
+    places = [0, 1, len(want) // 2, len(want) // 2, len(want) - 2, len(want) - 1]
+    assert ranked_values(values, "v", places) == {p: want[p] for p in places}
+    assert ranked_values(values.filter("v = 12.34"), "v", [3]) == {3: want[want.index(Decimal("12.34"))]}

@@ -108,6 +108,8 @@ def test_customers(sales_tables):
 
 
 def test_cohorts(sales_tables):
+    plan = cohorts.cohort_retention(sales_tables.star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(customer_key") == 1
     cells = cohorts.cohort_retention(sales_tables.star)
     june, july = date(2013, 6, 1), date(2013, 7, 1)
     found = {(r["cohort_month"], r["month_index"]): r for r in rows_of(cells)}
@@ -220,3 +222,18 @@ def test_reconciliation_passes_and_sees_corruption(sales_tables):
     assert failed == {"gross_sales_revenue", "net_revenue"}
     fewer = rules.reconcile(sales_tables.cleaned, fact.filter("source_row_id > 0"))
     assert "fact_row_count" in {r["check_name"] for r in fewer.filter("NOT passed").collect()}
+
+
+def test_cohorts_over_many_years(spark, tmp_path):
+    """More months than one word of a customer's activity holds."""
+    days = ["2001-01-31", "2001-02-01", "2006-03-15", "2006-04-15", "2013-12-31"]
+    rows = [(f"90{c}{i:03}", "1", "x", 1, d, 1.0, c, UK) for c in (1, 2, 3) for i, d in enumerate(days) if (c + i) % 3]
+    cells = cohorts.cohort_retention(load(spark, rows, tmp_path).star)
+    seen = {c: [date.fromisoformat(d).replace(day=1) for i, d in enumerate(days) if (c + i) % 3] for c in (1, 2, 3)}
+    want = {}
+    for months in seen.values():
+        for m in months:
+            key = (months[0], m, (m.year - months[0].year) * 12 + m.month - months[0].month)
+            want[key] = want.get(key, 0) + 1
+    found = {(r["cohort_month"], r["activity_month"], r["month_index"]): r["returning_customers"] for r in cells.collect()}
+    assert found == want

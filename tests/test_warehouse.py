@@ -87,8 +87,11 @@ def test_guards_see_dangling_keys(sales_tables):
     star = sales_tables.star
     assert build.broken_references(star).filter("rows > 0").count() == 0
     cut = C.Star(star.fact, star.dates, star.countries, star.customers.limit(0), star.products)
-    found = rows_of(build.broken_references(cut).filter("rows > 0"))
-    assert found == [{"guard": "orphan_customer", "rows": 8}]
+    for broadcast in (False, True):
+        found = rows_of(build.broken_references(cut, broadcast).filter("rows > 0"))
+        assert found == [{"guard": "orphan_customer", "rows": 8}]
+    every = {b: sorted(map(str, build.broken_references(star, b).collect())) for b in (False, True)}
+    assert every[False] == every[True]
 
 
 def test_most_frequent_description_and_ties(spark):
@@ -240,11 +243,11 @@ def test_one_of_two_loads_from_one_version_wins(spark, warehouse, monkeypatch, l
     guards = build.broken_references
     inner = []
 
-    def meanwhile(star):
+    def meanwhile(*args):
         if not inner:
             inner.append(None)
             inner[0] = warehouse.load(cleaned)
-        return guards(star)
+        return guards(*args)
 
     monkeypatch.setattr(build, "broken_references", meanwhile)
     with pytest.raises(C.ContractError, match="another load"):
