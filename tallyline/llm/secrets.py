@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, product
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,14 +41,17 @@ THRESHOLD = 5.0
 _SEPARATOR = re.compile(r"=>|:=|[=:]")
 #: Marks that are part of an address or of a match operator.
 _NO_VALUE = re.compile(r":(?=//)|[=:]~(?=[\s/]|$)")
-_NAME = re.compile(r"""([A-Za-z_$@][\w$.\-]*)["'`]?\]?[\x20\t]*(?::[\x20\t]*[A-Za-z_][\w.<>\[\],|\x20]*?)?[\x20\t]*$""")
+#: A target's name and perhaps its type, up to the separator; read backwards from there.
+_NAME_BACKWARDS = re.compile(r"""[\x20\t]*(?:[\w.<>\[\],|\x20]*?[A-Za-z_][\x20\t]*:)?[\x20\t]*\]?["'`]?([\w$.\-]*[A-Za-z_$@])""")
 _QUOTED = re.compile(r"""[rbfuRBFU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
 _REFERENCE = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*")
 _BARE = re.compile(r"""[^\s"'`,;#<>(){}\[\]]+""")
 _JOIN = re.compile(r"[\x20\t]*(?:\+|\.(?=[\x20\t]*[\"'$])|(?=[\"']))[\x20\t]*(?:\\?\n[\x20\t]*)?")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-#: Characters that a target's name may take before its separator.
-_NAME_SPAN = 160
+#: A call whose only or first argument is a literal, and an element whose content is one.
+_CALL = re.compile(r"""(?<![\w$.])([A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*)\([\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')[\x20\t]*[,)]""")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>([^<>\n]+)</")
+_OPENING = re.compile(r"[\x20\t]*(?:\([\x20\t\n]*)*")
 
 
 @dataclass
@@ -99,101 +102,144 @@ def _value(text: str, at: int) -> Assignment | None:
         at = joined.end()
 
 
-def assignments(text: str) -> Iterator[Assignment]:
-    """Name and value of everything in ``text`` that reads as an assignment: ``=``, ``:=``, ``:`` and
-    ``=>`` in source, keyword arguments, JSON, YAML, INI and environment files."""
-    end = 0
+def assignments(text: str) -> list[Assignment]:
+    """Name and value of everything in ``text`` that reads as an assignment, in order: ``=``, ``:=``, ``:`` and
+    ``=>`` in source, keyword arguments, JSON, YAML, INI and environment files, values in parentheses,
+    calls with a literal as their first argument, and the content of elements. A name is looked for between its
+    separator and the last but one before it, since a type may stand between them; so the work
+    grows with the text."""
+    out: list[tuple[int, Assignment]] = []
+    end = last = before_last = 0
     for mark in _SEPARATOR.finditer(text):
+        low, last, before_last = before_last, mark.end(), last
         before, after = text[mark.start() - 1 : mark.start()], text[mark.end() : mark.end() + 1]
         if mark.start() < end or before in ("=", "!", "<", ">", ":") or after in ("=", ":") or _NO_VALUE.match(text, mark.start()):
             continue
-        name = _NAME.search(text, max(0, mark.start() - _NAME_SPAN, text.rfind("\n", 0, mark.start()) + 1), mark.start())
+        line = text.rfind("\n", low, mark.start())
+        name = _NAME_BACKWARDS.match(text[max(low, line + 1) : mark.start()][::-1])
         if not name:
             continue
-        at = mark.end()
-        while text[at : at + 1] in ("\x20", "\t") and at < len(text):
-            at += 1
-        if found := _value(text, at):
-            found.name = name[1]
-            quoted = [p.end for p in found.parts if isinstance(p, Literal) and found.quoted]
-            end = max(quoted, default=0)
-            yield found
+        if found := _value(text, _OPENING.match(text, mark.end()).end()):
+            found.name = name[1][::-1]
+            end = max((p.end for p in found.parts if isinstance(p, Literal) and found.quoted), default=0)
+            out.append((mark.start(), found))
+    for call in _CALL.finditer(text):
+        if not _READS.search(call[1]):
+            group = call.lastindex
+            out.append((call.start(), Assignment(call[1], [Literal(call[group], call.start(group), call.end(group))])))
+    for element in _ELEMENT.finditer(text):
+        if text.startswith(f"{element[1]}>", element.end()):
+            out.append((element.start(), Assignment(element[1], [Literal(element[2], element.start(2), element.end(2))])))
+    return [a for _, a in sorted(out, key=lambda p: p[0])]
+
+
+@dataclass
+class Names:
+    """Dotted names by their parts, last part first: the definitions of a name, and the longer names that end in it."""
+
+    own: list[int] = field(default_factory=list)
+    longer: dict[str, Names] = field(default_factory=dict)
+    #: How many names are defined here or below, and one of them.
+    count: int = 0
+    one: Names | None = None
 
 
 class Definitions:
-    """What names stand for where a text uses them. A reference means the nearest definition of the same
-    dotted name before it; if there is none, all that come later. If the name is only defined under
-    longer or shorter dotted names, it may mean each of these."""
+    """What names stand for where a text uses them.
+
+    A reference means the nearest definition of the same dotted name before it; then it is part of one value with what it
+    is joined to. If the name is only defined later, or under several longer or shorter dotted names, or
+    under other names with the same last part, it may mean each of their definitions; then each of these is a
+    value by itself. Certain references lead backwards, so their values are made in order, and possible ones
+    share the nodes of :class:`Names`: all in all the work grows with the definitions and references."""
 
     def __init__(self, found: list[Assignment]):
-        self.parts: dict[int, list[Literal | str]] = {}
-        self.names: dict[str, dict[str, list[int]]] = {}
-        self._settled: dict[int, list[tuple[Literal, ...]]] = {}
+        self.root = Names()
+        self.parts: list[list[Literal | str]] = []
         for i, a in enumerate(found):
             parts = a.parts if a.quoted else [p for p in a.parts if isinstance(p, str)]
+            self.parts.append(parts)
             if a.quoted or parts:
-                self.parts[i] = parts
-                self.names.setdefault(a.name.rpartition(".")[2], {}).setdefault(a.name, []).append(i)
+                self._define(a.name, i)
 
-    def __contains__(self, name: str) -> bool:
-        return name.rpartition(".")[2] in self.names
+    def _define(self, name: str, i: int) -> None:
+        path = [self.root]
+        for part in reversed(name.split(".")):
+            path.append(path[-1].longer.setdefault(part, Names()))
+        if not path[-1].own:
+            for node in path:
+                node.count, node.one = node.count + 1, path[-1]
+        path[-1].own.append(i)
 
-    def meant(self, name: str, at: int) -> list[int]:
-        """The definitions that ``name`` may mean in assignment ``at``."""
-        same = self.names.get(name.rpartition(".")[2], {})
-        if name in same:
-            full = [name]
-        else:
-            full = [n for n in same if n.endswith(f".{name}") or name.endswith(f".{n}")] or list(same)
-        out = []
-        for n in full:
-            before = bisect_left(same[n], at)
-            out += same[n][before - 1 : before] if before else [i for i in same[n] if i != at]
-        return out
-
-    def values(self, parts: list[Literal | str], at: int) -> list[tuple[Literal, ...]]:
-        """The literals that the value of assignment ``at``, made of ``parts``, consists of: one tuple for
-        each value that it may have. Only a name that leads back to itself ends a chain."""
-        local: dict[int, list[tuple[Literal, ...]]] = {}
-        looped: set[int] = set()
-        path = {at}
-        stack = [(at, parts, iter(self._needs(parts, at)))]
-        while stack:
-            i, own, needs = stack[-1]
-            c = next((c for c in needs if c not in local and c not in self._settled and c not in path), None)
-            if c is not None:
-                path.add(c)
-                stack.append((c, self.parts[c], iter(self._needs(self.parts[c], c))))
-                continue
-            if any(c in path or c in looped for c in self._needs(own, i)):
-                looped.add(i)
-            local[i] = self._joined([
-                [(p,)] if isinstance(p, Literal) else [v for c in self.meant(p, i) if c not in path for v in (self._settled.get(c) or local.get(c, []))]
-                for p in own
-            ])
-            stack.pop()
-            path.discard(i)
-        self._settled.update((i, v) for i, v in local.items() if i not in looped and i != at)
-        return local[at]
-
-    def _needs(self, parts: list[Literal | str], at: int) -> list[int]:
-        return [c for p in parts if isinstance(p, str) for c in self.meant(p, at)]
-
-    @staticmethod
-    def _joined(choices: list[list[tuple[Literal, ...]]]) -> list[tuple[Literal, ...]]:
-        """All combinations; beyond 256, as many as it takes for every choice to be in one."""
-        choices = [c for c in choices if c]
-        if math.prod(map(len, choices)) <= 256:
-            rows = product(*choices)
+    def __contains__(self, name: str) -> bool:
+        return name.rpartition(".")[2] in self.root.longer
+
+    def meant(self, name: str, at: int) -> tuple[int | None, list[Names | list[int]]]:
+        """The one definition that ``name`` means in assignment ``at``; or else none, and where those are that it may mean."""
+        node, shorter, whole = self.root, [], True
+        for part in reversed(name.split(".")):
+            if part not in node.longer:
+                whole = False
+                break
+            node = node.longer[part]
+            if node.own:
+                shorter.append(node)
+        if whole and node.own:
+            names = [node]
         else:
-            rows = (tuple(c[min(i, len(c) - 1)] for c in choices) for i in range(max(map(len, choices))))
-        out = {}
-        for row in rows:
-            value = tuple(chain.from_iterable(row))
-            if len(value) > 10_000:  # names doubled again and again: each literal once
-                value = tuple({(p.start, p.end): p for p in value}.values())
-            out[tuple(p.start for p in value)] = value
-        return list(out.values())
+            names = [*shorter, *([node.one if node.count == 1 else node] if whole else [])]
+            if not names:
+                last = self.root.longer.get(name.rpartition(".")[2])
+                names = [] if last is None else [last.one if last.count == 1 else last]
+        if len(names) == 1 and names[0].own and (names[0].count == 1 or (whole and names[0] is node)):
+            before = bisect_left(names[0].own, at)
+            return (names[0].own[before - 1], []) if before else (None, [names[0].own])
+        return None, [n if n is node or not n.own else n.own for n in names]
+
+
+@dataclass(frozen=True)
+class Shape:
+    """What the score of a value depends on; shapes of joined values are made from those of their parts."""
+
+    size: int
+    kinds: frozenset[int]
+    counts: Counter
+    stand_in: bool
+    words: bool
+    space: bool
+    address: bool
+    path: bool
+    in_path: bool
+
+    @classmethod
+    def of(cls, value: str) -> Shape:
+        return cls(
+            len(value),
+            frozenset(i for i, c in enumerate((r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9\s]")) if re.search(c, value)),
+            Counter(value),
+            bool(STAND_INS.search(value)),
+            bool(re.fullmatch(r"[A-Za-z]+(?:[\s.,_-]+[A-Za-z]+)*[.,]?", value)),
+            bool(re.search(r"\s", value)),
+            bool(re.match(r"https?://[^:@/]+(/|$)", value)),
+            bool(re.fullmatch(r"[./~][\w./-]+", value)),
+            bool(re.fullmatch(r"[\w./-]*", value)),
+        )
+
+    def joined(self, other: Shape) -> Shape:
+        return Shape(
+            self.size + other.size, self.kinds | other.kinds, self.counts + other.counts, self.stand_in or other.stand_in,
+            self.words and other.words, self.space or other.space, self.address, self.path and other.in_path, self.in_path and other.in_path,
+        )
+
+    def score(self) -> float:
+        """How much a value looks like a secret: length, mixed characters, entropy; stand-ins and plain
+        words speak against it."""
+        if self.size < 6 or self.stand_in:
+            return -10.0
+        entropy = -sum(n / self.size * math.log2(n / self.size) for n in self.counts.values())
+        score = 1.0 * (self.size >= 8) + 1.0 * (len(self.kinds) >= 2) + 1.0 * (len(self.kinds) >= 3) + 1.0 * (entropy >= 3.0)
+        score += 1.0 * (self.size >= 20 and entropy >= 3.5)
+        return score - 3.0 * self.words - 1.0 * self.space - 3.0 * (self.address or self.path)
 
 
 def sensitivity(name: str) -> float:
@@ -203,47 +249,99 @@ def sensitivity(name: str) -> float:
 
 
 def literal_score(value: str) -> float:
-    """How much a value looks like a secret: length, mixed characters, entropy; stand-ins and plain
-    words speak against it."""
-    if len(value) < 6 or STAND_INS.search(value):
-        return -10.0
-    kinds = sum(bool(re.search(c, value)) for c in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9\s]"))
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    score = 1.0 * (len(value) >= 8) + 1.0 * (kinds >= 2) + 1.0 * (kinds >= 3) + 1.0 * (entropy >= 3.0) + 1.0 * (len(value) >= 20 and entropy >= 3.5)
-    if re.fullmatch(r"[A-Za-z]+(?:[\s.,_-]+[A-Za-z]+)*[.,]?", value):
-        score -= 3.0
-    if re.search(r"\s", value):
-        score -= 1.0
-    if re.match(r"https?://[^:@/]+(/|$)|[./~][\w./-]+$", value):
-        score -= 3.0
-    return score
+    """How much a literal looks like a secret."""
+    return Shape.of(value).score()
 
 
 def method_spans(text: str) -> list[tuple[int, int]]:
-    """Literals that reach a sensitive name, directly or through constants, and score enough."""
-    found = list(assignments(text))
-    if not found:
+    """Literals that reach a sensitive name, directly or through constants, and score enough.
+
+    What is certainly joined is scored as one value; what a name only may mean, each value by itself. Targets
+    are taken from the most sensitive name down: a definition that was looked at for one of them
+    need not be looked at again for a less sensitive one. A constant that is joined to itself counts once more for its
+    length, its literals are listed once."""
+    found = assignments(text)
+    named = [sensitivity(a.name) for a in found]
+    if max(named, default=0.0) < 2.0:
         return []
     constants = Definitions(found)
-    out = set()
+    shapes: list[Shape | None] = []
+    certain: list[list[Literal | int]] = []
+    possible: list[list[Names | list[int]]] = []
     for i, target in enumerate(found):
-        named = sensitivity(target.name)
-        if named < 2.0:
-            continue
-        # A bare word is a name if it is defined in this text, else the literal itself.
-        parts = target.parts
-        if not target.quoted:
-            known = [p for p in parts if isinstance(p, str) and p in constants]
-            parts = known or [p for p in parts if isinstance(p, Literal)]
-            if not known and any(_READS.search(p.text) for p in parts if isinstance(p, Literal)):
+        own, shape, maybe = [], None, []
+        for part in _used(target, constants):
+            if isinstance(part, Literal):
+                own.append(part)
+                more = Shape.of(part.text)
+            else:
+                one, others = constants.meant(part, i)
+                maybe += others
+                if one is None:
+                    continue
+                own.append(one)
+                # A bare word is a value only where it stands; as a constant it is a name.
+                more = shapes[one] if found[one].quoted or not isinstance(next(iter(certain[one]), 0), Literal) else None
+            shape = more if shape is None else shape if more is None else shape.joined(more)
+        shapes.append(shape)
+        certain.append(own)
+        possible.append(maybe)
+    out: set[tuple[int, int]] = set()
+    taken, looked, seen, passed = set(), set(), set(), set()
+
+    def take(i: int) -> None:
+        """List the literals that a value certainly consists of."""
+        stack = [i]
+        while stack:
+            d = stack.pop()
+            if d not in taken:
+                taken.add(d)
+                out.update((p.start, p.end) for p in certain[d] if isinstance(p, Literal) and p.end > p.start)
+                stack += [p for p in certain[d] if isinstance(p, int)]
+
+    def look(i: int, weight: float) -> None:
+        """Score a value, and by itself each value that its parts may mean."""
+        stack: list[tuple[str, int | Names]] = [("value", i)]
+        while stack:
+            kind, at = stack.pop()
+            if kind == "names":
+                if id(at) in passed:
+                    continue
+                passed.add(id(at))
+                stack += [("value", d) for d in at.own] + [("names", n) for n in at.longer.values()]
                 continue
-        for literals in constants.values(parts, i):
-            value = "".join(p.text for p in literals)
-            if literals and named + literal_score(value) >= THRESHOLD:
-                out.update((p.start, p.end) for p in literals if p.end > p.start)
+            if kind == "value" and at not in looked:
+                looked.add(at)
+                if shapes[at] is not None and weight + shapes[at].score() >= THRESHOLD:
+                    take(at)
+            if at not in seen:
+                seen.add(at)
+                stack += [("part", p) for p in certain[at] if isinstance(p, int)]
+                for places in possible[at]:
+                    if isinstance(places, Names):
+                        stack.append(("names", places))
+                    elif id(places) not in passed:
+                        passed.add(id(places))
+                        stack += [("value", d) for d in places]
+
+    bare = [not a.quoted and not any(isinstance(p, str) and p in constants for p in a.parts) for a in found]
+    for i in sorted(range(len(found)), key=lambda i: -named[i]):
+        if named[i] < 2.0:
+            break
+        if bare[i] and any(_READS.search(p.text) for p in found[i].parts if isinstance(p, Literal)):
+            continue
+        look(i, named[i])
     return sorted(out)
 
 
+def _used(target: Assignment, constants: Definitions) -> list[Literal | str]:
+    """The parts of a value: a bare word is a name if it is defined in this text, else the literal itself."""
+    if target.quoted:
+        return target.parts
+    known = [p for p in target.parts if isinstance(p, str) and p in constants]
+    return known or [p for p in target.parts if isinstance(p, Literal)]
+
+
 def find(text: str) -> list[tuple[str, int, int, int]]:
     """``(kind, start, end, value_start)`` of every span, by start and then kind; positions in code
     points. Base patterns are leftmost and non-overlapping per kind; literals found by lexing are
@@ -252,9 +350,11 @@ def find(text: str) -> list[tuple[str, int, int, int]]:
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), m.start()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= _ACCESS_LEAST]
     out += [("hex", m.start(), m.end(), m.start()) for m in _HEX.finditer(text)]
-    base = list(out)
+    base = sorted((a, b) for _, a, b, _ in out)
+    furthest = [0, *accumulate((b for _, b in base), max)]  # end of what begins at or before a span
+    starts = [a for a, _ in base]
     for start, end in method_spans(text):
-        if not any(a <= start and end <= b for _, a, b, _ in base):
+        if end > furthest[bisect_right(starts, start)]:
             out.append(("literal", start, end, start))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
