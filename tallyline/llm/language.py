@@ -17,8 +17,6 @@ from tallyline.session import stash
 #: Labelled rows that the classifiers learn from, about: the same share of it for each language,
 #: chosen by hash.
 SAMPLE_ROWS = 4_000
-#: Languages at most; the most frequent ones of the labels.
-LANGUAGES = 256
 #: Byte n-grams are hashed to so many features for each length.
 BUCKETS, LENGTHS = 1 << 10, (1, 2, 3, 4)
 #: A prediction counts as ambiguous if the runner-up's loss is within this share of the winner's.
@@ -124,18 +122,18 @@ def _train(x: np.ndarray, y: np.ndarray, languages: list[str], rounds: int = 60)
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from ``docs`` (doc_id, text, lang): rows with a null language, or without a letter, are
-    ignored. A bounded sample, about ``sample_rows`` rows in equal parts of each of up to 256
-    languages, goes through the features in Spark; the classifiers are fitted on it. Of repeated rows
+    ignored. A bounded sample, about ``sample_rows`` rows in equal parts of each language, one row of it at least in the mean,
+    goes through the features in Spark; the classifiers are fitted on it. Of repeated rows
     each counts. Without labelled rows the model knows no language."""
     spark = docs.sparkSession
     known = docs.where("lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang").where(F.col("text").rlike(r"\p{L}"))
-    shares = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    shares = known.groupBy("lang").count().collect()  # a row a language
     languages = sorted(r["lang"] for r in shares)
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((len(LENGTHS) * BUCKETS, 1), np.float32), np.zeros(1), np.ones(1))
     counts = {r["lang"]: r["count"] for r in shares}
     # A share of each language by hash: about so many rows, whatever there are.
-    rows_per_language = sample_rows / len(languages)
+    rows_per_language = max(sample_rows / len(languages), 1.0)
     limits = F.create_map(*[F.lit(v) for lang in languages for v in (lang, min(1.0, rows_per_language / counts[lang]))])
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) / F.lit(float(1 << 20)) < limits[F.col("lang")])
     index = F.create_map(*[F.lit(v) for i, lang in enumerate(languages) for v in (lang, i)])

@@ -8,11 +8,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import table
+from tallyline.llm.common import free_name, table
 from tallyline.session import stash
 
 DIMENSIONS = ("source", "lang", "topic")
 _NAMES = [f"mix_{d}" for d in DIMENSIONS]
+_ADDED = [*_NAMES, "mix_tokens", "mix_weight", "mix_probability", "mix_sampled"]
 #: Up to so many cells, with names of so many characters, are fitted in memory; more stay a Spark table.
 CELLS, NAME_CHARS = 100_000, 16 << 20
 #: Without given targets, a share becomes its power by this, normalised: smaller groups gain.
@@ -244,24 +245,32 @@ def _many_flattened(sizes: DataFrame, name: str, size: float, total: float, flat
     return sizes.select(name, F.when(fixed, F.lit(size / total) * F.col("x")).otherwise(F.least(F.col("x"), F.lit(scale) * base)).alias("w"))
 
 
+def _drawn(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None, flatten: float, seed: int, keep: float) -> DataFrame:
+    """``mix_row``, the whole row of ``docs``, and the columns ``_ADDED``: inside a row no name can clash with ours."""
+    draw = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)), 11) / F.lit(float(1 << 53))
+    needed = docs.select(F.struct("*").alias("mix_row"), "doc_id", "text", "source", "lang")
+    rows = described(needed).withColumn("mix_draw", draw).select("mix_row", *_NAMES, "mix_tokens", "mix_draw")
+    joined = rows.join(probabilities(rows, targets, flatten, keep), _NAMES, "left")
+    out = joined.withColumns({"mix_probability": F.coalesce("mix_probability", F.lit(0.0)), "mix_weight": F.coalesce("mix_weight", F.lit(0.0))})
+    return out.withColumn("mix_sampled", F.col("mix_draw") < F.col("mix_probability")).select("mix_row", *_ADDED)
+
+
 def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, seed: int = SEED, keep: float = KEEP) -> DataFrame:
     """``docs`` (doc_id, text, source, lang and more) with ``mix_*`` columns and ``mix_sampled``.
 
     A document is in the sample if a hash of its id, text and ``seed`` falls below its cell's
     probability: sampling needs no coordination, gives the same rows again, and treats repeated
     rows alike. Documents without words weigh nothing; a cell of such documents only has
-    probability 0, and they are not sampled from it. Nothing but sums per cell is
-    shuffled, unless cells are too many for a broadcast. An empty table gives an empty result."""
-    rows = described(docs)
-    joined = rows.join(probabilities(rows, targets, flatten, keep), _NAMES, "left")
-    draw = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)), 11) / F.lit(float(1 << 53))
-    out = joined.withColumns({"mix_probability": F.coalesce("mix_probability", F.lit(0.0)), "mix_weight": F.coalesce("mix_weight", F.lit(0.0))})
-    return out.withColumn("mix_sampled", draw < F.col("mix_probability")).select(*rows.columns, "mix_weight", "mix_probability", "mix_sampled")
+    probability 0, and they are not sampled from it. Texts of any length are counted whole. Nothing but sums per cell is
+    shuffled, unless cells are too many for a broadcast. An empty table gives an empty result. Columns of
+    ``docs`` are returned untouched; a new column whose name one of them has, in any case, gets underscores after it."""
+    names = [F.col(n).alias(free_name(n, *docs.columns)) for n in _ADDED]
+    return _drawn(docs, targets, flatten, seed, keep).select("mix_row.*", *names)
 
 
 def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, flatten: float = FLATTEN, seed: int = SEED, keep: float = KEEP) -> DataFrame:
-    """The sampled documents, with their columns."""
-    return mixed(docs, targets, flatten, seed, keep).where("mix_sampled").select(*docs.columns)
+    """The sampled documents, with their columns untouched, whatever their names; other cases as in :func:`mixed`."""
+    return _drawn(docs, targets, flatten, seed, keep).where("mix_sampled").select("mix_row.*")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

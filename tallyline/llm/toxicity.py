@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import PUNCTUATION, Lookup, fold, map_arrow, pair_hash, passes, sums, table, words
+from tallyline.llm.common import PUNCTUATION, Lookup, fold, free_name, map_arrow, pair_hash, passes, sums, table, words
 from tallyline.session import stash
 
 #: Labelled rows per class that the models learn from at most, those of smallest hash.
@@ -229,25 +229,27 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``score`` (0 to 1) added; null and empty texts are scored as texts of
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` (0 to 1) added; null and empty texts are scored as texts of
     no words. Other columns pass through untouched; a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c.lower() != "score"]
+    rest = [c for c in docs.columns if c.lower() != name.lower()]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema.fields)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in passes(whole):
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column("text")))], names=[*rest, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(batch.column("text")))], names=[*rest, name])
 
-    return map_arrow(docs.select(*rest), scored, f"{fields}, score double")
+    return map_arrow(docs.select(*rest), scored, f"{fields}, `{name}` double")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below ``threshold``, with their columns."""
-    model = fit(docs, labels)
-    return score(docs.withColumn("text", F.col("text").cast("string")), model).where(F.col("score") < threshold).select(*docs.columns)
+    """The documents that score below ``threshold``, with their columns untouched, whatever their names. Repeated
+    rows are scored alike, null and empty texts as texts of no words; texts of any length are read in windows; an
+    empty table gives an empty one."""
+    model, name = fit(docs, labels), free_name("toxicity_score", *docs.columns)
+    return score(docs.withColumn("text", F.col("text").cast("string")), model, name).where(F.col(name) < threshold).select(*docs.columns)
 
 
 def learnable(labels: DataFrame) -> DataFrame:
