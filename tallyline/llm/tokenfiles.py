@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyline.llm.common import map_arrow, passes, table, texts
+from tallyline.llm.common import map_arrow, pair_hash, passes, table, texts
 from tallyline.session import scratch_path, stash
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,8 +30,12 @@ END = 0
 #: Documents whose ids train the dictionary, about; and the dictionary's bytes at most.
 SAMPLE_DOCS, DICTIONARY_BYTES = 1_000, 1 << 16
 LEVEL = 3
-#: Words whose ids a Python worker keeps, the first it meets; others are encoded anew.
-KEPT_WORDS = 500_000
+#: Pieces whose ids a Python worker keeps, the first it meets, some 40 bytes each; others are encoded anew.
+KEPT_WORDS = 2_000_000
+#: Text bytes whose pieces are hashed at once; temporaries take some forty times as much.
+HASH_BYTES = 1 << 20
+#: New pieces in a running text.
+CHUNK = 4_096
 #: Text bytes that are encoded at once, and bytes that a reader holds at once, about.
 ENCODE_BYTES, READ_BYTES = 4 << 20, 8 << 20
 
@@ -43,71 +47,148 @@ _HEADER_SIZE = struct.calcsize(_HEADER)
 _ENTRY = np.dtype([("doc_id", "<i8"), ("no_id", "<i8"), ("n_tokens", "<i8"), ("offset", "<i8")])
 
 
+#: ASCII characters that count as white space, and the first bytes of the other ones: fixed values.
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_WIDE_SPACES = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: ASCII letters, digits, and punctuation but for the apostrophe, which may belong to the letters around it.
+_CLASS = np.zeros(256, dtype=np.uint8)
+for _i in range(33, 127):
+    _CLASS[_i] = 1 if chr(_i).isalpha() else 2 if chr(_i).isdigit() else 3 * (_i != 39)
+_HASHED = np.random.default_rng(20_240_611).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = np.uint64(0x5851F42D4C957F2D)
+
+
 class Encoder:
-    """A tokenizer with the ids of words it has met; gives ids serialised, without the end id.
+    """A tokenizer with the ids of pieces of text it has met; gives ids serialised, without the end id.
 
     Byte-level tokenizers split a text, before any merge, at every space that a character other than
-    white space precedes or follows, on both sides of a line break that stands alone, and between a letter and
-    the punctuation after it. A text can be cut there, and a part's ids do not depend on the rest. Texts in which
-    a space stands between white space go to the tokenizer whole, as all do if it splits in another way."""
+    white space precedes or follows, on both sides of a line break that stands alone, and between letters, digits and
+    punctuation. A text can be cut there, and a piece's ids do not depend on the rest. Texts in which
+    a space stands between white space, or with white space beyond ASCII, go to the tokenizer whole, as all do if it
+    splits in another way. Pieces are found, hashed (64 bits, their length included) and looked up with array operations; only
+    pieces that are new go to the tokenizer."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = spec.get("pre_tokenizer") or {}
         self.cuttable = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not spec.get("normalizer")
-        self.between, self.adjacent = re.compile(r"\s \s"), re.compile(r"\s\s")
-        #: Ids of words at the start of a line, and of words after a space.
-        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.line_break, *marks = self._encoded(["\n", *".,;:!?"])
-        self.marks = dict(zip(".,;:!?", marks, strict=True))
-
-    def _encoded(self, parts: list[str]) -> list[bytes]:
+        #: By the character in front of a piece: whether an id begins with it.
+        self.leads = {front: np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, dtype=bool) for front in (32, 10)}
+        for front, mark in ((32, "\u0120"), (10, "\u010a")):
+            self.leads[front][[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(mark)]] = True
+        #: Hashes of known pieces, in order; where the ids of each begin in ``ids``, and how many there are.
+        self.known, self.at, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.kind)
+
+    def _encoded(self, parts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in found]
-
-    def _learn(self, wanted: set[str], spaced: bool) -> list[str]:
-        """Add what is wanted to the known words; returns the new ones."""
-        known, front = self.words[spaced], " " if spaced else ""
-        fresh = [w for w in wanted if w not in known]
-        ends = {w: w[-1] for w in fresh if len(w) > 1 and w[-1] in self.marks and w[-2].isalpha()}
-        cores = [c for c in {w[:-1] if w in ends else w for w in fresh} if c not in known]
-        known.update(zip(cores, self._encoded([front + c for c in cores]), strict=True))
-        known.update((w, known[w[:-1]] + self.marks[end]) for w, end in ends.items())
-        return [*cores, *ends]
-
-    def __call__(self, batch: list[str]) -> list[bytes]:
-        cuts: list[list[tuple[str, list[str]]] | None] = []
-        wanted: tuple[set[str], set[str]] = (set(), set())
-        for text in batch:
-            gaps = self.adjacent.search(text)
-            if not self.cuttable or gaps and self.between.search(text, gaps.start()):
-                cuts.append(None)
-                continue
-            lines = [text] if gaps else text.split("\n")
-            rows = []
-            for line in lines:
-                rest = line.split(" ")
-                first = rest.pop(0)
-                wanted[0].add(first)
-                wanted[1].update(rest)
-                rows.append((first, rest))
-            cuts.append(rows)
-        fresh = [self._learn(w, spaced) for spaced, w in enumerate(wanted)]
-        whole = iter(self._encoded([t for t, c in zip(batch, cuts, strict=True) if c is None]))
-        start, spaced = (known.__getitem__ for known in self.words)
-        out = [
-            next(whole) if c is None else self.line_break.join([start(first) + b"".join(map(spaced, rest)) for first, rest in c])
-            for c in cuts
-        ]
-        for known, new in zip(self.words, fresh, strict=True):
-            if len(known) > KEPT_WORDS:
-                for w in new:
-                    known.pop(w, None)
-        return out
+        return [np.array(e.ids, dtype=self.kind) for e in found]
+
+    def _new(self, pieces: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of new pieces, in some order, where those of each piece begin, and how many there are. ``plain`` tells pieces whose
+        only white space is a space or line break in front: they are encoded as running text, and the ids that begin with that
+        character tell where each piece begins. The others are encoded one by one."""
+        begin, count = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        out, total, alone = [self.ids[:0]], 0, np.ones(len(pieces), dtype=bool)
+        front = np.array([p[0] for p in pieces])
+        for first, leads in self.leads.items():
+            these = np.flatnonzero(plain & (front == first))
+            chunks = [these[i : i + CHUNK] for i in range(0, len(these), CHUNK)]
+            for chunk, ids in zip(chunks, self._encoded([b"".join([pieces[i] for i in c.tolist()]).decode() for c in chunks]), strict=True):
+                begins = np.flatnonzero(leads[ids])
+                if len(begins) == len(chunk) and begins[0] == 0:
+                    begin[chunk], count[chunk], alone[chunk] = total + begins, np.diff(begins, append=len(ids)), False
+                    out.append(ids)
+                    total += len(ids)
+        rest = np.flatnonzero(alone)
+        single = self._encoded([pieces[i].decode() for i in rest.tolist()])
+        count[rest] = np.fromiter(map(len, single), np.int64, len(single))
+        begin[rest] = total + np.cumsum(count[rest]) - count[rest]
+        return np.concatenate([*out, *single]), begin, count
+
+    def _looked_up(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces that begin at ``starts``, one after the other, and how many each has."""
+        low = int(starts[0])
+        raw = data[low : int(starts[-1] + sizes[-1])]
+        first = starts - low
+        # Bytes between pieces belong to texts that are encoded whole; they are added to no piece.
+        within = np.arange(len(raw)) - np.repeat(first, np.diff(first, append=len(raw)))
+        powers = np.full(int(sizes.max()) + 1, _STEP, dtype=np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        values = _HASHED[raw] * powers[np.minimum(within, len(powers) - 1)]
+        values[within >= np.repeat(sizes, np.diff(first, append=len(raw)))] = 0
+        hashes = pair_hash(np.add.reduceat(values, first), sizes.astype(np.uint64))
+        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        fresh = np.flatnonzero(self.known[np.minimum(place, max(len(self.known) - 1, 0))] != distinct) if len(self.known) else np.arange(len(distinct))
+        ids, known, at, count = self.ids, self.known, self.at, self.count
+        if len(fresh):
+            ends = starts[index[fresh]] + sizes[index[fresh]]
+            begins = starts[index[fresh]]
+            blanks = np.concatenate([[0], np.cumsum(_SPACES[raw])])
+            plain = (ends - begins > 1) & (blanks[ends - low] == blanks[begins - low + 1])
+            more, offsets, counts = self._new([data[i:j].tobytes() for i, j in zip(begins.tolist(), ends.tolist(), strict=True)], plain)
+            begin = len(ids) + offsets
+            ids, known = np.concatenate([ids, more]), np.insert(known, place[fresh], distinct[fresh])
+            at, count = np.insert(at, place[fresh], begin), np.insert(count, place[fresh], counts)
+            place = np.searchsorted(known, distinct)
+            if len(known) <= KEPT_WORDS:
+                self.ids, self.known, self.at, self.count = ids, known, at, count
+        begins, counts = at[place][inverse], count[place][inverse]
+        ends = np.cumsum(counts)
+        return ids[np.arange(int(ends[-1])) + np.repeat(begins - (ends - counts), counts)], counts
+
+    def __call__(self, batch: pa.Array) -> list[bytes]:
+        column = texts(batch)
+        edges = np.frombuffer(column.buffers()[1], dtype=np.int64, count=len(column) + 1, offset=column.offset * 8)
+        low, high = int(edges[0]), int(edges[-1])
+        if low == high:
+            return [b""] * len(column)
+        data, edges = np.frombuffer(column.buffers()[2], dtype=np.uint8, count=high - low, offset=low), edges - low
+        blank = _SPACES[data]
+        owner_of = lambda places: np.searchsorted(edges[1:], places, side="right")
+        double = np.flatnonzero(blank[1:] & blank[:-1])
+        double = double[owner_of(double) == owner_of(double + 1)]
+        gaps, whole = np.zeros(len(column), dtype=bool), np.full(len(column), not self.cuttable)
+        gaps[owner_of(double)] = True
+        triple = double[:-1][(np.diff(double) == 1) & (data[double[1:]] == 32)] if len(double) else double
+        whole[owner_of(triple[owner_of(triple) == owner_of(triple + 2)])] = True
+        wide = np.array([m.start() for m in _WIDE_SPACES.finditer(data)], dtype=np.int64)
+        whole[owner_of(wide)] = True
+        breaks = np.flatnonzero((data == 32) | (data == 10))
+        breaks = breaks[(data[breaks] == 32) | ~gaps[owner_of(breaks)]]
+        border = np.zeros(len(data) + 1, dtype=bool)
+        border[breaks] = True
+        border[edges] = True
+        kind = _CLASS[data]
+        border[1:-1] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        starts = np.flatnonzero(border[:-1])
+        sizes = np.diff(starts, append=len(data))
+        owner = owner_of(starts)
+        used = ~whole[owner]
+        starts, sizes, owner = starts[used], sizes[used], owner[used]
+        out: list[list[bytes]] = [[] for _ in range(len(column))]
+        at = 0
+        while at < len(starts):
+            stop = max(at + 1, int(np.searchsorted(starts, starts[at] + HASH_BYTES)))
+            ids, counts = self._looked_up(data, starts[at:stop], sizes[at:stop])
+            own = owner[at:stop]
+            change = np.flatnonzero(np.diff(own, prepend=-1))
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            for text, begin, end in zip(own[change].tolist(), ends[change].tolist(), ends[[*change[1:], len(own)]].tolist(), strict=True):
+                out[text].append(ids[begin:end].tobytes())
+            at = stop
+        entire = np.flatnonzero(whole)
+        for text, ids in zip(entire.tolist(), self._encoded([column[i].as_py() for i in entire.tolist()]), strict=True):
+            out[text].append(ids.tobytes())
+        return [b"".join(parts) for parts in out]
 
 
 @lru_cache(maxsize=2)
@@ -141,7 +222,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, sample_docs: int = SAMPLE_
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([i + END.to_bytes(encode.width, "little") for i in encode(texts(batch.column(0)).to_pylist())], pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([i + END.to_bytes(encode.width, "little") for i in encode(batch.column(0))], pa.binary())], names=["ids"])
 
     samples = sorted(r["ids"] for r in map_arrow(chosen, encoded, "ids binary").collect())
     try:
@@ -178,7 +259,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None) -> DataFra
         for whole in batches:
             for batch in passes(whole, limit=ENCODE_BYTES):
                 keys = batch.column("doc_id").to_pylist()
-                for key, found in zip(keys, encode(texts(batch.column("text")).to_pylist()), strict=True):
+                for key, found in zip(keys, encode(batch.column("text")), strict=True):
                     frame = press.compress(found + end)
                     count = len(found) // encode.width + 1
                     entries.append((key or 0, key is None, count, at))
