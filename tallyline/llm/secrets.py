@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import map_arrow, table, texts
+from tallyline.llm.common import map_arrow, passes, table, texts
 
 KINDS = ("assign", "access", "hex", "literal")
 #: The base patterns; fixed values.
@@ -33,10 +33,12 @@ SENSITIVE = {
     "client": 0.5, "encryption": 1.0, "signing": 1.0, "session": 0.5, "dsn": 1.0, "salt": 1.0,
 }
 #: Words that make a value a stand-in; fixed values.
-STAND_INS = re.compile(r"(?i)example|sample|changeme|change_me|placeholder|your[_-]|dummy|redacted|xxx|\*\*\*|<[^>]*>|\$\{|\{\{|%\(|%s|null$|none$|true$|false$")
+STAND_INS = re.compile(r"(?i)example|sample|changeme|change_me|placeholder|your[_-]|dummy|redacted|\[secret\]|xxx|\*\*\*|<[^>]*>|\$\{|\{\{|%\(|%s|null$|none$|true$|false$")
 #: Names of types and functions that stand for values read elsewhere; fixed values.
 _READS = re.compile(r"(?i)(getenv|environ|input|prompt|getpass|read|load|fetch|request)")
 THRESHOLD = 5.0
+#: Text bytes that are strings at a time, one text at least.
+_PASS = 1 << 20
 
 _SEPARATOR = re.compile(r"=>|:=|[=:]")
 #: Marks that are part of an address or of a match operator.
@@ -49,7 +51,7 @@ _BARE = re.compile(r"""[^\s"'`,;#<>(){}\[\]]+""")
 _JOIN = re.compile(r"[\x20\t]*(?:\+|\.(?=[\x20\t]*[\"'$])|(?=[\"']))[\x20\t]*(?:\\?\n[\x20\t]*)?")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 #: A call whose only or first argument is a literal, and an element whose content is one.
-_CALL = re.compile(r"""(?<![\w$.])([A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*)\([\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')[\x20\t]*[,)]""")
+_CALL = re.compile(r"""\([\x20\t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)')[\x20\t]*[,)]""")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.\-]*)>([^<>\n]+)</")
 _OPENING = re.compile(r"[\x20\t]*(?:\([\x20\t\n]*)*")
 
@@ -124,9 +126,13 @@ def assignments(text: str) -> list[Assignment]:
             end = max((p.end for p in found.parts if isinstance(p, Literal) and found.quoted), default=0)
             out.append((mark.start(), found))
     for call in _CALL.finditer(text):
-        if not _READS.search(call[1]):
+        start = call.start()
+        while start and (text[start - 1].isalnum() or text[start - 1] in "_$."):
+            start -= 1
+        name = text[start : call.start()].strip(".")
+        if name and not name[0].isdigit() and not _READS.search(name):
             group = call.lastindex
-            out.append((call.start(), Assignment(call[1], [Literal(call[group], call.start(group), call.end(group))])))
+            out.append((start, Assignment(name, [Literal(call[group], call.start(group), call.end(group))])))
     for element in _ELEMENT.finditer(text):
         if text.startswith(f"{element[1]}>", element.end()):
             out.append((element.start(), Assignment(element[1], [Literal(element[2], element.start(2), element.end(2))])))
@@ -139,10 +145,14 @@ class Names:
 
     own: list[int] = field(default_factory=list)
     longer: dict[str, Names] = field(default_factory=dict)
-    #: How many names are defined here or below, and one of them.
+    #: How many names are defined here or below, and one of those below.
     count: int = 0
     one: Names | None = None
 
+    def only(self) -> Names:
+        """The one name defined here or below, if there is one only; else this node."""
+        return self.one if self.count == 1 and not self.own else self
+
 
 class Definitions:
     """What names stand for where a text uses them.
@@ -168,7 +178,9 @@ class Definitions:
             path.append(path[-1].longer.setdefault(part, Names()))
         if not path[-1].own:
             for node in path:
-                node.count, node.one = node.count + 1, path[-1]
+                node.count += 1
+                if node is not path[-1]:
+                    node.one = path[-1]
         path[-1].own.append(i)
 
     def __contains__(self, name: str) -> bool:
@@ -187,11 +199,12 @@ class Definitions:
         if whole and node.own:
             names = [node]
         else:
-            names = [*shorter, *([node.one if node.count == 1 else node] if whole else [])]
+            names = [*shorter, *([node.only()] if whole else [])]
             if not names:
                 last = self.root.longer.get(name.rpartition(".")[2])
-                names = [] if last is None else [last.one if last.count == 1 else last]
-        if len(names) == 1 and names[0].own and (names[0].count == 1 or (whole and names[0] is node)):
+                names = [] if last is None else [last.only()]
+        sure = len(names) == 1 and names[0].own and (names[0].count == 1 or any(names[0] is n for n in shorter))
+        if sure:
             before = bisect_left(names[0].own, at)
             return (names[0].own[before - 1], []) if before else (None, [names[0].own])
         return None, [n if n is node or not n.own else n.own for n in names]
@@ -382,7 +395,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ("kind", "start", "end", "value_start")
-        for batch in batches:
+        for batch in (b for whole in batches for b in passes(whole, limit=_PASS)):
             found = [[dict(zip(keys, s, strict=True)) for s in find(t)] for t in texts(batch.column(1)).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPAN_TYPE)], names=["doc_id", "spans"])
 
@@ -394,7 +407,7 @@ def redact(docs: DataFrame) -> DataFrame:
     texts have it; other columns, null texts and texts without secrets stay as they are."""
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b for whole in batches for b in passes(whole, limit=_PASS)):
             at = batch.schema.get_field_index("text")
             texts_ = [None if t is None else redacted(t) for t in batch.column(at).to_pylist()]
             columns = list(batch.columns)

@@ -386,3 +386,37 @@ def test_every_value_is_raked_by_itself(spark, monkeypatch):
                 x = np.array([float(held[n]) for n in names])
                 want = mixing.flattened(x, np.array([n == "(none)" for n in names]), mixing.KEEP * x.sum(), mixing.FLATTEN)
                 assert len(names) > 2 and np.allclose([got[n] for n in names], want, rtol=1e-3)
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ('db_pwd = ("Tr0ub4dor&3xyz"\n  "abcD1234")', ["Tr0ub4dor&3xyz", "abcD1234"]),
+        ("<passphrase>Tr0ub4dor&3xyz</passphrase>", ["Tr0ub4dor&3xyz"]),
+        ('cfg.set_passphrase("Tr0ub4dor&3xyz")', ["Tr0ub4dor&3xyz"]), ('read_passphrase("Tr0ub4dor&3xyz")', []),
+        ("cfg." + "very_long_" * 40 + 'pwd = "Tr0ub4dor&3xyz"', ["Tr0ub4dor&3xyz"]),
+        ("".join(f'k{i}.v = "aB3dE6gH{i}x"\n' for i in range(300)) + "my_pwd = v", [f"aB3dE6gH{i}x" for i in range(300)]),
+        ('v = "aB3dE6gH1x"\na.v = "aB3dE6gH2x"\nmy_pwd = b.v', ["aB3dE6gH1x"]),
+        ('a.b.v = "aB3dE6gH1x"\na.b.v = "aB3dE6gH2x"\nmy_pwd = b.v', ["aB3dE6gH2x"]),
+        ("my_pwd = v\n" + 'v = "aB3dE6gH1x"\nv = "aB3dE6gH2x"', ["aB3dE6gH1x", "aB3dE6gH2x"]),
+        ("db_pwd = '[secret]'", []),
+    ],
+)
+def test_values_and_names_of_any_number(text, values):
+    assert sorted(text[a:b] for kind, a, b, _ in secrets.find(text) if kind == "literal") == sorted(values)
+
+
+def test_many_names_that_may_mean_each_other():
+    """Work grows with the text: ambiguous names, long chains, doubled constants, long lines and long names."""
+    import time
+
+    texts = [
+        "".join(f"x{i}.secret = y.secret\n" for i in range(20_000)),
+        'a = "x1Y2z3W4"\n' + "a = a + a\npassword_x = a\n" * 5_000,
+        "x = 1 " * 50_000 + "a" * 200_000 + "=q: " * 5_000,
+        'n0 = "qW3rT7uI9oP1"\n' + "".join(f"n{i} = n{i - 1}\npwd{i} = n{i}\n" for i in range(1, 8_000)),
+    ]
+    for text in texts:
+        started = time.process_time()
+        secrets.method_spans(text)
+        assert time.process_time() - started < 8  # about one second without other load
