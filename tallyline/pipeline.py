@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.contracts import CLEANED_COLUMNS, Star
 from tallyline.operators.cleaning import clean, save_cleaned
+from tallyline.plans import profile, rules
 from tallyline.plans.rules import validate_cleaned
 from tallyline.session import scratch_scope
+from tallyline.sources.files import save_report
 from tallyline.sources.landing import validate_schema
 from tallyline.warehouse import Warehouse
 
@@ -40,3 +42,17 @@ def run(spark: SparkSession, make_raw: Callable[[], DataFrame], folder: str) ->
     validate_cleaned(stored, cleaned)
     loaded = Warehouse(spark, f"{folder}/warehouse").load(cleaned)
     return Tables(folder, make_raw, stored, cleaned, loaded.star)
+
+
+def save_reports(tables: Tables) -> dict[str, str]:
+    """SNK-9: the profile of the raw lines, their warnings, and the summary of cleaning, as JSON below ``reports``; the paths
+    by name. The reconciliation is stored with the version it belongs to."""
+    reports = {
+        "profile": profile.profile_figures(tables.raw),
+        "raw_warnings": rules.raw_warnings(tables.raw),
+        "cleaning": profile.cleaning_summary(tables.cleaned),
+    }
+    paths = {name: f"{tables.folder}/reports/{name}" for name in reports}
+    for name, report in reports.items():
+        save_report(report, paths[name])
+    return paths

@@ -14,8 +14,33 @@ from pyspark.sql import types as T
 from tallyline import contracts as C
 from tallyline.session import concurrently
 
-# Quotes are doubled inside quoted fields, as spreadsheets and pandas expect.
-CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# Quotes are doubled inside quoted fields, as spreadsheets and pandas expect. Files without line breaks inside fields are
+# read in parts, by several tasks; those of others may have some and then are read whole, each by one task.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+WHOLE_CSV = CSV | {"multiLine": "true"}
+
+# How exported text spells characters that would break a line; every backslash is followed by one of these letters.
+_SPELLED = [("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def _texts(table: DataFrame) -> list[str]:
+    return [f.name for f in table.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def one_line(table: DataFrame) -> DataFrame:
+    """Texts without line breaks: a backslash becomes ``\\s``, line breaks ``\\n`` and ``\\r``."""
+    for name in _texts(table):
+        for plain, spelled in _SPELLED:
+            table = table.withColumn(name, F.replace(F.col(name), F.lit(plain), F.lit(spelled)))
+    return table
+
+
+def many_lines(table: DataFrame) -> DataFrame:
+    """The texts that :func:`one_line` was given."""
+    for name in _texts(table):
+        for plain, spelled in reversed(_SPELLED):
+            table = table.withColumn(name, F.replace(F.col(name), F.lit(spelled), F.lit(plain)))
+    return table
 
 
 @dataclass(frozen=True)
@@ -27,12 +52,11 @@ class Exported:
 
 
 def export_table(name: str, table: DataFrame, folder: str) -> Exported:
-    """SNK-1: write one table as CSV; rows are counted while they are written."""
+    """SNK-1: write one table as CSV; rows are counted while they are written. Line breaks inside texts are
+    spelled out, so that a file can be read by several tasks."""
     seen = Observation()
     path = f"{folder}/{name}.csv"
-    table.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(
-        header="true", quote='"', escape='"'
-    ).csv(path)
+    one_line(table).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**CSV).csv(path)
     return Exported(name, seen.get["rows"], len(table.columns), path)
 
 
@@ -72,20 +96,20 @@ def check_extract(name: str, table: DataFrame) -> None:
 
 def read_extract(spark: SparkSession, name: str, folder: str) -> DataFrame:
     """SNK-7: an extract under its contract types. Columns are matched by name; further
-    columns come as text."""
+    columns come as text. A large file is read by several tasks."""
     path = f"{folder}/{name}.csv"
     try:
         header = spark.read.options(**CSV).csv(path)
     except AnalysisException as problem:
         raise C.ContractError(f"extract {name} cannot be read from {path}") from problem
     if name not in C.EXTRACT_SCHEMAS:
-        return header
+        return many_lines(header)
     check_extract(name, header)
     types = {f.name: f.dataType for f in C.EXTRACT_SCHEMAS[name].fields}
     schema = T.StructType(
         [T.StructField(c, types.get(c, T.StringType()), True) for c in header.columns]
     )
-    return spark.read.options(**CSV).schema(schema).csv(path)
+    return many_lines(spark.read.options(**CSV).schema(schema).csv(path))
 
 
 def read_all_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

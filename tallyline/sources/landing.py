@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tallyline import contracts as C
 from tallyline import store
 from tallyline.session import path_missing
-from tallyline.sources.files import CSV
+from tallyline.sources.files import CSV, WHOLE_CSV
 
 LOG = "place bigint, folder string, rows bigint, fingerprint string"
 
@@ -60,23 +60,70 @@ def extract_fingerprint(rows: DataFrame) -> tuple[int, str]:
     return found["rows"], found["fingerprint"]
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, fmt: str = "parquet", only: list[str] | None = None, breaks: bool = True
+) -> DataFrame:
     """Raw extract under its declared schema; required columns are checked before any job. A CSV
-    line that does not fit the schema stops the read."""
+    line that does not fit the schema stops the read. ``only`` names some of its files. ``breaks`` states
+    whether fields of CSV files may hold line breaks: such a file is read by one task, without
+    them several tasks share it."""
+    files = [path] if only is None else only
+    reader = spark.read if only is None else spark.read.option("basePath", path)
     if fmt == "csv":
-        reader = spark.read.options(mode="FAILFAST", **CSV)
-        header = reader.csv(path)
+        reader = reader.options(mode="FAILFAST", **(WHOLE_CSV if breaks else CSV))
+        header = reader.csv(files)
         C.require_columns(header, C.RAW_COLUMNS, f"raw extract {path}")
         types = {f.name: f.dataType for f in C.RAW_SCHEMA.fields}
         schema = T.StructType(
             [T.StructField(c, types.get(c, T.StringType()), True) for c in header.columns]
         )
-        return reader.schema(schema).csv(path)
-    raw = spark.read.format(fmt).load(path)
+        return reader.schema(schema).csv(files)
+    raw = reader.format(fmt).load(files)
     C.require_columns(raw, C.RAW_COLUMNS, f"raw extract {path}")
     return raw
 
 
+PRINTS = "path string, length bigint, modified timestamp, rows bigint, sums array<decimal(38,0)>"
+
+
+def known_fingerprint(spark: SparkSession, path: str, landing: str, fmt: str = "parquet") -> tuple[int, str]:
+    """Rows and fingerprint of a whole extract, from those of its files.
+
+    A fingerprint is made of sums, so it adds up over files. The figures of each file are kept
+    beside the landing log under its path, length and time of change; only files that are new or changed
+    are read, by one pass over all of them. A file that is rewritten within the store's time
+    resolution, to the same length, is taken for the old one."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = listed.select("path", "length", F.col("modificationTime").alias("modified"))
+    kept = f"{landing}/prints"
+    known = spark.createDataFrame([], PRINTS)
+    with path_missing():
+        known = spark.read.schema(PRINTS).parquet(kept)
+    same = ["path", "length", "modified"]
+    fresh = [r["path"] for r in listed.join(known, same, "left_anti").select("path").collect()]  # names of new files
+    if fresh:
+        rows = read_raw(spark, path, fmt, only=fresh).select(*C.RAW_COLUMNS, F.col("_metadata.file_path").alias("_path"))
+        row = F.to_json(F.struct(*C.RAW_COLUMNS), {"ignoreNullFields": "false"})
+        short = F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+        sums = F.array(F.sum(F.xxhash64(row).cast("decimal(38,0)")).cast("decimal(38,0)"), F.sum(short).cast("decimal(38,0)"))
+        counted = rows.groupBy("_path").agg(F.count("*").alias("rows"), sums.alias("sums"))
+        zero = F.array(*[F.lit(0).cast("decimal(38,0)")] * 2)
+        added = listed.filter(F.col("path").isin(fresh)).join(counted, _file(F.col("path")) == _file(F.col("_path")), "left")
+        added = added.select(*same, F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), F.coalesce("sums", zero).alias("sums"))
+        added.coalesce(1).write.mode("append").parquet(kept)
+        known = spark.read.schema(PRINTS).parquet(kept)
+    whole = listed.join(known.dropDuplicates(same), same).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        *[F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)).cast("string").alias(f"s{i}") for i in (0, 1)],
+    ).first()
+    return whole["rows"], f"{whole['rows']}:{whole['s0']}:{whole['s1']}"
+
+
+def _file(path: Column) -> Column:
+    """A file's path without scheme and host, with the escapes of addresses undone."""
+    return F.url_decode(F.replace(F.regexp_replace(path, _SCHEME, ""), F.lit("+"), F.lit("%2B")))
+
+
 @dataclass(frozen=True)
 class Landing:
     """What was decided, and where the landed data are."""
@@ -122,20 +169,20 @@ def land(
 ) -> Landing:
     """Copy an extract into its landing folder once, guarded by content fingerprints.
 
-    Both sides are read each time: the source, and what was landed, which is compared with the
-    entry written when it was. Identical content is skipped; other content, landed data that
+    Both sides are fingerprinted each time: the source, and what was landed, which is compared with the
+    entry written when it was; files that were fingerprinted before are not read again. Identical content is skipped; other content, landed data that
     changed or vanished, are refused unless ``force``. Every copy goes to a folder of its own, and the
     entry in the log, written last, makes it the current one: a copy that fails leaves the old one.
     Of two landings that start from the same entry, the later one raises and removes its copy.
     """
     raw = read_raw(spark, source, fmt)
-    rows, incoming = extract_fingerprint(raw)
+    rows, incoming = known_fingerprint(spark, source, landing, fmt)
     entry = _recorded(spark, landing)
     recorded = present = None
     if entry is not None:
         recorded = entry["fingerprint"]
         with path_missing():
-            present = extract_fingerprint(read_raw(spark, entry["folder"]))[1]
+            present = known_fingerprint(spark, entry["folder"], landing)[1]
     in_place = entry is not None and _plain(source) == _plain(entry["folder"])
     action = decide(incoming, recorded, present, force, in_place)
     if action == "refuse":

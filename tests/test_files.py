@@ -187,3 +187,43 @@ def test_one_of_two_landings_from_one_state_wins(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "landing").glob("data-*"))) == 1  # the loser's copy is gone
     assert landing.land(spark, one, target, force=True).action == "overwrite"
     assert landing.landed(spark, target).count() == 3
+
+
+def test_only_new_files_are_fingerprinted(spark, tmp_path, monkeypatch):
+    source, target = str(tmp_path / "extract +1"), str(tmp_path / "landing")
+    for i in range(2):
+        raw_frame(spark, _lines(3 * i + 3, 3 * i)).coalesce(1).write.parquet(f"{source}/day={i}")
+    read, whole = [], landing.read_raw
+
+    def spied(session, path, fmt="parquet", only=None, **more):
+        if only is not None:
+            read.append(sorted(f.split("day=")[1][0] if "day=" in f else "landed" for f in only))
+        return whole(session, path, fmt, only, **more)
+
+    monkeypatch.setattr(landing, "read_raw", spied)
+    assert landing.land(spark, source, target).action == "land" and read == [["0", "1"]]
+    assert landing.known_fingerprint(spark, source, target) == landing.extract_fingerprint(whole(spark, source))
+    del read[:]
+    assert landing.land(spark, source, target).action == "skip" and {f for files_ in read for f in files_} == {"landed"}
+    del read[:]
+    raw_frame(spark, _lines(9, 6)).coalesce(1).write.parquet(f"{source}/day=2")
+    with pytest.raises(C.ContractError, match="content differs"):
+        landing.land(spark, source, target)
+    assert read == [["2"]]  # the new file alone
+    assert landing.known_fingerprint(spark, source, target) == landing.extract_fingerprint(whole(spark, source))
+    assert landing.land(spark, source, target, force=True).rows == 9 and landing.landed(spark, target).count() == 9
+
+
+def test_exported_text_is_read_by_several_tasks(spark, tmp_path):
+    texts = ["plain", "two\nlines", "a\\nb", "back\\slash\r\n", 'say "hi", now', "\\s", None, "\\"]
+    table = spark.range(40_000).select(F.col("id").alias("product_key"), F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("id") % 8 + 1).cast("int")).alias("stock_code"), F.lit("x" * 50).alias("description"))
+    done = files.export_table("dim_product", table.coalesce(1), str(tmp_path))
+    assert files.verify_export(done, table)
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        back = files.read_extract(spark, "dim_product", str(tmp_path))
+        assert back.rdd.getNumPartitions() > 3
+        assert back.exceptAll(table).count() == 0 and back.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)

@@ -5,6 +5,7 @@ from conftest import PROFILE_ROWS, raw_frame, rows_of
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
+from tallyline import pipeline
 from tallyline.operators.cleaning import clean
 from tallyline.plans import profile, rules
 from tallyline.sources import landing
@@ -74,3 +75,13 @@ def test_schema_faults_come_together(spark, profile_raw):
     assert any("Country" in f for f in faults) and any("9 null" in f for f in faults)
     with pytest.raises(C.ContractError, match="3 structural"):
         landing.validate_schema(bad)
+
+
+def test_reports_are_stored(spark, public_tables):
+    paths = pipeline.save_reports(public_tables)
+    found = spark.read.json(paths["profile"]).first().asDict(recursive=True)
+    want = profile.profile_figures(public_tables.raw).first().asDict(recursive=True)
+    assert found["row_count"] == want["row_count"] == 6 and found["distinct"] == want["distinct"]
+    summary = {(r["section"], r["metric"]): r["value"] for r in spark.read.json(paths["cleaning"]).collect()}
+    assert summary["rows", "cleaned"] == 6
+    assert spark.read.schema("rule string").json(paths["raw_warnings"]).count() == rules.raw_warnings(public_tables.raw).count()
