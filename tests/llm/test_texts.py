@@ -391,7 +391,7 @@ def test_every_value_is_raked_by_itself(spark, monkeypatch):
 @pytest.mark.parametrize(
     ("text", "values"),
     [
-        ('db_pwd = ("Tr0ub4dor&3xyz"\n  "abcD1234")', ["Tr0ub4dor&3xyz", "abcD1234"]),
+        ('db_pwd = ("Tr0ub4dor&3xyz" "abcD1234")', ["Tr0ub4dor&3xyz", "abcD1234"]),
         ("<passphrase>Tr0ub4dor&3xyz</passphrase>", ["Tr0ub4dor&3xyz"]),
         ('cfg.set_passphrase("Tr0ub4dor&3xyz")', ["Tr0ub4dor&3xyz"]), ('read_passphrase("Tr0ub4dor&3xyz")', []),
         ("cfg." + "very_long_" * 40 + 'pwd = "Tr0ub4dor&3xyz"', ["Tr0ub4dor&3xyz"]),
