@@ -63,13 +63,18 @@ class Codes:
     plan: Plan
 
     def of(self, rows: list[np.ndarray]) -> np.ndarray:
-        """Codes packed into longs, ``plan.per_word`` segments in each."""
-        size = len(self.mean)
-        x = np.zeros((len(rows), size))
-        for i, r in enumerate(rows):
-            part = r[:size] / np.abs(r).max()
-            x[i, : len(part)] = part / max(np.linalg.norm(part), 1e-300)
-        bits = (x - self.mean) @ self.projection > 0
+        """Codes packed into longs, ``plan.per_word`` segments in each. Lengths that the projections were not learned for get
+        random ones, which keep the angle of two vectors as it is."""
+        sizes = np.array([len(r) for r in rows])
+        bits = np.zeros((len(rows), self.projection.shape[1]), dtype=bool)
+        for size in np.unique(sizes).tolist():
+            these = np.flatnonzero(sizes == size)
+            x = np.stack([rows[i] / np.abs(rows[i]).max() for i in these.tolist()])
+            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+            if size == len(self.mean):
+                bits[these] = (x - self.mean) @ self.projection > 0
+            else:
+                bits[these] = x @ np.random.default_rng([11, size]).standard_normal((size, bits.shape[1])) > 0
         powers = 1 << np.arange(self.plan.width, dtype=np.int64)
         segments = bits.reshape(len(rows), self.plan.segments, self.plan.width) @ powers
         out = np.zeros((len(rows), self.plan.words), dtype=np.int64)
@@ -78,15 +83,29 @@ class Codes:
         return out
 
 
+def _centred(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
+    mean = x.mean(axis=0) if len(x) else np.zeros(sample.shape[1])
+    return mean, x - mean
+
+
+def centred_cosine(sample: np.ndarray, cosine: float) -> float:
+    """The cosine, once the sample's mean is taken from unit vectors, of two that have ``cosine``: the more they share a
+    direction, the shorter they become, and the wider the angle of the same difference. Goes by the shortest
+    twentieth."""
+    _, centred = _centred(sample)
+    squares = (centred**2).sum(axis=1)
+    shortest = float(np.quantile(squares, 0.05)) if len(squares) else 1.0
+    return max(0.0, 1 - (1 - cosine) / max(shortest, 1e-300)) if shortest < 1 else cosine
+
+
 def quantise(sample: np.ndarray, cut: Plan, rounds: int = 40, seed: int = 11) -> Codes:
     """Iterative quantisation. Unit vectors are centred and turned to their principal axes; then codes
     and rotation are improved in turn: the code is the sign of the rotated vector, the rotation the one
     that brings vectors nearest to their codes (Procrustes). If a code has more bits than the vectors have
     dimensions, further rotations are learned from other starts."""
     size = sample.shape[1]
-    x = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
-    mean = x.mean(axis=0) if len(x) else np.zeros(size)
-    centred = x - mean
+    mean, centred = _centred(sample)
     _, axes = np.linalg.eigh(centred.T @ centred + 1e-12 * np.eye(size))
     axes = axes[:, ::-1]
     draw, need, out = np.random.default_rng(seed), cut.width * cut.segments, []
@@ -94,7 +113,7 @@ def quantise(sample: np.ndarray, cut: Plan, rounds: int = 40, seed: int = 11) ->
         bits = min(size, need)
         turned = centred @ axes[:, :bits]
         rotation = np.linalg.qr(draw.standard_normal((bits, bits)))[0]
-        for _ in range(rounds if len(x) else 0):
+        for _ in range(rounds if len(centred) else 0):
             u, _, v = np.linalg.svd(np.where(turned @ rotation > 0, 1.0, -1.0).T @ turned)
             rotation = (u @ v).T
         out.append(axes[:, :bits] @ rotation)
@@ -152,15 +171,16 @@ def _vectors(column: pa.Array) -> list[np.ndarray]:
 def links(distinct: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Pairs ``(a, b)`` of ``distinct`` (node, embedding) with a cosine of ``cosine`` or more, in double
     precision from the original vectors. Vectors of different lengths are never linked. The rotations
-    are learned from a bounded sample (``SAMPLE``) of the most frequent length; every vector is indexed."""
+    are learned from a bounded sample (``SAMPLE``) of the most frequent length, and so is how far two linked vectors' codes
+    lie apart; every vector is indexed, those of other lengths by random projections."""
     spark = distinct.sparkSession
     count = distinct.count()
     if not count:
         return spark.createDataFrame([], "a long, b long")
-    cut = plan(count, cosine)
     size = distinct.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), "size").first()["size"]
     chosen = distinct.where(F.size("embedding") == size).orderBy(F.xxhash64("embedding"), "node").limit(SAMPLE).select("embedding").toArrow()
     sample = np.array([v / np.abs(v).max() for v in chosen.column(0).to_pylist()], dtype=np.float64).reshape(-1, size)
+    cut = plan(count, centred_cosine(sample, cosine))
     learned = spark.sparkContext.broadcast(quantise(sample, cut))
     names = [f"w{i}" for i in range(cut.words)]
 

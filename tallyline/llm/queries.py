@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyline.llm import embeddings, katz, language, merkle, mixing, pieces, quality, search, secrets, simhash, spots, tokenfiles, toxicity
-from tallyline.llm.statements import MERKLE, SEARCH
+from tallyline.llm.statements import EMBEDDINGS, MERKLE, SEARCH
 
 QUERIES = {
     "op1_embeddings": embeddings.query,
@@ -21,4 +21,4 @@ QUERIES = {
     "op13_quality": quality.query,
 }
 #: SQL for the queries that SQL can express.
-STATEMENTS: dict[str, str] = {"op11_merkle": MERKLE, "op12_search": SEARCH}
+STATEMENTS: dict[str, str] = {"op1_embeddings": EMBEDDINGS, "op11_merkle": MERKLE, "op12_search": SEARCH}

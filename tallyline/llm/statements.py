@@ -99,3 +99,25 @@ ranked AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+#: Links by brute force, and the smallest vector that each one reaches.
+EMBEDDINGS = """
+WITH RECURSIVE
+vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+    SELECT vec_id, e FROM vectors
+    WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 ELSE false END
+),
+reach AS (
+    SELECT vec_id AS node, vec_id AS other FROM vectors
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.node AS vec_id, coalesce(max(d.n), 0) AS n_links, min(r.other) AS component_id, r.node = min(r.other) AS kept
+FROM reach r LEFT JOIN degrees d ON d.a = r.node GROUP BY r.node
+"""

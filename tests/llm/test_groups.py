@@ -169,6 +169,45 @@ def test_embedding_plan_grows_with_the_table():
     assert (small.width, large.width) == (10, 30) and large.segments > small.segments
 
 
+@pytest.mark.parametrize("shared", [0.0, 0.5, 0.8, 0.9])
+def test_recall_when_vectors_share_a_direction(shared):
+    """Pairs just above the threshold among vectors whose mean cosine is ``shared``: how many meet in a segment and
+    are near enough as whole codes."""
+    draw = np.random.default_rng(7)
+    size, count = 64, 4_000
+    x = draw.standard_normal((count, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = math.sqrt(1 - shared) * x + math.sqrt(shared) * np.eye(size)[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn = draw.standard_normal((count, size))
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    y = 0.9505 * x + math.sqrt(1 - 0.9505**2) * turn
+    cut = E.plan(2 * count, E.centred_cosine(np.concatenate([x, y]), 0.95))
+    codes = E.quantise(np.concatenate([x, y]), cut)
+    a, b = codes.of(list(x)), codes.of(list(y))
+    found, apart = np.zeros(count, dtype=bool), np.zeros(count, dtype=int)
+    for j in range(cut.segments):
+        shift, mask = cut.width * (j % cut.per_word), (1 << cut.width) - 1
+        differ = np.bitwise_count((a[:, j // cut.per_word] >> shift & mask) ^ (b[:, j // cut.per_word] >> shift & mask))
+        found |= differ <= E.RADIUS
+        apart += differ
+    assert (found & (apart <= cut.distance)).mean() >= 0.95
+
+
+def test_lengths_have_their_own_codes(spark):
+    """Vectors that differ only beyond the most frequent length, and links among the rarer lengths."""
+    draw = np.random.default_rng(3)
+    rows = [(i, draw.standard_normal(8).tolist()) for i in range(120)]
+    long = [draw.standard_normal(20) for _ in range(30)]
+    rows += [(200 + 2 * i + k, (v * (1 + k) + 0.02 * k).tolist()) for i, v in enumerate(long) for k in (0, 1)]
+    rows += [(400 + i, [*long[0][:8].tolist(), *draw.standard_normal(12).tolist()]) for i in range(10)]
+    got = {r["vec_id"]: r["n_links"] for r in E.groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    want = {i: sum(j != i and len(unit[j]) == len(unit[i]) and unit[i] @ unit[j] >= 0.95 for j in unit) for i in unit}
+    assert got == want and sum(want.values()) >= 60
+
+
 def test_quantisation_balances_bits():
     draw = np.random.default_rng(0)
     cut = E.plan(5_000)

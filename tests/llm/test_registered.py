@@ -7,16 +7,18 @@ import hashlib
 import zlib
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import pytest
 import xxhash
+from compare import differences
 from llm_rows import DOCS, document, edge_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 from test_manifest import brute_manifest, brute_search
 from test_texts import base_spans
 
 from tallyline.llm import mixing, secrets, simhash, toxicity
-from tallyline.llm.queries import QUERIES
+from tallyline.llm.queries import QUERIES, STATEMENTS
 
 VECTORS = [[1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [2.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 0.0], None, [float("nan"), 1.0, 0.0], [-1.0, 0.0, 0.0], [0.0, 1.0, 0.3]]
 
@@ -68,6 +70,9 @@ def test_vectors(spark, folder):
     good = {i: np.array(v) for i, v in enumerate(VECTORS) if v is not None and np.isfinite(v).all() and np.any(v)}
     near = {i: {j for j in good if j != i and good[i] @ good[j] / np.linalg.norm(good[i]) / np.linalg.norm(good[j]) >= 0.95} if i in good else set() for i in range(len(VECTORS))}
     assert {i: n for i, (n, _, _) in got.items()} == {i: len(near[i]) for i in near}
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    assert differences(QUERIES["op1_embeddings"](spark, folder), duck, STATEMENTS["op1_embeddings"]) is None
     assert all(c == min({i, *near[i]}) and kept == (c == i) for i, (_, c, kept) in got.items())
 
 
