@@ -126,7 +126,7 @@ class Words:
 
 
 #: Text bytes that are split at a time; temporaries take some forty times as much.
-_SPLIT_BYTES = 1 << 20
+_SPLIT_BYTES = 1 << 18
 
 
 def words(column: pa.Array, separator: np.ndarray = SPACE) -> Words:
