@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,11 +82,10 @@ COPIES_A_TASK = 1_000_000
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``source_row_id`` (0-based, contiguous) and ``flag_duplicate_candidate``.
 
-    Lines equal on all eight columns are interchangeable, so it is enough to number the
-    counted groups, and a group's copies follow from its first number. Bounds of ranges come from a sample and
-    are kept as values: one pass counts the lines of each range, a second one counts equal lines, sums
-    their copies along each range and adds the lines of the ranges before. Lines are never stored on the way;
-    ``lines`` must give the same rows each time it is read.
+    Lines equal on all eight columns are interchangeable. Bounds of ranges come from a sample and are kept as
+    values: one pass counts the lines of each range, a second one sorts and numbers each range and adds the lines of
+    the ranges before. Where a range is too large for a task, equal lines are counted first and the groups are
+    numbered. Lines are never stored on the way; ``lines`` must give the same rows each time it is read.
     """
     columns = LINE_ORDER
     partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -94,20 +93,41 @@ def number_lines(lines: DataFrame) -> DataFrame:
     starts = rows_before(lines, ranges)
     sizes = starts.agg(F.max("_rows").alias("most"), F.avg("_rows").alias("mean")).first()
     limit = max(COPIES_A_TASK, int(4 * (sizes["mean"] or 0)))
-    earlier = (
-        Window.partitionBy("_range")
-        .orderBy(*[F.col(c).asc_nulls_first() for c in columns])
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # A line with more copies than the limit makes its range as large.
+    heavy = (sizes["most"] or 0) > limit
+    return _number_groups(lines, ranges, starts, limit) if heavy else _number_each(lines, ranges, starts)
+
+
+def _in_line_order() -> WindowSpec:
+    return Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_first() for c in LINE_ORDER])
+
+
+def _number_each(lines: DataFrame, ranges: Ranges, starts: DataFrame) -> DataFrame:
+    """Lines numbered along their ranges. Equal lines share a range and lie together in it, so one shuffle and
+    one sort serve both windows."""
+    alike = Window.partitionBy("_range", *LINE_ORDER)
+    numbered = (
+        ranges.place(lines)
+        .withColumn("_within", F.row_number().over(_in_line_order()))
+        .withColumn("copies", F.count("*").over(alike))
+        .join(F.broadcast(starts), "_range", "left")  # a row a range
     )
+    return numbered.select(
+        (F.col("_before") + F.col("_within") - 1).alias("source_row_id"),
+        *C.LINE_COLUMNS,
+        (F.col("copies") > 1).alias("flag_duplicate_candidate"),
+    )
+
+
+def _number_groups(lines: DataFrame, ranges: Ranges, starts: DataFrame, limit: int) -> DataFrame:
+    """Lines numbered by groups of equal ones, counted before the shuffle; a group's copies follow from its first number."""
+    earlier = _in_line_order().rowsBetween(Window.unboundedPreceding, -1)
     groups = (
-        line_groups(lines)
-        .withColumn("_range", ranges.number())
+        ranges.place(line_groups(lines))
         .withColumn("_within", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
         .join(F.broadcast(starts), "_range", "left")  # a row a range
     )
-    # A line with more copies than the limit makes its range as large.
-    heavy = (sizes["most"] or 0) > limit
-    copies = expand_copies(groups, "copies", "copy_no", limit, heavy=heavy)
+    copies = expand_copies(groups, "copies", "copy_no", limit, heavy=True)
     return copies.select(
         (F.col("_before") + F.col("_within") + F.col("copy_no") - 1).alias("source_row_id"),
         *C.LINE_COLUMNS,

@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, time, timedelta
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,6 +71,48 @@ def _sql(value, kind: T.DataType) -> str:
     return f"CAST(CAST({text} AS STRING) AS {kind.simpleString()})"
 
 
+#: Cells of time for each range; most cells then hold no bound.
+CELLS_A_RANGE = 8
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Equal spans of time, and how the bounds of ranges lie among them: what a time alone tells about a row's range."""
+
+    begin: datetime
+    seconds: int
+    #: For each cell, bounds in earlier cells and bounds in it; the first and last cell stand for all times outside.
+    before: tuple[int, ...]
+    inside: tuple[int, ...]
+
+    @classmethod
+    def among(cls, times: Sequence[datetime | None], count: int) -> Cells | None:
+        """``times`` ascend, nulls first."""
+        known = [t for t in times if t is not None]
+        if not known:
+            return None
+        begin = datetime.combine(known[0].date(), time())
+        places = [(t - begin) // timedelta(seconds=1) for t in known]
+        seconds = places[-1] // (CELLS_A_RANGE * count) + 1
+        inside = [0] * (places[-1] // seconds + 3)
+        for place in places:
+            inside[place // seconds + 1] += 1
+        nulls = len(times) - len(known)
+        return cls(begin, seconds, tuple(nulls + sum(inside[:i]) for i in range(len(inside))), tuple(inside))
+
+    def at(self, column: str) -> Column:
+        """A row's cell, null for a null time."""
+        day = F.datediff(F.col(column), F.lit(self.begin.date())).cast("bigint")
+        place = day * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column).cast("int")
+        last = F.lit(len(self.inside) - 1)
+        cell = F.floor(place / F.lit(self.seconds)) + 1
+        return F.when(F.col(column).isNotNull(), F.least(F.greatest(cell, F.lit(0)), last).cast("int"))
+
+
+def _whole_numbers(values: Sequence[int]) -> Column:
+    return F.expr(f"array({', '.join(map(str, values))})")
+
+
 @dataclass(frozen=True)
 class Ranges:
     """Ranges of rows in ascending order of ``columns``, nulls first, by bounds that are values."""
@@ -80,6 +123,8 @@ class Ranges:
     bounds: str
     kind: str
     width: int
+    #: Where the first column is a time without zone.
+    cells: Cells | None = None
 
     @classmethod
     def sampled(cls, rows: DataFrame, columns: Sequence[str], count: int) -> Ranges:
@@ -99,7 +144,22 @@ class Ranges:
         width = math.ceil(math.sqrt(count))
         groups = [f"array({', '.join(structs[i : i + width])})" for i in range(0, len(structs), width)]
         kind = T.ArrayType(T.ArrayType(keys.schema)).simpleString()
-        return cls(tuple(columns), f"array({', '.join(groups)})" if groups else "", kind, width)
+        timed = isinstance(kinds[0], T.TimestampNTZType)
+        cells = Cells.among([bound[0] for bound in bounds], count) if timed else None
+        return cls(tuple(columns), f"array({', '.join(groups)})" if groups else "", kind, width, cells)
+
+    def place(self, rows: DataFrame) -> DataFrame:
+        """Add ``_range``, the number of a row's range. A time whose cell holds no bound tells it alone, others
+        compare with the bounds of their cell, and rows without a time or in a crowded cell with all bounds."""
+        if self.cells is None:
+            return rows.withColumn("_range", self.number())
+        before, inside = (F.get(_whole_numbers(v), F.col("_cell")) for v in (self.cells.before, self.cells.inside))
+        bounds = F.flatten(F.expr(self.bounds).cast(self.kind))
+        key = F.struct(*self.columns)
+        below = F.size(F.filter(F.slice(bounds, before + 1, inside), lambda b: b <= key))
+        crowded = F.col("_cell").isNull() | (inside > self.width)
+        number = F.when(crowded, self.number()).when(inside == 0, before).otherwise(before + below)
+        return rows.withColumn("_cell", self.cells.at(self.columns[0])).withColumn("_range", number).drop("_cell")
 
     def number(self) -> Column:
         """The number of a row's range, from 0: how many bounds are not above it. Looked up in two steps."""
@@ -125,11 +185,20 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def rows_before(rows: DataFrame, ranges: Ranges) -> DataFrame:
     """``(_range, _rows, _before)``, stored: the rows of each range and of all ranges before it. One pass over ``rows``,
     counted before the shuffle."""
-    counts = stash(rows.groupBy(ranges.number().alias("_range")).agg(F.count("*").alias("_rows")), "range-counts")
+    counts = stash(ranges.place(rows).groupBy("_range").agg(F.count("*").alias("_rows")), "range-counts")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
 
 
+def distinct_ids(rows: DataFrame, column: str) -> DataFrame:
+    """One row: how many distinct whole numbers a column holds. 64 neighbours are the bits of one word, combined
+    before the shuffle, so ids that lie together travel as a few words."""
+    ids = rows.select(F.col(column).cast("bigint").alias("_id")).filter("_id IS NOT NULL")
+    bit = F.expr("shiftleft(1L, CAST(_id & 63L AS INT))")
+    words = ids.groupBy(F.shiftright("_id", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return words.agg(F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).cast("bigint").alias("ids"))
+
+
 def number_rows(
     df: DataFrame,
     name: str,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import ordering
 from tallyline.operators.ordering import (
-    fits_one_task, number_rows, percentile_at, rank_rows, ranked_values, tile_rows,
+    Ranges, distinct_ids, fits_one_task, number_rows, percentile_at, rank_rows, ranked_values, tile_rows,
 )
 from tallyline.session import stash
 
@@ -90,3 +90,29 @@ def test_selected_values(spark, monkeypatch):
     places = [0, 1, len(want) // 2, len(want) // 2, len(want) - 2, len(want) - 1]
     assert ranked_values(values, "v", places) == {p: want[p] for p in places}
     assert ranked_values(values.filter("v = 12.34"), "v", [3]) == {3: want[want.index(Decimal("12.34"))]}
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+def test_place_of_rows_among_ranges(spark, tmp_path, crowded):
+    """A time tells the range of most rows; null times, equal times and times outside the sample compare with all bounds."""
+    hours = F.when(F.col("id") % 3 == 0, F.lit(0)) if crowded else F.col("id") % 700
+    at = F.lit("1969-12-20 23:59:59.5").cast("timestamp_ntz") + F.make_interval(hours=F.coalesce(hours, F.col("id") % 700).cast("int"))
+    frame = spark.range(4000).select(F.when(F.col("id") % 11 != 0, at).alias("at"), F.when(F.col("id") % 7 != 0, F.col("id") * 37 % 1009).alias("n"))
+    frame.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    ranges = Ranges.sampled(rows, ["at", "n"], 40)
+    assert ranges.cells is not None
+    outside = spark.sql("SELECT CAST(t AS TIMESTAMP_NTZ) AS at, 1L AS n FROM VALUES ('1901-01-01'), ('2100-01-01 10:00:00.25') AS v(t)")
+    placed = ranges.place(rows.unionByName(outside)).withColumn("want", ranges.number())
+    assert placed.filter("NOT _range <=> want").isEmpty()
+    assert placed.columns == ["at", "n", "_range", "want"] and placed.select("_range").distinct().count() > 30
+
+
+def test_distinct_ids_travel_as_words(spark):
+    odd = [None, None, -1, -1, -64, -65, 0, 63, 64, 2**62, -(2**62), 2**63 - 1, -(2**63)]
+    ids = spark.createDataFrame([(i,) for i in odd], "id bigint").unionByName(spark.range(100, 1000)).unionByName(spark.range(500, 700))
+    found = distinct_ids(ids, "id")
+    assert found.collect() == ids.agg(F.count_distinct("id").alias("ids")).collect()
+    assert distinct_ids(ids.filter("id > 5 AND id < 0"), "id").first()["ids"] == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or(" in plan and "hashpartitioning(id" not in plan
