@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyline import contracts as C
 from tallyline.functions import status as S
 from tallyline.functions.money import line_revenue
+from tallyline.operators.ordering import distinct_ids
 from tallyline.plans.profile import cleaning_figures, exact_value, profile_figures
 from tallyline.sources.landing import null_counts
 
@@ -75,12 +76,11 @@ def cleaned_invariants(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
         F.count("*").alias("rows"),
         F.min("source_row_id").alias("low"),
         F.max("source_row_id").alias("high"),
-        F.count_distinct("source_row_id").alias("ids"),
         F.count_if(F.col("transaction_status").isNotNull() & ~known).alias("unknown"),
         F.count_if(F.col("transaction_status").isNull()).alias("absent"),
         F.count_if(known).alias("classified"),
         F.count_if(F.coalesce(drift > F.lit("0.01").cast("decimal(4,2)"), F.lit(False))).alias("drift"),
-    ).withColumn("raw_rows", raw.agg(F.count("*")).scalar())
+    ).withColumns({"raw_rows": raw.agg(F.count("*")).scalar(), "ids": distinct_ids(cleaned, "source_row_id").scalar()})
     rows = F.col("rows")
     gaps = (
         F.when(rows == 0, 0)
@@ -130,7 +130,8 @@ def _checks(df: DataFrame, missing: Column, revenue, value: str) -> DataFrame:
     )
     figures = df.agg(
         F.count("*").alias("fact_row_count"),
-        F.count_distinct("source_row_id").alias("unique_source_row_ids"),
+        # filled in below: beside a distinct count, every sum would be kept for each id
+        F.lit(None).cast("bigint").alias("unique_source_row_ids"),
         *[S.rows_with(s).alias(f"status_count_{s}") for s in C.STATUSES],
         F.count_if(missing).alias("missing_customer_id_count"),
         F.count_if("flag_duplicate_candidate").alias("duplicate_candidate_count"),
@@ -138,7 +139,7 @@ def _checks(df: DataFrame, missing: Column, revenue, value: str) -> DataFrame:
         cancel.alias("cancellation_value"),
         back.alias("potential_return_value"),
         (gross + cancel).alias("net_revenue"),
-    )
+    ).withColumn("unique_source_row_ids", distinct_ids(df, "source_row_id").scalar())
     exact = figures.select(*[F.col(c).cast("decimal(24,2)").alias(c) for c in figures.columns])
     return exact.unpivot([], exact.columns, "check_name", value)
 

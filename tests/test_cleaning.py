@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,7 @@ from tallyline.operators import cleaning
 from tallyline.operators.cleaning import clean, normalise
 from tallyline.operators.copies import expand_copies
 from tallyline.plans import profile, rules
+from tallyline.sources.testdata import raw_lines
 
 
 @pytest.fixture(scope="module")
@@ -180,3 +182,43 @@ def test_numbers_of_lines_with_many_copies(spark, tmp_path, monkeypatch, heavy):
 
 def test_numbers_of_no_lines(spark):
     assert clean(raw_frame(spark, [])).collect() == []
+
+
+def test_lines_are_shuffled_once(spark, tmp_path):
+    """Lines are numbered after one shuffle by range, unless a range is too large for a task."""
+    raw_frame(spark, CLASS_ROWS).write.parquet(str(tmp_path / "raw"))
+    plan = clean(spark.read.parquet(str(tmp_path / "raw")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(_range" in plan
+
+
+def test_comparing_ids_shuffles_words_only(cleaned, class_raw):
+    """Neither the invariants nor the reconciliation send every id through a shuffle."""
+    for checks in (rules.cleaned_invariants(class_raw, cleaned), rules.reconcile(cleaned, cleaned.withColumn("customer_key", F.col("customer_id")))):
+        plan = checks._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(source_row_id" not in plan and "bit_or(" in plan
+
+
+def test_lines_join_orders_that_know_their_country(spark, tmp_path):
+    """Joined without broadcasts, lines meet orders and parts only; the rows are those of the joins one after the other."""
+    tables = {
+        "lineitem": "SELECT id div 3 AS l_orderkey, id % 5 AS l_partkey, CAST(id % 3 AS INT) AS l_linenumber, 2.0D AS l_quantity, 7.0D * id AS l_extendedprice, IF(id % 4 = 0, 'R', 'N') AS l_returnflag FROM range(60)",
+        "orders": "SELECT id div 2 AS o_orderkey, id % 4 AS o_custkey, TIMESTAMP '1996-01-01' AS o_orderdate FROM range(30)",
+        "customer": "SELECT id AS c_custkey, CAST(id % 2 AS INT) AS c_nationkey FROM range(3)",
+        "nation": "SELECT CAST(id AS INT) AS n_nationkey, concat('N', id) AS n_name FROM range(2)",
+        "part": "SELECT id AS p_partkey, concat('part ', id) AS p_name FROM range(4)",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = raw_lines(spark, str(tmp_path))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.findall(r"SortMergeJoin \[(\w+)#", plan) == ["l_partkey", "l_orderkey", "c_nationkey", "o_custkey"]
+    read = {name: spark.read.parquet(str(tmp_path / f"{name}.parquet")) for name in tables}
+    met = read["lineitem"].join(read["orders"], F.expr("l_orderkey = o_orderkey")).join(read["customer"], F.expr("o_custkey = c_custkey"))
+    met = met.join(read["nation"], F.expr("c_nationkey = n_nationkey")).join(read["part"], F.expr("l_partkey = p_partkey"))
+    want = met.select(F.expr("IF(l_orderkey % 211 = 0, 2, 1)").alias("n"), "n_name").groupBy("n_name").agg(F.sum("n"))
+    assert sorted(map(tuple, lines.groupBy("Country").count().collect())) == sorted(map(tuple, want.collect()))
