@@ -79,6 +79,13 @@ RANGES_A_PARTITION = 4
 COPIES_A_TASK = 1_000_000
 
 
+def line_ranges(lines: DataFrame, count: int) -> Ranges:
+    """Ranges of lines in their order. The time alone bounds them, so that sampling and counting read one column,
+    unless a time is shared by so many lines that it would fill a range; then all columns do."""
+    times = Ranges.sampled(lines, LINE_ORDER[:1], count)
+    return times if times.size == count - 1 else Ranges.sampled(lines, LINE_ORDER, count)
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``source_row_id`` (0-based, contiguous) and ``flag_duplicate_candidate``.
 
@@ -87,9 +94,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
     the ranges before. Where a range is too large for a task, equal lines are counted first and the groups are
     numbered. Lines are never stored on the way; ``lines`` must give the same rows each time it is read.
     """
-    columns = LINE_ORDER
     partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = Ranges.sampled(lines, columns, RANGES_A_PARTITION * partitions)
+    ranges = line_ranges(lines, RANGES_A_PARTITION * partitions)
     starts = rows_before(lines, ranges)
     sizes = starts.agg(F.max("_rows").alias("most"), F.avg("_rows").alias("mean")).first()
     limit = max(COPIES_A_TASK, int(4 * (sizes["mean"] or 0)))

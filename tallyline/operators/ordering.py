@@ -123,6 +123,8 @@ class Ranges:
     bounds: str
     kind: str
     width: int
+    #: Number of bounds; fewer than asked for where equal rows fill whole ranges.
+    size: int
     #: Where the first column is a time without zone.
     cells: Cells | None = None
 
@@ -146,7 +148,7 @@ class Ranges:
         kind = T.ArrayType(T.ArrayType(keys.schema)).simpleString()
         timed = isinstance(kinds[0], T.TimestampNTZType)
         cells = Cells.among([bound[0] for bound in bounds], count) if timed else None
-        return cls(tuple(columns), f"array({', '.join(groups)})" if groups else "", kind, width, cells)
+        return cls(tuple(columns), f"array({', '.join(groups)})" if groups else "", kind, width, len(bounds), cells)
 
     def place(self, rows: DataFrame) -> DataFrame:
         """Add ``_range``, the number of a row's range. A time whose cell holds no bound tells it alone, others

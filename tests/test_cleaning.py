@@ -222,3 +222,18 @@ def test_lines_join_orders_that_know_their_country(spark, tmp_path):
     met = met.join(read["nation"], F.expr("c_nationkey = n_nationkey")).join(read["part"], F.expr("l_partkey = p_partkey"))
     want = met.select(F.expr("IF(l_orderkey % 211 = 0, 2, 1)").alias("n"), "n_name").groupBy("n_name").agg(F.sum("n"))
     assert sorted(map(tuple, lines.groupBy("Country").count().collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_times_bound_ranges_unless_many_lines_share_one(spark, tmp_path, shared):
+    """Where times differ, one column tells a line's range; ids are those of the whole order either way."""
+    rows = [(f"71{i % 40:04}", f"5{i % 7}", None if i % 5 == 0 else f"t{i % 3}", i % 4, None if i % 50 == 0 else f"2012-03-{1 + i % 28:02} 1{i % 10}:{i % 59:02}", 1.5, i % 6, UK) for i in range(2000)]
+    rows += [("710001", "51", "same", i % 3, "2012-03-09 10:00", 2.0, 5, UK) for i in range(900 if shared else 3)]
+    raw_frame(spark, rows).repartition(5).write.parquet(str(tmp_path / "raw"))
+    lines = normalise(spark.read.parquet(str(tmp_path / "raw")))
+    wanted = cleaning.LINE_ORDER if shared else ["invoice_date"]
+    assert list(cleaning.line_ranges(lines, 16).columns) == wanted
+    order = [F.col(c).asc_nulls_first() for c in cleaning.LINE_ORDER]
+    want = lines.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("source_row_id"), *C.LINE_COLUMNS)
+    got = cleaning.number_lines(lines).drop("flag_duplicate_candidate")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
