@@ -80,10 +80,10 @@ COPIES_A_TASK = 1_000_000
 
 
 def line_ranges(lines: DataFrame, count: int) -> Ranges:
-    """Ranges of lines in their order. The time alone bounds them, so that sampling and counting read one column,
-    unless a time is shared by so many lines that it would fill a range; then all columns do."""
+    """Ranges of lines in their order. The time alone bounds them, so that sampling and counting read one column and
+    most often its cell tells the range, unless a time is shared by so many lines that it would fill a range; then all columns do."""
     times = Ranges.sampled(lines, LINE_ORDER[:1], count)
-    return times if times.size == count - 1 else Ranges.sampled(lines, LINE_ORDER, count)
+    return times.on_cells() if times.size == count - 1 else Ranges.sampled(lines, LINE_ORDER, count)
 
 
 def number_lines(lines: DataFrame) -> DataFrame:

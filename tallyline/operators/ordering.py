@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, time, timedelta
 from decimal import Decimal
 
@@ -94,6 +94,8 @@ class Cells:
         begin = datetime.combine(known[0].date(), time())
         places = [(t - begin) // timedelta(seconds=1) for t in known]
         seconds = places[-1] // (CELLS_A_RANGE * count) + 1
+        unit = next(u for u in (86400, 3600, 1) if seconds >= u)
+        seconds = math.ceil(seconds / unit) * unit
         inside = [0] * (places[-1] // seconds + 3)
         for place in places:
             inside[place // seconds + 1] += 1
@@ -101,11 +103,16 @@ class Cells:
         return cls(begin, seconds, tuple(nulls + sum(inside[:i]) for i in range(len(inside))), tuple(inside))
 
     def at(self, column: str) -> Column:
-        """A row's cell, null for a null time."""
-        day = F.datediff(F.col(column), F.lit(self.begin.date())).cast("bigint")
-        place = day * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column).cast("int")
+        """A row's cell, null for a null time. No finer part of the time is looked at than cells need."""
+        place = F.datediff(F.col(column), F.lit(self.begin.date())).cast("bigint")
+        unit = 86400
+        if self.seconds % unit:
+            place, unit = place * 24 + F.hour(column), 3600
+        if self.seconds % unit:
+            place, unit = place * 3600 + F.minute(column) * 60 + F.second(column).cast("int"), 1
+        width = F.lit(self.seconds // unit)
+        cell = F.call_function("div", place + width, width)
         last = F.lit(len(self.inside) - 1)
-        cell = F.floor(place / F.lit(self.seconds)) + 1
         return F.when(F.col(column).isNotNull(), F.least(F.greatest(cell, F.lit(0)), last).cast("int"))
 
 
@@ -127,6 +134,8 @@ class Ranges:
     size: int
     #: Where the first column is a time without zone.
     cells: Cells | None = None
+    #: Whether ranges are made of whole cells: a cell that holds a bound then belongs to the range below it.
+    whole_cells: bool = False
 
     @classmethod
     def sampled(cls, rows: DataFrame, columns: Sequence[str], count: int) -> Ranges:
@@ -150,11 +159,20 @@ class Ranges:
         cells = Cells.among([bound[0] for bound in bounds], count) if timed else None
         return cls(tuple(columns), f"array({', '.join(groups)})" if groups else "", kind, width, len(bounds), cells)
 
+    def on_cells(self) -> Ranges:
+        """These ranges with their bounds moved to the next end of a cell, so that the cell alone tells a row's range;
+        unchanged where a cell holds several bounds."""
+        spread = self.cells is not None and max(self.cells.inside) <= 1
+        return replace(self, whole_cells=True) if spread else self
+
     def place(self, rows: DataFrame) -> DataFrame:
-        """Add ``_range``, the number of a row's range. A time whose cell holds no bound tells it alone, others
+        """Add ``_range``, the number of a row's range. Of ranges with exact bounds, a time whose cell holds no bound tells it alone, others
         compare with the bounds of their cell, and rows without a time or in a crowded cell with all bounds."""
         if self.cells is None:
             return rows.withColumn("_range", self.number())
+        if self.whole_cells:
+            found = F.get(_whole_numbers(self.cells.before), self.cells.at(self.columns[0]))
+            return rows.withColumn("_range", F.coalesce(found, F.lit(0)))  # nulls come first
         before, inside = (F.get(_whole_numbers(v), F.col("_cell")) for v in (self.cells.before, self.cells.inside))
         bounds = F.flatten(F.expr(self.bounds).cast(self.kind))
         key = F.struct(*self.columns)
@@ -164,7 +182,7 @@ class Ranges:
         return rows.withColumn("_cell", self.cells.at(self.columns[0])).withColumn("_range", number).drop("_cell")
 
     def number(self) -> Column:
-        """The number of a row's range, from 0: how many bounds are not above it. Looked up in two steps."""
+        """The number of a row's range with exact bounds, from 0: how many bounds are not above it. Looked up in two steps."""
         if not self.bounds:
             return F.lit(0)
         groups = F.expr(self.bounds).cast(self.kind)

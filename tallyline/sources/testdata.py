@@ -28,7 +28,12 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     nations = read_table(spark, folder, "nation").select("n_nationkey", "n_name")
     parts = read_table(spark, folder, "part").select("p_partkey", "p_name")
 
-    # Orders meet their customers first, so lines, of which there are most, are shuffled once less.
+    # Orders meet their customers first, so lines, of which there are most, are shuffled once less. What an
+    # order's columns tell is computed for the order, not for each of its lines.
+    minutes = F.make_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
+    orders = orders.select(
+        "o_orderkey", "o_custkey", (F.col("o_orderdate") + minutes).cast("timestamp_ntz").alias("InvoiceDate")
+    )
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
         nations, F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -59,12 +64,7 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(order % 1009 == 3, F.lit(0))
         .otherwise(quantity)
         .alias("Quantity"),
-        (
-            F.col("o_orderdate")
-            + F.make_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
-        )
-        .cast("timestamp_ntz")
-        .alias("InvoiceDate"),
+        "InvoiceDate",
         F.when(sent_back | (order % 401 == 0), F.lit(0))
         .otherwise(F.round(each.cast("decimal(38,10)"), 3))
         .cast("decimal(12,4)")

@@ -237,3 +237,21 @@ def test_times_bound_ranges_unless_many_lines_share_one(spark, tmp_path, shared)
     want = lines.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("source_row_id"), *C.LINE_COLUMNS)
     got = cleaning.number_lines(lines).drop("flag_duplicate_candidate")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_times_of_lines_are_made_once_an_order(spark, tmp_path):
+    """The time of an invoice is computed before orders meet their lines, of which there are more."""
+    tables = {
+        "lineitem": "SELECT id div 3 AS l_orderkey, id % 4 AS l_partkey, CAST(id % 3 AS INT) AS l_linenumber, 2.0D AS l_quantity, 7.0D AS l_extendedprice, 'N' AS l_returnflag FROM range(12)",
+        "orders": "SELECT id AS o_orderkey, 0L AS o_custkey, TIMESTAMP_NTZ '1996-01-31' AS o_orderdate FROM range(4)",
+        "customer": "SELECT 0L AS c_custkey, 0 AS c_nationkey",
+        "nation": "SELECT 0 AS n_nationkey, 'N' AS n_name",
+        "part": "SELECT id AS p_partkey, concat('part ', id) AS p_name FROM range(4)",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{name}.parquet"))
+    lines = raw_lines(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (l_orderkey") < plan.index("make_interval")
+    times = {str(r["InvoiceDate"]) for r in lines.collect()}
+    assert times == {f"1996-01-31 00:0{i}:00" for i in range(4)}

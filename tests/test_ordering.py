@@ -108,6 +108,28 @@ def test_place_of_rows_among_ranges(spark, tmp_path, crowded):
     assert placed.columns == ["at", "n", "_range", "want"] and placed.select("_range").distinct().count() > 30
 
 
+@pytest.mark.parametrize("span", [20, 900, 86400])
+def test_ranges_of_whole_cells(spark, tmp_path, span):
+    """Where bounds lie apart, a time's cell tells its range: ranges ascend with the time, nulls first, and no lookup
+    among the bounds is left in the plan. Bounds that share a cell stay exact."""
+    at = F.lit("1969-12-20 13:59:59.5").cast("timestamp_ntz") + F.make_interval(secs=F.col("id") * span)
+    spark.range(4000).select(F.when(F.col("id") % 11 != 0, at).alias("at")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    ranges = Ranges.sampled(rows, ["at"], 40).on_cells()
+    assert ranges.whole_cells
+    outside = spark.sql("SELECT CAST(t AS TIMESTAMP_NTZ) AS at FROM VALUES ('1901-01-01'), ('1969-12-19 23:00:00'), ('2100-01-01 10:00:00.25') AS v(t)")
+    placed = ranges.place(rows.unionByName(outside))
+    assert "namedlambda" not in placed._jdf.queryExecution().executedPlan().toString()
+    found = [r["_range"] for r in placed.orderBy(F.col("at").asc_nulls_first()).collect()]
+    assert found == sorted(found) and set(found) <= set(range(ranges.size + 1)) and len(set(found)) > 30
+    assert max(found.count(r) for r in set(found)) < 3 * 4000 / 40 + 4000 / 11
+    burst = spark.sql("SELECT explode(array(at, at, at)) AS at FROM (SELECT CAST('2012-01-01' AS TIMESTAMP_NTZ) + make_interval(0, 0, 0, 0, 0, id) AS at FROM range(900))")
+    both = stash(rows.unionByName(burst), "burst")
+    crowded = Ranges.sampled(both, ["at"], 40).on_cells()
+    assert not crowded.whole_cells
+    assert crowded.place(both).filter(~F.col("_range").eqNullSafe(crowded.number())).isEmpty()
+
+
 def test_distinct_ids_travel_as_words(spark):
     odd = [None, None, -1, -1, -64, -65, 0, 63, 64, 2**62, -(2**62), 2**63 - 1, -(2**63)]
     ids = spark.createDataFrame([(i,) for i in odd], "id bigint").unionByName(spark.range(100, 1000)).unionByName(spark.range(500, 700))
