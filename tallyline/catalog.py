@@ -125,7 +125,7 @@ def _verified_export(t: Tables) -> DataFrame:
 
 def _public_export(t: Tables) -> DataFrame:
     spark = t.raw.sparkSession
-    _, _, done = _export(t, extracts.PUBLIC)
+    _, _, done = _export(t, extracts.public(t.star))
     files.assert_no_customer_identifiers(spark, done)
     return files.export_manifest(spark, done).select("name", "row_count", "column_count")
 
@@ -137,7 +137,7 @@ def _read_back(t: Tables) -> DataFrame:
 
 def _read_all(t: Tables) -> DataFrame:
     spark = t.raw.sparkSession
-    folder, _, _ = _export(t, extracts.PUBLIC)
+    folder, _, _ = _export(t, extracts.public(t.star))
     counts = [
         table.agg(F.lit(name).alias("name"), F.count("*").alias("row_count"))
         for name, table in files.read_all_extracts(spark, folder).items()

@@ -75,16 +75,24 @@ def segment() -> Column:
     )
 
 
-def rfm(star: Star) -> DataFrame:
+def stored_totals(star: Star) -> DataFrame:
+    """:func:`customer_totals`, written once for all that read it."""
+    return stash(customer_totals(star), "customers")
+
+
+def rfm(star: Star, totals: DataFrame | None = None) -> DataFrame:
     """V-16: quartile scores of recency, frequency and spend (4 is best), and a segment.
 
     Days count from the day after the last invoice of the whole fact. Equal values are
-    ordered by customer id.
+    ordered by customer id. ``totals`` are :func:`stored_totals` that the caller has already.
     """
     last = star.fact.agg(F.max("invoice_timestamp").cast("date")).scalar()
     recency = F.datediff(F.date_add(last, 1), F.col("last_purchase_at").cast("date"))
-    scored = stash(customer_totals(star).withColumn("recency_days", recency), "customers")
-    single = fits_one_task(scored)
+    if totals is None:
+        scored = stash(customer_totals(star).withColumn("recency_days", recency), "customers")
+    else:
+        scored = totals.withColumn("recency_days", recency)
+    single = fits_one_task(scored if totals is None else totals)
     tie = F.col("customer_id").asc()
     for score, order in [
         ("recency_score", F.col("recency_days").desc()),
@@ -144,9 +152,9 @@ def frequency_histogram(star: Star) -> DataFrame:
     return orders_per_customer(star).groupBy("order_count").agg(F.count("*").alias("customer_count"))
 
 
-def _by_spend(star: Star, descending: bool) -> DataFrame:
+def _by_spend(star: Star, descending: bool, totals: DataFrame | None = None) -> DataFrame:
     """Customer totals with spend position ``_n`` and number of customers ``_of``."""
-    totals = stash(customer_totals(star), "customers")
+    totals = stored_totals(star) if totals is None else totals
     spend = F.col("monetary").desc() if descending else F.col("monetary").asc()
     return number_rows(
         totals,
@@ -180,9 +188,11 @@ def spend_statistics(star: Star) -> DataFrame:
     )
 
 
-def spend_deciles(star: Star, count_name: str = "customers_in_decile") -> DataFrame:
+def spend_deciles(
+    star: Star, count_name: str = "customers_in_decile", totals: DataFrame | None = None
+) -> DataFrame:
     """C5, X-12: customers, revenue and revenue share per spend decile, largest first."""
-    tiles = _by_spend(star, descending=True).withColumn("decile", tile(F.col("_n"), F.col("_of"), 10))
+    tiles = _by_spend(star, descending=True, totals=totals).withColumn("decile", tile(F.col("_n"), F.col("_of"), 10))
     sums = tiles.groupBy("decile").agg(
         F.count("*").alias(count_name), F.sum("monetary").alias("decile_revenue")
     )
@@ -240,11 +250,11 @@ def top_summary(star: Star, n: int = 10) -> DataFrame:
     )
 
 
-def customer_headline(star: Star) -> DataFrame:
+def customer_headline(star: Star, totals: DataFrame | None = None) -> DataFrame:
     """X-13: one row of customer figures, from one ordered pass over customer totals."""
     n, of = F.col("_n"), F.col("_of")
     first_decile = tile(n, of, 10) == 1
-    figures = _by_spend(star, descending=True).agg(
+    figures = _by_spend(star, descending=True, totals=totals).agg(
         F.count("*").alias("customers_with_qualifying_purchase"),
         F.count("*").alias("customers_with_orders"),
         F.count_if(F.col("frequency") >= 2).alias("repeat_customers"),

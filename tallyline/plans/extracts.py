@@ -11,6 +11,7 @@ from tallyline import contracts as C
 from tallyline.contracts import Star
 from tallyline.functions import status as S
 from tallyline.plans import cohorts, customers, products, quality, sales
+from tallyline.session import once
 
 Builder = Callable[[Star], DataFrame]
 
@@ -58,6 +59,17 @@ PUBLIC: dict[str, Builder] = {
     "dim_product": lambda star: star.products.select("product_key", "stock_code", "description"),
 }
 
+def public(star: Star) -> dict[str, Builder]:
+    """The builders of :data:`PUBLIC` for one export of all: the three customer extracts read the same totals,
+    which the first of them to run stores."""
+    totals = once(lambda: customers.stored_totals(star))
+    return PUBLIC | {
+        "customer_segment_summary": lambda star: customers.segment_summary(customers.rfm(star, totals())),
+        "customer_spend_deciles": lambda star: customers.spend_deciles(star, "customer_count", totals()),
+        "customer_headline_metrics": lambda star: customers.customer_headline(star, totals()),
+    }
+
+
 BI_MODEL: dict[str, Builder] = {
     "fact_sales": lambda star: star.fact,
     "dim_date": lambda star: star.dates,

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
 from functools import cache
+from threading import Lock
 from typing import Any
 from uuid import uuid4
 
@@ -112,3 +113,16 @@ def concurrently(tasks: Sequence[Callable[[], Any]], at_once: int = 4) -> list[A
     of the cluster. Results keep the order of ``tasks``; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         return [future.result() for future in [pool.submit(copy_context().run, task) for task in tasks]]
+
+
+def once(make: Callable[[], Any]) -> Callable[[], Any]:
+    """A function that calls ``make`` the first time only, also when several jobs that run side by side ask for it."""
+    lock, made = Lock(), []
+
+    def get() -> Any:
+        with lock:
+            if not made:
+                made.append(make())
+        return made[0]
+
+    return get

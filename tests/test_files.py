@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+from functools import partial
+
 import pytest
 from conftest import UK, PROFILE_ROWS, raw_frame, rows_of
 from pyspark.sql import functions as F
 
 from tallyline import contracts as C
 from tallyline import store
-from tallyline.plans import extracts
+from tallyline.plans import customers, extracts
+from tallyline.session import concurrently
 from tallyline.sources import files, landing
 
 
@@ -33,6 +36,19 @@ def test_public_extracts(spark, published):
     assert manifest.filter("exported_at IS NOT NULL").count() == 15
 
 
+def test_customer_extracts_share_their_totals(published, public_tables, monkeypatch):
+    """One export of all public extracts sums customers once; its extracts equal those built one by one."""
+    made = []
+    plain = customers.customer_totals
+    monkeypatch.setattr(customers, "customer_totals", lambda star: made.append(star) or plain(star))
+    star = public_tables.star
+    builders = extracts.public(star)
+    built = dict(zip(builders, concurrently([partial(b, star) for b in builders.values()]), strict=True))
+    assert len(made) == 1 and list(built) == list(extracts.PUBLIC)
+    for name, table in built.items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, published[1][name].collect()))
+
+
 def test_anomalous_extract(published):
     rows = rows_of(published[1]["anomalous_transactions"])
     assert [r["invoice_no"] for r in rows] == ["B830506"]
