@@ -28,6 +28,13 @@ BLOCK_ITEMS, BLOCK_PAIRS = 4_096, 2_000_000
 _CELLS = 1_000_000
 #: First step of merging heaps: so many parts an item.
 _PARTS = 64
+#: Text bytes of items, and rows, for each task that stores or returns what grows with the items alone: each task
+#: makes a file, and the shuffle partitions are as many as the documents need.
+_TASK_BYTES, _TASK_ROWS = 8 << 20, 1_000_000
+
+
+def _tasks(amount: int, each: int) -> int:
+    return max(1, -(-amount // each))
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,15 +49,16 @@ def item_terms(items: DataFrame) -> DataFrame:
     """``(item_id, term)``, each once. Rows with one item_id are one item with the terms of all of them; a null
     item_id is an item of its own."""
     narrow = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(narrow, _terms, "item_id long, term long").distinct()
+    size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return map_arrow(narrow, _terms, "item_id long, term long").distinct().coalesce(_tasks(size, _TASK_BYTES))
 
 
 def blocks(pairs: DataFrame, most_items: int = BLOCK_ITEMS, most_pairs: int = BLOCK_PAIRS) -> list[DataFrame]:
     """The pairs of a stored table in blocks of whole items: as many blocks as it takes for none to exceed either bound,
     except for a single item that does so by itself."""
-    sizes = stash(pairs.groupBy("item_id").agg(F.count("*").alias("pairs")), "search-items")
-    total = sizes.agg(F.count("*").alias("items"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs")).first()
-    count = max(1, -(-total["items"] // most_items), -(-total["pairs"] // most_pairs))
+    total = pairs.count()
+    sizes = stash(pairs.groupBy("item_id").agg(F.count("*").alias("pairs")).coalesce(_tasks(total, _TASK_ROWS)), "search-items")
+    count = max(_tasks(sizes.count(), most_items), _tasks(total, most_pairs))
     while True:
         block = F.pmod(F.xxhash64("item_id"), F.lit(count))
         fullest = sizes.groupBy(block.alias("block")).agg(F.count("*").alias("items"), F.sum("pairs").alias("pairs"))
@@ -193,15 +201,17 @@ def search(docs: DataFrame, items: DataFrame, best: int = BEST, most_items: int
     split in windows. Empty tables give no rows. Blocks change no result."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pairs = stash(item_terms(items), "search-pairs")
-    found = None
+    found, count = None, 0
     for block in blocks(pairs, most_items, most_pairs):
         index = Index.of(block.toArrow())
         if found is not None and not len(index.ids):
             continue
+        count += len(index.ids)
         part = _search_block(narrow, index, best)
         found = part if found is None else found.unionByName(part)
     split = found.withColumn("part", F.pmod(F.xxhash64("doc_id", "score"), F.lit(_PARTS)))
-    return _merge(_merge(split, ["item_id", "part"], best), ["item_id"], best).select("item_id", "rank", "doc_id", "score")
+    merged = _merge(_merge(split, ["item_id", "part"], best), ["item_id"], best).select("item_id", "rank", "doc_id", "score")
+    return merged.coalesce(_tasks(count * _PARTS * best, _TASK_ROWS))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -158,6 +158,28 @@ def test_items_are_cut_into_blocks(spark):
     assert all(len(p) <= 6 or p == {99} for p in parts)
 
 
+@pytest.mark.parametrize(("each", "files"), [(None, {1}), (1, {2, 3, 4})])
+def test_search_stores_few_files_for_few_items(spark, monkeypatch, each, files):
+    """What grows with the items alone makes a file for each share of them, not one for every shuffle partition."""
+    from tallyline.session import stash
+
+    docs = [(i, prose(i, 5 + i % 23, 40)) for i in range(60)]
+    items = [(i, prose(i, 9, 40)) for i in range(20)]
+    made = {}
+    monkeypatch.setattr(search, "stash", lambda df, label: made.setdefault(label, stash(df, label)))
+    if each:
+        monkeypatch.setattr(search, "_TASK_BYTES", each)
+        monkeypatch.setattr(search, "_TASK_ROWS", each)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = search.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+        rows, parts = got.collect(), got.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {len(made[label].inputFiles()) for label in ("search-pairs", "search-items")} | {parts} <= files
+    assert sorted(map(tuple, rows), key=str) == brute_search(docs, items)
+
+
 def test_words_in_windows(monkeypatch):
     texts = pa.array(["one two", None, "", "a" * 50 + "é b", " x ", "yy"])
     for separator in (common.SPACE, common.PUNCTUATION):
