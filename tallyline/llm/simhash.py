@@ -61,7 +61,8 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Every fingerprint is stored under the value of each of its two segments. It looks itself up
     under the same value and under the values with one more bit set: of two fingerprints whose
     segments differ in one bit, exactly one has it set, so either side of the ball suffices. Matches
-    are verified on all 64 bits inside the join."""
+    are verified on all 64 bits inside the join. Both sides are shuffled whatever their size: Spark takes
+    the looked-up values, some 33 rows a fingerprint, for no larger than the fingerprints, and would broadcast them."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments with balls of radius one find distances up to three")
     own = prints.select(F.col("bits").alias("a"))
@@ -76,7 +77,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     return (
-        stored.join(asked, (stored.segment == asked.segment) & (stored.value == asked.value) & near & (F.col("a") != F.col("b")))
+        stored.join(asked.hint("merge"), (stored.segment == asked.segment) & (stored.value == asked.value) & near & (F.col("a") != F.col("b")))
         .select("a", "b")
     )
 

@@ -106,6 +106,16 @@ def test_simhash_links_are_complete(spark):
         H.links(frame, 4)
 
 
+def test_simhash_lookups_are_shuffled(spark, tmp_path):
+    """Each fingerprint asks for some 33 values, which Spark takes for no more bytes than the fingerprints have."""
+    few = spark.range(1000).select(F.xxhash64("id").alias("bits"))
+    few.write.parquet(str(tmp_path / "few"))
+    found = H.links(spark.read.parquet(str(tmp_path / "few")))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_groups_of_edge_rows(edges, edge_rows, nothing):
     found = H.groups(edges).collect()
     assert len(found) == len(edge_rows)
