@@ -12,6 +12,7 @@ from tallyline.functions.status import row_flags, transaction_status
 from tallyline.functions.text import stripped, stripped_or_null
 from tallyline.operators.copies import expand_copies
 from tallyline.operators.ordering import Ranges, rows_before
+from tallyline.session import COMPRESSION
 
 # Lines are numbered in this order, nulls first. It starts with the time, so ids are
 # chronological and every task that writes a range touches only a few months.
@@ -153,6 +154,6 @@ def with_month(df: DataFrame, at: str) -> DataFrame:
 
 def save_cleaned(cleaned: DataFrame, path: str) -> None:
     """Parquet by month. Ids follow time, so the ranges are already clustered by month."""
-    with_month(cleaned, "invoice_date").write.mode("errorifexists").partitionBy(
+    with_month(cleaned, "invoice_date").write.mode("errorifexists").options(**COMPRESSION).partitionBy(
         "year", "month"
     ).parquet(path)

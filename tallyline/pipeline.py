@@ -11,7 +11,7 @@ from tallyline.contracts import CLEANED_COLUMNS, Star
 from tallyline.operators.cleaning import clean, save_cleaned
 from tallyline.plans import profile, rules
 from tallyline.plans.rules import validate_cleaned
-from tallyline.session import scratch_scope
+from tallyline.session import COMPRESSION, scratch_scope, shuffles_removed
 from tallyline.sources.files import save_report
 from tallyline.sources.landing import validate_schema
 from tallyline.warehouse import Warehouse
@@ -32,8 +32,13 @@ def run(spark: SparkSession, make_raw: Callable[[], DataFrame], folder: str) ->
     Every stage is checked before the next one begins: the structure of the raw table, row count
     and invariants of the cleaned one, and, before a version is published, the references and
     sums of the model. A check that fails raises and leaves what was published before. Scratch tables
-    are removed on the way, whether a stage ends well or not."""
-    make_raw().write.parquet(f"{folder}/raw")
+    are removed on the way, whether a stage ends well or not, and so are the shuffle files of each step."""
+    with shuffles_removed(spark):
+        return _run(spark, make_raw, folder)
+
+
+def _run(spark: SparkSession, make_raw: Callable[[], DataFrame], folder: str) -> Tables:
+    make_raw().write.options(**COMPRESSION).parquet(f"{folder}/raw")
     stored = spark.read.parquet(f"{folder}/raw")
     validate_schema(stored)
     with scratch_scope(spark):

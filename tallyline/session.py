@@ -87,6 +87,26 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             store.remove(spark, path)
 
 
+#: How tables that stay are stored: some three quarters of what Spark's default takes.
+COMPRESSION = {"compression": "zstd"}
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of an action go when it ends. Otherwise they stay until the driver collects garbage,
+    which it may not do for the whole of a load. Only the block that turned the setting on turns it off."""
+    if spark.conf.get(_CLEANUP, "false") == "true":
+        yield
+        return
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, "false")
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+VOIDED, SENT_BACK, THIRD = 1, 2, 3
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -22,7 +25,12 @@ def _padded(key: Column, width: int) -> Column:
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The eight raw columns for every line item."""
-    lines = read_table(spark, folder, "lineitem")
+    # What a line's number and flag tell is one small number, so that a line travels in few bytes.
+    line_no, returned = F.col("l_linenumber"), F.col("l_returnflag") == "R"
+    kind = F.when(returned & (line_no == 1), VOIDED).when(returned & (line_no == 2), SENT_BACK).when(line_no == 3, THIRD).otherwise(0)
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", kind.cast("tinyint").alias("_kind")
+    )
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = read_table(spark, folder, "nation").select("n_nationkey", "n_name")
@@ -41,10 +49,8 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
 
-    order, part, line_no = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    returned = F.col("l_returnflag") == "R"
-    voided = returned & (line_no == 1)
-    sent_back = returned & (line_no == 2)
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    voided, sent_back = F.col("_kind") == VOIDED, F.col("_kind") == SENT_BACK
     number = _padded(order, 6)
     quantity = F.col("l_quantity").cast("int")
     each = F.col("l_extendedprice") / F.col("l_quantity")
@@ -57,7 +63,7 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.when(part % 100 == 0, "POST").otherwise(_padded(part, 5)).alias("StockCode"),
         F.when(order % 331 == 0, F.lit(None))
         .when(order % 53 == 0, "damaged")
-        .when(line_no == 3, F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
+        .when(F.col("_kind") == THIRD, F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
         .otherwise(F.col("p_name"))
         .alias("Description"),
         F.when(voided | sent_back, -quantity)

@@ -20,11 +20,14 @@ from tallyline.contracts import ContractError, Star
 from tallyline.operators.cleaning import with_month
 from tallyline.plans import star as build
 from tallyline.plans.rules import check_staging, reconcile
-from tallyline.session import concurrently, path_missing, scratch_scope, stash
+from tallyline.session import COMPRESSION, concurrently, path_missing, scratch_scope, shuffles_removed, stash
 
 # Dimensions up to this stored size are broadcast to the fact build; larger ones shuffle.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# Lines that shuffle joins build into the fact at a time; their shuffle files, some 170 bytes a line, go before the next ones are made.
+LINES_A_BATCH = 24_000_000
+
 DIMENSIONS = ["dim_date", "dim_country", "dim_customer", "dim_product"]
 
 
@@ -101,15 +104,15 @@ class Warehouse:
     def _fact_folder(self, version: int) -> str:
         return f"{self.root}/fact_sales/v={version}"
 
-    def _write_months(self, version: int, lines: DataFrame, gather: bool) -> dict[Month, str]:
-        """Write lines under their months; the folders made, by month."""
+    def _write_months(self, version: int, lines: DataFrame, gather: bool, mode: str = "errorifexists") -> dict[Month, str]:
+        """Write lines under their months; the folders made so far, by month."""
         if gather:
             # A shuffle join loses the order by time; gather months again. Rebalancing
             # splits a large month over several tasks instead of writing it in one.
             lines = lines.hint("rebalance", F.col("year"), F.col("month"))
         # Rare statuses then lie together, so that their row groups can be told by their bounds.
         lines = lines.sortWithinPartitions("year", "month", "transaction_status", "source_row_id")
-        lines.write.partitionBy("year", "month").parquet(self._fact_folder(version))
+        lines.write.mode(mode).options(**COMPRESSION).partitionBy("year", "month").parquet(self._fact_folder(version))
         return self._written(version)
 
     def _written(self, version: int) -> dict[Month, str]:
@@ -124,11 +127,17 @@ class Warehouse:
         """Write the months that change; all months of the new version and where they are."""
         countries, customers, products = (self._read(version, t) for t in DIMENSIONS[1:])
         small = self._small(version, DIMENSIONS[1:])
-        fact = build.build_fact(cleaned, countries, customers, products, broadcast=small)
-        fact = with_month(fact, "invoice_timestamp")
+
+        def fact(lines: DataFrame) -> DataFrame:
+            return with_month(build.build_fact(lines, countries, customers, products, broadcast=small), "invoice_timestamp")
+
         if not old:
-            return self._write_months(version, fact, gather=not small)
-        incoming = stash(fact, "incoming-lines")
+            first, *others = [cleaned] if small else _batches(cleaned, LINES_A_BATCH)
+            made = self._write_months(version, fact(first), gather=not small)
+            for part in others:
+                made = self._write_months(version, fact(part), gather=True, mode="append")
+            return made
+        incoming = stash(fact(cleaned), "incoming-lines")
         touched = self._touched(incoming, old)
         if not touched:
             return old
@@ -158,7 +167,7 @@ class Warehouse:
         Guards read the months this load wrote: older ones were guarded when they were written, and
         dimension rows are never removed. If another load is published meanwhile, this one fails.
         """
-        with scratch_scope(self.spark):
+        with scratch_scope(self.spark), shuffles_removed(self.spark):
             return self._load(cleaned, allow_vanished)
 
     def _load(self, cleaned: DataFrame, allow_vanished: bool) -> Loaded:
@@ -237,6 +246,19 @@ class Warehouse:
         return gone
 
 
+def _batches(lines: DataFrame, rows: int) -> list[DataFrame]:
+    """``lines`` cut by their ids into parts of about ``rows`` each, if ids are spread evenly; together they are all of
+    them. Ids follow time, so a part reads the files of its months."""
+    ends = lines.agg(F.count("*").alias("rows"), F.min("source_row_id").alias("low"), F.max("source_row_id").alias("high")).first()
+    parts = -(-ends["rows"] // rows)
+    bounds = [ends["low"] + (ends["high"] - ends["low"] + 1) * i // parts for i in range(1, parts)]
+    row_id, cuts = F.col("source_row_id"), [None, *bounds, None]
+    return [
+        lines.filter((F.lit(True) if low is None else row_id >= low) & (F.lit(True) if high is None else row_id < high))
+        for low, high in zip(cuts, cuts[1:], strict=False)
+    ]
+
+
 def _in_months(months: list[Month]) -> Column:
     """Whether a line lies in one of ``months``; a condition on storage columns alone. Lines without a time have no month."""
     condition = F.lit(False)
