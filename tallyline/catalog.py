@@ -21,7 +21,7 @@ from tallyline.plans import (
     cohorts, customers, extracts, measures, metrics, products, profile, quality, rules, sales,
 )
 from tallyline.plans import star as build
-from tallyline.session import concurrently, scratch_path, stash
+from tallyline.session import concurrently, scratch_path, shuffles_removed, stash
 from tallyline.sources import files, landing
 from tallyline.warehouse import Warehouse
 
@@ -107,9 +107,10 @@ def _staging(t: Tables) -> DataFrame:
 
 def _export(t: Tables, builders: dict[str, extracts.Builder]):
     folder = scratch_path(t.raw.sparkSession, "export")
-    built = concurrently([partial(builder, t.star) for builder in builders.values()])
-    tables = dict(zip(builders, built, strict=True))
-    return folder, tables, files.export_all(tables, folder)
+    with shuffles_removed(t.raw.sparkSession):
+        built = concurrently([partial(builder, t.star) for builder in builders.values()])
+        tables = dict(zip(builders, built, strict=True))
+        return folder, tables, files.export_all(tables, folder)
 
 
 def _bi_export(t: Tables) -> DataFrame:

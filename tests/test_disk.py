@@ -7,8 +7,9 @@ import time
 from conftest import CLASS_ROWS, SALES_ROWS, raw_frame, rows_of
 from pyspark.sql import functions as F
 
-from tallyline import pipeline, session, warehouse
+from tallyline import catalog, pipeline, session, warehouse
 from tallyline.operators.cleaning import clean
+from tallyline.plans import quality
 from tallyline.plans import star as build
 from tallyline.warehouse import Warehouse
 
@@ -49,3 +50,23 @@ def test_shuffle_files_of_a_load_do_not_stay(spark, tmp_path):
     assert spark.conf.get(session._CLEANUP) == before
     for table in ("raw", "cleaned", "warehouse/fact_sales"):
         assert list((tmp_path / "run" / table).rglob("*.zstd.parquet"))
+
+
+def test_shuffle_files_of_an_export_do_not_stay(spark, sales_tables):
+    seen = []
+    builders = {"dim_date": lambda star: (seen.append(spark.conf.get(session._CLEANUP)), star.dates)[1]}
+    _, _, done = catalog._export(sales_tables, builders)
+    assert seen == ["true"] and done[0].row_count == sales_tables.star.dates.count()
+    assert spark.conf.get(session._CLEANUP) == "false"
+
+
+def test_invoices_are_counted_from_lines(sales_tables):
+    """Lines of an invoice lie together; groups of repeated lines, once shuffled, do not."""
+    found = quality.duplicate_sensitivity(sales_tables.star.fact)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    totals = [line for line in plan.splitlines() if "sum(all_revenue" in line]
+    assert totals and not any("distinct" in line for line in totals)
+    orders = {r["order_count"] for r in found.collect()}
+    sales = quality.with_status(sales_tables.star.fact, "valid_sale")
+    assert orders == {sales.select("invoice_no").distinct().count()}
+    assert {r["order_count"] for r in quality.duplicate_sensitivity(sales_tables.star.fact.limit(0)).collect()} == {0}
